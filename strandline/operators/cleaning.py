@@ -103,14 +103,22 @@ def cast_records(
 
 
 def clean_collisions(
-    df: DataFrame, key: str = "collision_id", date: str = "crash_date"
+    df: DataFrame,
+    key: str = "collision_id",
+    date: str = "crash_date",
+    order_by: Sequence[Column | str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Deduplicate, split on the date and return (typed accepted rows, raw rejected rows)."""
-    accepted, rejected = split_valid(dedupe(df, [key]), has_valid_date(date))
+    accepted, rejected = split_valid(dedupe(df, [key], order_by), has_valid_date(date))
     return align(cast_records(accepted), COLLISION_SCHEMA), rejected
 
 
-def clean_counts(df: DataFrame, key: str = "collision_id", date: str = "crash_date") -> DataFrame:
+def clean_counts(
+    df: DataFrame,
+    key: str = "collision_id",
+    date: str = "crash_date",
+    order_by: Sequence[Column | str] | None = None,
+) -> DataFrame:
     """One row: total, clean, duplicates, rejected, dropped.
 
     The raw side contributes only a row count, so the union costs one extra
@@ -119,7 +127,7 @@ def clean_counts(df: DataFrame, key: str = "collision_id", date: str = "crash_da
     zero = F.lit(0).cast("bigint")
     ok = F.coalesce(has_valid_date(date), F.lit(False)).cast("bigint")
     raw = df.select(F.lit(1).cast("bigint").alias("total"), zero.alias("kept"), zero.alias("clean"))
-    kept = dedupe(df, [key]).select(zero.alias("total"), F.lit(1).cast("bigint").alias("kept"), ok.alias("clean"))
+    kept = dedupe(df, [key], order_by).select(zero.alias("total"), F.lit(1).cast("bigint").alias("kept"), ok.alias("clean"))
     sums = raw.unionAll(kept).agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in ("total", "kept", "clean")])
     return sums.select(
         F.col("total").alias("total_rows"),
@@ -142,6 +150,16 @@ def unsigned_fit(
     return ok
 
 
+def fits_target(df: DataFrame) -> Column:
+    """:func:`unsigned_fit` for all-string records, on the values they will be cast to."""
+    ok = F.lit(True)
+    for bits, rule, names in ((16, safe_int, COUNT_COLUMNS), (32, safe_long, ("collision_id",))):
+        for c in names:
+            if c in df.columns:
+                ok = ok & in_unsigned_range(rule(c), bits)
+    return ok
+
+
 def reason_counts(df: DataFrame, reason: str = "error") -> DataFrame:
     """Rows per reason; accepted rows (no reason) count under ``accepted``."""
     label = F.coalesce(F.col(reason), F.lit("accepted"))
