@@ -129,7 +129,9 @@ _FIELDS_SQL = f"""
     body AS (SELECT doc_id, trim(text, '{WHITESPACE}') AS body FROM documents),
     lines AS (SELECT doc_id, body, list_filter(list_transform(string_split(body, chr(10)), lambda l: trim(l, '{WHITESPACE}')),
                                                lambda l: l <> '') AS f FROM body),
-    fields AS (SELECT doc_id, body, coalesce(f[1], '') AS headline, CASE WHEN coalesce(f[2], '') = '' THEN 'UNKNOWN' ELSE upper(f[2]) END AS category,
+    -- DuckDB keeps a sharp s when upper-casing; full case mapping gives SS.
+    fields AS (SELECT doc_id, body, coalesce(f[1], '') AS headline,
+                      CASE WHEN coalesce(f[2], '') = '' THEN 'UNKNOWN' ELSE upper(replace(f[2], 'ß', 'ss')) END AS category,
                       coalesce(f[3], '') AS authors, coalesce(f[4], '') AS pub_date,
                       substr(trim(coalesce(f[1], '') || ' ' || coalesce(f[5], ''), '{WHITESPACE}'), 1, 500) AS content_preview
                FROM lines)

@@ -10,6 +10,7 @@ polled at the closing tick belong to the closing window.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -75,7 +76,7 @@ def anchored_assignment(
     key_type = ticks.schema[camera].dataType.simpleString()
     blocks = ticks.select(F.col(camera).alias("camera"), "tick", F.floor(F.col("tick") / block_ticks).cast("bigint").alias("block"))
 
-    def exits(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def exits(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         begin = int(key[1]) * block_ticks
         end, seen = begin + block_ticks, np.sort(pdf["tick"].to_numpy())
         # Entry 0: no window yet; 1: stale start; 2+2(o-1)+p: started o ticks ago, p = has frames.
@@ -84,7 +85,7 @@ def anchored_assignment(
         left = [_walk(seen, end, s, p, width)[1:] for s, p in entries]
         return pd.DataFrame({"camera": [key[0]], "block": [key[1]], "starts": [[s for s, _ in left]], "open": [[p for _, p in left]]})
 
-    def chain(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def chain(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         start, pending, out = None, False, []
         for row in pdf.sort_values("block").itertuples(index=False):
             begin = int(row.block) * block_ticks
@@ -97,7 +98,7 @@ def anchored_assignment(
             start, pending = int(row.starts[entry]), bool(row.open[entry])
         return pd.DataFrame(out, columns=["camera", "block", "start", "pending"]).astype({"start": "Int64"})
 
-    def assign(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def assign(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("tick")
         start = pdf["start"].iloc[0]
         start = None if pd.isna(start) else int(start)
