@@ -55,3 +55,14 @@ def materialize(df, label: str):
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan):
+    """Round-robin a table scan that has fewer splits than the cluster has cores.
+
+    For scans feeding costly per-row work (hashing, audio). A table of many files
+    already has more splits than cores and is returned as it is, unshuffled. Only
+    for plain scans: asking a plan with shuffles for its partitions would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -9,10 +9,9 @@ polled at the closing tick belong to the closing window.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
-from typing import Any
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,38 +25,85 @@ BLOCK_TICKS = 86_400
 # --- batch twin -------------------------------------------------------------
 
 
-def _walk(ticks: np.ndarray, end: int, start: int | None, pending: bool, width: int):
+def _walk(ticks: list[int], end: int, start: int | None, pending: bool, width: int) -> tuple[list[int], int, bool]:
     """Follow the windows of one camera through one block of sorted frame ticks.
 
     Returns the window start of every tick and the (start, pending) left at ``end``.
     """
-    owner = np.empty(len(ticks), dtype=np.int64)
-    i = 0
+    owner: list[int] = []
+    i, n = 0, len(ticks)
     if start is None:
-        start, pending = int(ticks[0]), True
+        start, pending = ticks[0], True
     while True:
         close = start + width
-        j = int(np.searchsorted(ticks, close, side="right"))
+        j = bisect_right(ticks, close, i)
         if pending or j > i:
-            owner[i:j] = start
-            pending = pending or j > i
+            owner.extend([start] * (j - i))
             i = j
             if close >= end:
                 return owner, start, True
             start, pending = close, False
-        elif close >= end or i == len(ticks):
+        elif close >= end or i == n:
             return owner, start, False
         else:
-            owner[i] = start
-            start = int(ticks[i])
+            owner.append(start)
+            start = ticks[i]
             i += 1
 
 
-def _enter(start: int, pending: bool, begin: int, width: int) -> tuple[int, bool]:
-    """State at a block's first tick, given the state left by an earlier block."""
-    if pending and start + width < begin:
-        return start + width, False
-    return start, pending
+def _exits(ticks: list[int], begin: int, end: int, width: int) -> tuple[list[int], list[bool]]:
+    """State at ``end`` for every state a block can be entered in.
+
+    Entry 0: no window yet; 1: stale start; 2 + 2 * (o - 1) + p: started o ticks
+    before ``begin``, p = has frames. Runs meet quickly, so where a run goes from
+    each closing tick on is remembered.
+    """
+    known: dict[int, tuple[int, bool]] = {}
+
+    def follow(start: int) -> tuple[int, bool]:
+        path = []
+        while start not in known:
+            path.append(start)
+            close = start + width
+            i = bisect_right(ticks, start)
+            if i < len(ticks) and ticks[i] <= close:
+                if close >= end:
+                    known[start] = (start, True)
+                else:
+                    start = close
+            elif close >= end or i == len(ticks):
+                known[start] = (start, False)
+            else:
+                start = ticks[i]
+        for seen in path:
+            known[seen] = known[start]
+        return known[start]
+
+    def enter(start: int, pending: bool) -> tuple[int, bool]:
+        # A window that already has frames closes on time, with or without more.
+        if pending:
+            return (start, True) if start + width >= end else follow(start + width)
+        return follow(start)
+
+    left = [enter(ticks[0], True), follow(begin - width - 1)]
+    left += [enter(begin - o, bool(p)) for o in range(1, width + 1) for p in (0, 1)]
+    return [s for s, _ in left], [p for _, p in left]
+
+
+def _chain(blocks: list[dict], block_ticks: int, width: int) -> list[tuple[int, int | None, bool]]:
+    """Entry state (block, start, has frames) of each block of one camera, in time order."""
+    start, pending, out = None, False, []
+    for row in sorted(blocks, key=lambda r: r["block"]):
+        begin = int(row["block"]) * block_ticks
+        if start is None:
+            entry = 0
+        else:
+            if pending and start + width < begin:
+                start, pending = start + width, False
+            entry = 1 if begin - start > width else 2 + 2 * (begin - start - 1) + int(pending)
+        out.append((int(row["block"]), start, pending))
+        start, pending = int(row["starts"][entry]), bool(row["open"][entry])
+    return out
 
 
 def anchored_assignment(
@@ -68,51 +114,46 @@ def anchored_assignment(
     Only a block's entry state depends on its past, and there are few of those:
     a start at most ``width`` ticks back, with or without frames, a stale start,
     or none. Pass 1 maps every entry state of each (camera, block) to its exit;
-    pass 2 follows these maps, one row per camera and block; pass 3 assigns. No
-    task holds more than ``block_ticks`` ticks of a camera, however many frames
-    it has.
+    pass 2 follows these maps, one entry per camera and block; pass 3 assigns.
+    The lists are bounded by time, not by frames: ``block_ticks`` ticks per block
+    and one map per block of the recorded period.
     """
     block_ticks = max(block_ticks, width)
-    key_type = ticks.schema[camera].dataType.simpleString()
-    blocks = ticks.select(F.col(camera).alias("camera"), "tick", F.floor(F.col("tick") / block_ticks).cast("bigint").alias("block"))
-
-    def exits(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        begin = int(key[1]) * block_ticks
-        end, seen = begin + block_ticks, np.sort(pdf["tick"].to_numpy())
-        # Entry 0: no window yet; 1: stale start; 2+2(o-1)+p: started o ticks ago, p = has frames.
-        entries = [(None, False), (begin - width - 1, False)]
-        entries += [(begin - o, bool(p)) for o in range(1, width + 1) for p in (0, 1)]
-        left = [_walk(seen, end, s, p, width)[1:] for s, p in entries]
-        return pd.DataFrame({"camera": [key[0]], "block": [key[1]], "starts": [[s for s, _ in left]], "open": [[p for _, p in left]]})
-
-    def chain(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        start, pending, out = None, False, []
-        for row in pdf.sort_values("block").itertuples(index=False):
-            begin = int(row.block) * block_ticks
-            if start is None:
-                entry = 0
-            else:
-                start, pending = _enter(start, pending, begin, width)
-                entry = 1 if begin - start > width else 2 + 2 * (begin - start - 1) + int(pending)
-            out.append((key[0], row.block, start, pending))
-            start, pending = int(row.starts[entry]), bool(row.open[entry])
-        return pd.DataFrame(out, columns=["camera", "block", "start", "pending"]).astype({"start": "Int64"})
-
-    def assign(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("tick")
-        start = pdf["start"].iloc[0]
-        start = None if pd.isna(start) else int(start)
-        end = (int(key[1]) + 1) * block_ticks
-        owner = _walk(pdf["tick"].to_numpy(), end, start, bool(pdf["pending"].iloc[0]), width)[0]
-        return pd.DataFrame({"camera": key[0], "tick": pdf["tick"], "window_start": owner})
-
-    maps = blocks.groupBy("camera", "block").applyInPandas(
-        exits, f"camera {key_type}, block bigint, starts array<bigint>, open array<boolean>"
+    block = F.floor(F.col("tick") / block_ticks).cast("bigint")
+    blocks = (
+        ticks.select(F.col(camera).alias("camera"), "tick", block.alias("block"))
+        .groupBy("camera", "block")
+        .agg(F.array_sort(F.collect_set("tick")).alias("ticks"))
+    )
+
+    @F.pandas_udf("starts array<bigint>, open array<boolean>")
+    def exits(block: pd.Series, ticks: pd.Series) -> pd.DataFrame:
+        rows = [_exits(t.tolist(), b * block_ticks, (b + 1) * block_ticks, width) for b, t in zip(block.tolist(), ticks)]
+        return pd.DataFrame(rows, columns=["starts", "open"])
+
+    @F.pandas_udf("array<struct<block:bigint,start:bigint,pending:boolean>>")
+    def chain(maps: pd.Series) -> pd.Series:
+        names = ("block", "start", "pending")
+        return pd.Series([[dict(zip(names, r)) for r in _chain(list(m), block_ticks, width)] for m in maps])
+
+    @F.pandas_udf("array<bigint>")
+    def assign(block: pd.Series, ticks: pd.Series, start: pd.Series, pending: pd.Series) -> pd.Series:
+        out = []
+        for b, t, s, p in zip(block.tolist(), ticks, start, pending):
+            first = None if pd.isna(s) else int(s)
+            out.append(_walk(t.tolist(), (b + 1) * block_ticks, first, bool(p), width)[0])
+        return pd.Series(out)
+
+    maps = blocks.select("camera", "block", exits("block", "ticks").alias("m")).select("camera", "block", "m.*")
+    states = (
+        maps.groupBy("camera")
+        .agg(F.collect_list(F.struct("block", "starts", "open")).alias("maps"))
+        .select("camera", F.inline(chain("maps")))
+    )
+    owners = blocks.join(states, ["camera", "block"]).select(
+        "camera", F.arrays_zip("ticks", assign("block", "ticks", "start", "pending").alias("owner")).alias("z")
     )
-    states = maps.groupBy("camera").applyInPandas(chain, f"camera {key_type}, block bigint, start bigint, pending boolean")
-    placed = blocks.join(states, ["camera", "block"]).groupBy("camera", "block")
-    out = placed.applyInPandas(assign, f"camera {key_type}, tick bigint, window_start bigint")
-    return out.withColumnRenamed("camera", camera)
+    return owners.select("camera", F.inline("z").alias("tick", "window_start")).withColumnRenamed("camera", camera)
 
 
 def anchored_windows(
