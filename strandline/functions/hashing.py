@@ -18,12 +18,17 @@ BIGRAM_WEIGHT = 0.5
 _CACHE_LIMIT = 500_000
 
 
-def weighted_grams(text: Column | str) -> Column:
-    """Array of ``(gram, weight)``: words at 1, neighbouring pairs at 0.5."""
-    tokens = F.regexp_extract_all(F.lower(as_col(text)), F.lit(TOKEN), F.lit(0))
+def word_tokens(text: Column | str) -> Column:
+    return F.regexp_extract_all(F.lower(as_col(text)), F.lit(TOKEN), F.lit(0))
+
+
+def weighted_grams(tokens: Column | str) -> Column:
+    """Array of ``(gram, weight)``: words at 1, neighbouring pairs at 0.5.
+
+    Feed it a token column made in an earlier projection; it is used repeatedly.
+    """
+    tokens = as_col(tokens)
     one, half = F.lit(1.0), F.lit(BIGRAM_WEIGHT)
-    # zip_with over two slices, not index access in a lambda: the lambda body
-    # must not contain the tokenising expression.
     last = F.size(tokens) - 1
     pairs = F.zip_with(
         F.slice(tokens, F.lit(1), F.greatest(last, F.lit(0))),
@@ -41,41 +46,42 @@ def gram_digest(gram: Column | str) -> Column:
 def digest_bucket(digest: Column | str, dim: int) -> Column:
     """The first 8 digest bytes, read as one big-endian number, modulo ``dim``."""
     digest = as_col(digest)
+    if dim & (dim - 1) == 0 and dim <= 2**16:
+        # A power of two needs the number's last bits only.
+        return F.conv(F.substring(digest, 13, 4), 16, 10).cast("int").bitwiseAND(F.lit(dim - 1))
     high = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     low = F.conv(F.substring(digest, 9, 8), 16, 10).cast("bigint")
     return F.pmod(F.pmod(high, F.lit(dim)) * F.lit(2**32 % dim) + F.pmod(low, F.lit(dim)), F.lit(dim)).cast("int")
 
 
 def digest_sign(digest: Column | str) -> Column:
-    """+1 where bit 32 of the same number is set, else -1."""
-    bit = F.conv(F.substring(as_col(digest), 8, 1), 16, 10).cast("int").bitwiseAND(F.lit(1))
-    return F.when(bit == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
+    """+1 where bit 32 of the same number is set (an odd eighth hex digit), else -1."""
+    return F.when(F.substring(as_col(digest), 8, 1).isin(*"13579bdf"), F.lit(1.0)).otherwise(F.lit(-1.0))
 
 
 def hashed_vectors(texts: pd.Series, dim: int) -> list[np.ndarray]:
     """Unnormalised signed bucket sums of each text; nulls give a zero vector."""
-    find = re.compile(TOKEN).findall
-    seen: dict[str, tuple[int, float]] = {}
-
-    def place(gram: str) -> tuple[int, float]:
-        hit = seen.get(gram)
-        if hit is None:
-            if len(seen) >= _CACHE_LIMIT:
-                seen.clear()
-            number = int.from_bytes(hashlib.md5(gram.encode()).digest()[:8], "big")
-            hit = seen[gram] = (number % dim, 1.0 if number >> 32 & 1 else -1.0)
-        return hit
-
+    # Word characters are ASCII, so tokens can be cut from the encoded bytes.
+    find = re.compile(TOKEN.encode()).findall
+    md5 = hashlib.md5
+    known: dict[bytes, bytes] = {}
     out = []
     for text in texts:
-        words = find(text.lower()) if text else []
+        words = find(text.lower().encode()) if text else []
         if not words:
             out.append(np.zeros(dim))
             continue
-        slots = np.array([place(w) for w in words] + [place(f"{a}_{b}") for a, b in zip(words, words[1:])])
-        weights = slots[:, 1]
-        weights[len(words):] *= BIGRAM_WEIGHT
-        out.append(np.bincount(slots[:, 0].astype(np.int64), weights=weights, minlength=dim))
+        if len(known) > _CACHE_LIMIT:
+            known.clear()
+        for w in set(words).difference(known):
+            known[w] = md5(w).digest()[:8]
+        heads = [known[w] for w in words]
+        heads += [md5(a + b"_" + b).digest()[:8] for a, b in zip(words, words[1:])]
+        numbers = np.frombuffer(b"".join(heads), ">u8").astype(np.uint64)
+        weights = ((numbers >> np.uint64(32)) & np.uint64(1)).astype(np.float64) * 2.0 - 1.0
+        weights[len(words) :] *= BIGRAM_WEIGHT
+        slots = (numbers % np.uint64(dim)).astype(np.int64)
+        out.append(np.bincount(slots, weights=weights, minlength=dim))
     return out
 
 

@@ -16,7 +16,11 @@ WHITESPACE = (
 # Every character str.splitlines() breaks on.
 LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85  "
 
-_IN_LINE = WHITESPACE.replace("\n", "")
+# The same blanks as a regex class body. Listing printable ASCII first in a
+# negated class lets ordinary letters match on one range test.
+_BLANK = r"\t-\r\x1c-\x20\x85\xa0  -     　"
+_WORD = f"[!-~[^{_BLANK}]]+"
+
 ARTICLE_LINES = ("headline", "category", "authors", "pub_date", "short_description", "link")
 PREVIEW_CHARS = 500
 
@@ -38,18 +42,17 @@ def skip_reason(text: Column | str) -> Column:
 
 def clean_text(text: Column | str) -> Column:
     """Lower-case, unify line ends, strip lines, collapse blank runs; null for blank text."""
-    t = F.regexp_replace(F.lower(as_col(text)), "\r\n?", "\n")
-    # Two linear passes strip each line: after the break, then (from the start
-    # of a blank run only, so long runs are not rescanned) before the break.
-    t = F.regexp_replace(t, f"\n[{_IN_LINE}]++", "\n")
-    t = F.regexp_replace(t, f"(?<![{_IN_LINE}])[{_IN_LINE}]++\n", "\n")
+    text = as_col(text)
+    t = F.regexp_replace(F.lower(text), "\r\n?", "\n")
+    t = F.array_join(F.transform(F.split(t, "\n"), strip), "\n")
     t = F.regexp_replace(t, "\n{3,}", "\n\n")
     t = F.regexp_replace(t, "[ \t]+", " ")
+    # Blankness is tested on the raw text: a filter on it stays cheap when pushed down.
     return F.when(strip(text) != "", F.concat(strip(t), F.lit("\n")))
 
 
 def word_count(text: Column | str) -> Column:
-    return F.regexp_count(as_col(text), F.lit(f"[^{WHITESPACE}]+"))
+    return F.regexp_count(as_col(text), F.lit(_WORD))
 
 
 def split_lines(text: Column | str) -> Column:

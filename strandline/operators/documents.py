@@ -50,11 +50,13 @@ def nested_value(c: Column) -> Column:
 
 def explode_periods(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) -> DataFrame:
     """One raw row per forecast period with the location name and guarded values."""
+    # The outer form plus a filter: for a plain explode the optimizer adds a
+    # non-empty check below it, which would parse every document twice.
     rows = df.select(
         *keep,
         F.coalesce(F.col(f"{doc}.metadata.location.name"), F.lit("")).alias("raw_location"),
-        F.explode(f"{doc}.data.properties.periods").alias("p"),
-    )
+        F.explode_outer(f"{doc}.data.properties.periods").alias("p"),
+    ).filter("p is not null")
     text = lambda name: F.coalesce(F.col(f"p.{name}"), F.lit(""))
     whole = lambda name: F.coalesce(
         nested_value(F.col(f"p.{name}")).try_cast("double").try_cast("int"), F.lit(0)
@@ -143,7 +145,8 @@ def label_counts(df: DataFrame, folder: str, content: str) -> DataFrame:
     """``(folder, label, n)`` from annotation JSON with ``shapes[].label``."""
     shapes = F.from_json(F.col(content), "shapes array<struct<label: string>>")["shapes"]
     return (
-        df.select(folder, F.explode(shapes).alias("shape"))
+        df.select(folder, F.explode_outer(shapes).alias("shape"))
+        .filter("shape is not null")
         .groupBy(folder, F.col("shape.label").alias("label"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

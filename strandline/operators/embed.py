@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import audio as wav
 from strandline.functions.columns import as_col
-from strandline.functions.hashing import dense_hash, digest_bucket, digest_sign, gram_digest, unit, weighted_grams
+from strandline.functions.hashing import dense_hash, digest_bucket, digest_sign, gram_digest, unit, weighted_grams, word_tokens
 from strandline.functions.text import ARTICLE_LINES, PREVIEW_CHARS, non_empty_lines, strip, truncate_bytes, word_count
 
 TEXT_DIM = 128
@@ -66,8 +66,9 @@ def sparse_hash_embedding(df: DataFrame, key: str, text: str, dim: int = TEXT_DI
     Grams are summed per (document, bucket) before the shuffle, so even one
     very long document moves at most ``dim`` rows per partition.
     """
-    grams = df.select(key, F.inline(weighted_grams(text)))
-    # md5 in its own projection, once per gram.
+    # Tokens, grams and digests in projections of their own: each is computed once.
+    words = df.select(key, word_tokens(text).alias("__words"))
+    grams = words.select(key, F.inline_outer(weighted_grams("__words"))).filter("gram is not null")
     placed = grams.select(key, "weight", gram_digest("gram").alias("__d")).select(
         key, digest_bucket("__d", dim).alias("bucket"), (digest_sign("__d") * F.col("weight")).alias("weight")
     )

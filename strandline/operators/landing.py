@@ -105,7 +105,7 @@ def _file_metadata(name: str, content: Column, content_type: str, encoding: str
     ]
     if encoding:
         fields.append(F.lit(encoding).alias("encoding"))
-    # Cast on purpose: Spark timestamps print in the session zone.
+    # Spark prints timestamps in the session zone; the stamp is in UTC.
     stamp = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     return F.struct(*fields, stamp.alias("ingested_at_utc"))
 
@@ -131,11 +131,9 @@ def weather_file_metadata(df: DataFrame, name: str = "object_name", content: str
         found = at(path, "variant")
         return found.isNull() | F.coalesce(F.is_variant_null(found), F.lit(False))
 
-    def kind_of(path: str) -> Column:
-        return F.schema_of_variant(at(path, "variant"))
-
-    properties = kind_of("$.data.properties")
-    no_properties = absent("$.data.properties") | ~F.coalesce(properties.startswith("OBJECT<"), F.lit(False)) | (properties == "OBJECT<>")
+    # Null for anything but an object; only the top-level keys are read.
+    properties = at("$.data.properties", "map<string,variant>")
+    no_properties = F.coalesce(F.size(properties) < 1, F.lit(True))
     periods = at("$.data.properties.periods", "array<variant>")
     wrong_periods = at("$.data.properties.periods", "variant").isNotNull() & periods.isNull()
     valid_times = at("$.data.properties.validTimes")

@@ -136,7 +136,8 @@ def ivf_assign(table: DataFrame, cells: np.ndarray, vector: str = "embedding", p
         scores = _unit_rows(vectors) @ shared.value.T
         return pd.Series(list(np.argsort(-scores, axis=1, kind="stable")[:, :probes].astype(np.int32)))
 
-    return table.withColumn("cell", F.explode(nearest(F.col(vector))))
+    # Outer, so that the optimizer adds no non-empty check that runs the UDF again.
+    return table.withColumn("cell", F.explode_outer(nearest(F.col(vector)))).filter("cell is not null")
 
 
 def ivf_topk(

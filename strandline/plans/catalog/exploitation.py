@@ -10,7 +10,7 @@ from strandline.functions.text import WHITESPACE, truncate_bytes as clip
 from strandline.operators import embed, enrich, similarity
 from strandline.plans import collisions
 from strandline.plans.catalog import inputs
-from strandline.plans.catalog.inputs import DEDUPED_SQL, registry, table
+from strandline.plans.catalog.inputs import DEDUPED_SQL, registry, table, wide
 from strandline.plans.catalog.trusted import CLEANED_WAV_SQL
 
 QUERIES, query = registry()
@@ -158,7 +158,7 @@ def _hash_sql(source: str, text: str) -> str:
     FROM fields
 """)
 def article_fields(spark: SparkSession, sf: str) -> DataFrame:
-    rows = embed.article_fields(table(spark, sf, "documents"), "text")
+    rows = embed.article_fields(wide(spark, sf, "documents"), "text")
     digest = lambda c: F.md5(F.col(c).cast("binary"))
     return rows.select(
         "doc_id",
@@ -174,7 +174,7 @@ def article_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_hash_sql('documents', 'text')} SELECT doc_id, bucket, weight FROM vec WHERE weight <> 0")
 def hash_embedding_sparse(spark: SparkSession, sf: str) -> DataFrame:
-    return embed.hash_embedding(table(spark, sf, "documents"), "doc_id", "text", sparse=True)
+    return embed.hash_embedding(wide(spark, sf, "documents"), "doc_id", "text", sparse=True)
 
 
 @query(f"""
@@ -183,8 +183,8 @@ def hash_embedding_sparse(spark: SparkSession, sf: str) -> DataFrame:
     SELECT doc_id, bucket, (weight / norm)::FLOAT::DOUBLE AS value FROM vec JOIN norms USING (doc_id) WHERE weight <> 0
 """)
 def hash_embedding_dense(spark: SparkSession, sf: str) -> DataFrame:
-    rows = embed.hash_embedding(table(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text")
-    long = rows.select("doc_id", F.posexplode("embedding").alias("bucket", "value")).filter("value <> 0")
+    rows = embed.hash_embedding(wide(spark, sf, "documents").select("doc_id", "text"), "doc_id", "text")
+    long = rows.select("doc_id", F.posexplode_outer("embedding").alias("bucket", "value")).filter("value <> 0")
     return long.select("doc_id", "bucket", F.col("value").cast("double").alias("value"))
 
 
@@ -192,7 +192,7 @@ def hash_embedding_dense(spark: SparkSession, sf: str) -> DataFrame:
     WITH {_hash_sql('documents', 'text')} SELECT doc_id, round(sqrt(sum(weight * weight)), 6) AS norm FROM vec GROUP BY doc_id
 """)
 def hash_embedding_norm(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").select("doc_id", dense_hash(embed.TEXT_DIM, normalize=False)("text").alias("v"))
+    rows = wide(spark, sf, "documents").select("doc_id", dense_hash(embed.TEXT_DIM, normalize=False)("text").alias("v"))
     return rows.select("doc_id", F.round(l2_norm("v"), 6).alias("norm")).filter("norm > 0")
 
 
@@ -204,8 +204,8 @@ def hash_embedding_norm(spark: SparkSession, sf: str) -> DataFrame:
     SELECT doc_id, bucket, (weight / norm)::FLOAT::DOUBLE AS value FROM vec JOIN norms USING (doc_id) WHERE weight <> 0
 """)
 def article_embeddings(spark: SparkSession, sf: str) -> DataFrame:
-    rows = embed.embed_articles(table(spark, sf, "documents").select("doc_id", "text"))
-    long = rows.select("doc_id", F.posexplode("embedding").alias("bucket", "value")).filter("value <> 0")
+    rows = embed.embed_articles(wide(spark, sf, "documents").select("doc_id", "text"))
+    long = rows.select("doc_id", F.posexplode_outer("embedding").alias("bucket", "value")).filter("value <> 0")
     return long.select("doc_id", "bucket", F.col("value").cast("double").alias("value"))
 
 
@@ -220,7 +220,7 @@ def article_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     FROM cut
 """)
 def truncate_bytes(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").select("doc_id", clip("text", 512).alias("t"))
+    rows = wide(spark, sf, "documents").select("doc_id", clip("text", 512).alias("t"))
     return rows.select("doc_id", F.md5(F.col("t").cast("binary")).alias("clipped_md5"), F.octet_length("t").alias("clipped_bytes"))
 
 
@@ -246,8 +246,8 @@ def _features_sql(source: str, width: str) -> str:
     SELECT vec_id, pos::INT AS pos, round(v / norm, 6) AS value FROM feats JOIN norms USING (vec_id)
 """)
 def window_features(spark: SparkSession, sf: str) -> DataFrame:
-    rows = embed.window_features(table(spark, sf, "embeddings"), "embedding")
-    return rows.select("vec_id", F.posexplode("features").alias("pos", "value")).withColumn("value", F.round("value", 6))
+    rows = embed.window_features(wide(spark, sf, "embeddings"), "embedding")
+    return rows.select("vec_id", F.posexplode_outer("features").alias("pos", "value")).withColumn("value", F.round("value", 6))
 
 
 @query(f"""
@@ -268,7 +268,7 @@ def window_features(spark: SparkSession, sf: str) -> DataFrame:
 def audio_embedding(spark: SparkSession, sf: str) -> DataFrame:
     clean = embed.clean_audio(inputs.wav_table(spark, sf)).filter("skip_reason is null").select("vec_id", "cleaned")
     rows = embed.embed_audio(clean, "cleaned")
-    long = rows.select("vec_id", "duration_s", "sample_rate", "num_channels", F.posexplode("embedding").alias("pos", "value"))
+    long = rows.select("vec_id", "duration_s", "sample_rate", "num_channels", F.posexplode_outer("embedding").alias("pos", "value"))
     return long.withColumns(
         {c: F.round(F.col(c).cast("double"), 4) for c in ("value", "duration_s")}
     )

@@ -11,11 +11,18 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for costly per-row work, spread over all cores if its file has few splits."""
+    return spread(table(spark, sf_dir, name))
+
+
 def registry():
     """A dict of name to (function, oracle SQL or None) and the decorator filling it."""
     entries: dict = {}
@@ -146,7 +153,7 @@ WEATHER_JSON_SQL = f"""
 
 def weather_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(o_orderkey, object_name, content)``: one forecast document text per order."""
-    return table(spark, sf_dir, "orders").select(
+    return wide(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.concat(F.lit("temporal_landing/w_"), F.col("o_orderkey").cast("string"), F.lit(".json")).alias("object_name"),
         F.expr(WEATHER_JSON_SQL).alias("content"),
@@ -232,7 +239,7 @@ def wav_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                 out.append(write_wav(left, rate))
         return pd.Series(out)
 
-    return table(spark, sf_dir, "embeddings").select("vec_id", "label", encode("embedding", "label").alias("raw"))
+    return wide(spark, sf_dir, "embeddings").select("vec_id", "label", encode("embedding", "label").alias("raw"))
 
 
 def _stereo(interleaved: np.ndarray, rate: int) -> bytes:

@@ -10,7 +10,7 @@ from strandline.functions.text import LINE_BREAKS, WHITESPACE, format_article
 from strandline.operators import documents as docs
 from strandline.operators import landing
 from strandline.plans.catalog import inputs
-from strandline.plans.catalog.inputs import registry, table
+from strandline.plans.catalog.inputs import registry, table, wide
 from strandline.session import scratch_path
 from strandline.sources import readers, writers
 
@@ -223,7 +223,7 @@ def weather_file_metadata(spark: SparkSession, sf: str) -> DataFrame:
     FROM full_lines
 """)
 def text_file_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    files = table(spark, sf, "documents").select(
+    files = wide(spark, sf, "documents").select(
         F.concat(F.lit("temporal_landing/d_"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("object_name"),
         F.col("text").alias("content"),
     )

@@ -23,7 +23,7 @@ from strandline.operators import cleaning
 from strandline.operators import documents as docs
 from strandline.operators.embed import clean_audio as clean_wavs
 from strandline.plans.catalog import inputs
-from strandline.plans.catalog.inputs import DEDUPED_SQL, FACT_SQL, VALID_DATE_SQL, registry, table
+from strandline.plans.catalog.inputs import DEDUPED_SQL, FACT_SQL, VALID_DATE_SQL, registry, table, wide
 
 QUERIES, query = registry()
 
@@ -235,8 +235,8 @@ _CLEAN_SQL = f"""
 
 
 def _messy(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents").select("doc_id", F.expr(_MESSY_SQL).alias("text"))
-    pages = table(spark, sf, "pages").select((-1 - F.col("page_id")).alias("doc_id"), F.col("html").alias("text"))
+    documents = wide(spark, sf, "documents").select("doc_id", F.expr(_MESSY_SQL).alias("text"))
+    pages = wide(spark, sf, "pages").select((-1 - F.col("page_id")).alias("doc_id"), F.col("html").alias("text"))
     return documents.unionAll(pages)
 
 
@@ -244,7 +244,8 @@ def _messy(spark: SparkSession, sf: str) -> DataFrame:
     WITH {_CLEAN_SQL} SELECT doc_id, md5(t) AS cleaned_md5, length(t)::INT AS cleaned_chars FROM cleaned WHERE NOT blank
 """)
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:
-    staged = _messy(spark, sf).select("doc_id", cleaned("text").alias("t")).filter("t is not null")
+    accepted = _messy(spark, sf).filter(skip_reason("text").isNull())
+    staged = accepted.select("doc_id", cleaned("text").alias("t"))
     return staged.select("doc_id", F.md5(F.col("t").cast("binary")).alias("cleaned_md5"), F.length("t").alias("cleaned_chars"))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from strandline.session import materialize
 from strandline.streaming.frames import WINDOW_SECONDS, averages, counted_labels
 
 BLOCK_TICKS = 86_400
@@ -148,12 +149,15 @@ def anchored_assignment(
     states = (
         maps.groupBy("camera")
         .agg(F.collect_list(F.struct("block", "starts", "open")).alias("maps"))
-        .select("camera", F.inline(chain("maps")))
+        .select("camera", F.inline_outer(chain("maps")))
+        .filter("block is not null")
     )
     owners = blocks.join(states, ["camera", "block"]).select(
         "camera", F.arrays_zip("ticks", assign("block", "ticks", "start", "pending").alias("owner")).alias("z")
     )
-    return owners.select("camera", F.inline("z").alias("tick", "window_start")).withColumnRenamed("camera", camera)
+    # Outer generators: the optimizer would run the functions twice for a non-empty check.
+    out = owners.select("camera", F.inline_outer("z").alias("tick", "window_start")).filter("tick is not null")
+    return out.withColumnRenamed("camera", camera)
 
 
 def anchored_windows(
@@ -176,15 +180,17 @@ def anchored_windows(
     at = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (tick * 1_000_000)).cast("bigint")
     entries = df.select(F.col(camera), at.alias("tick"), F.explode(counted_labels(detections)).alias("e"))
     totals = entries.groupBy(camera, "tick", F.col("e.label").alias("label")).agg(F.sum("e.n").alias("total"))
+    # Read three times below; written once so the frames are scanned and summed once.
+    totals = materialize(totals, "ticks")
     frames = totals.filter("label is null").select(camera, "tick")
     owners = anchored_assignment(frames, camera, steps, block_ticks)
-    ends = owners.groupBy(camera, "window_start").agg(F.greatest(F.min("tick"), F.col("window_start") + steps).alias("window_end"))
-    sums = totals.join(owners, [camera, "tick"]).groupBy(camera, "window_start", "label").agg(F.sum("total").alias("total"))
-    out = averages(sums, camera).join(ends, [camera, "window_start"])
-    if keep_open:
-        return out
-    last = frames.agg(F.max("tick")).first()[0]
-    return out.filter(F.col("window_end") <= F.lit(last))
+    # A window closes on time, or with the one late tick that ended an idle stretch.
+    end = F.greatest(F.col("tick"), F.col("window_start") + steps).alias("window_end")
+    sums = totals.join(owners, [camera, "tick"]).groupBy(camera, "window_start", end, "label").agg(F.sum("total").alias("total"))
+    if not keep_open:
+        last = frames.agg(F.max("tick")).first()[0]
+        sums = sums.filter(F.col("window_end") <= F.lit(last))
+    return averages(sums, camera, keep=["window_end"])
 
 
 # --- stateful stream --------------------------------------------------------

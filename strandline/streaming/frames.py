@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -61,7 +63,9 @@ def windowed_totals(
     return totals.select(F.col("w.start").alias("window_start"), camera, "label", "total")
 
 
-def averages(totals: DataFrame, camera: str = "camera_id", window: str = "window_start") -> DataFrame:
+def averages(
+    totals: DataFrame, camera: str = "camera_id", window: str = "window_start", keep: Sequence[str] = ()
+) -> DataFrame:
     """``avg_per_frame`` of each label over all frames of its window, rounded to 2 decimals.
 
     A window without any detection keeps one row with a null label.
@@ -74,7 +78,7 @@ def averages(totals: DataFrame, camera: str = "camera_id", window: str = "window
     ratio = F.col("total").cast("double") / F.col("frames")
     total = F.when(F.col("label").isNotNull(), F.col("total"))
     mean = F.when(F.col("label").isNotNull(), round_half_even(ratio))
-    return rows.select(window, camera, "label", "frames", total.alias("total"), mean.alias("avg_per_frame"))
+    return rows.select(*keep, window, camera, "label", "frames", total.alias("total"), mean.alias("avg_per_frame"))
 
 
 def windowed_averages(
