@@ -106,7 +106,7 @@ def unsigned_range(spark: SparkSession, sf: str) -> DataFrame:
 """)
 def safe_casts(spark: SparkSession, sf: str) -> DataFrame:
     price = F.format_string(" %.2f ", "l_extendedprice")
-    rows = table(spark, sf, "lineitem")
+    rows = wide(spark, sf, "lineitem")
     return rows.select(
         "l_orderkey",
         "l_linenumber",

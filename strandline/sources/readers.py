@@ -24,15 +24,15 @@ TOPIC = "traffic-images"
 
 def read_csv_strings(
     spark: SparkSession,
-    *paths: str,
+    *paths: str | list[str],
     limit: int | None = None,
     multiline: bool = False,
     missing: Sequence[str] = CSV_MISSING,
 ) -> DataFrame:
     """CSV with header as all-string columns with normalised names and ``source_file``.
 
-    Every path is one layout: its files must share a header (a deviating file
-    fails loudly), paths may differ and are united by column name. ``multiline``
+    Every path (or list of paths) is one layout: its files must share a header (a
+    deviating file fails loudly); layouts are united by column name. ``multiline``
     accepts line breaks inside quotes at the price of unsplittable files.
     """
     frames = []
