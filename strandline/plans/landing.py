@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import documents as docs
 from strandline.operators import landing
-from strandline.sources.readers import read_csv_strings
+from strandline.sources.readers import first_line, read_csv_strings
 from strandline.sources.writers import write_files, write_metadata_files
 
 # File bytes reach this many rows per batch of paths at most; also bounds the CSV path lists.
@@ -32,12 +32,15 @@ def _append(df: DataFrame, path: str, batch_id: int, *partition_by: str) -> None
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/batch_id={batch_id}")
 
 
-def _csv_layouts(batch: DataFrame) -> list[list[str]]:
-    """Paths of the batch's CSV files, grouped by header line."""
-    header = F.substring_index(F.regexp_replace(F.col("content").cast("string"), "\r", "\n"), "\n", 1)
-    rows = batch.select("path", header.alias("header")).collect()
+def _csv_layouts(paths: DataFrame) -> list[list[str]]:
+    """CSV paths of one batch (at most ``max_files``), grouped by their header line."""
+
+    def headers(batches):
+        for batch in batches:
+            yield batch.assign(header=[first_line(p) for p in batch["path"]])
+
     groups: dict[str, list[str]] = {}
-    for row in rows:
+    for row in paths.mapInPandas(headers, "path string, header string").collect():
         if row["header"]:
             groups.setdefault(row["header"], []).append(row["path"])
     return list(groups.values())
@@ -70,7 +73,7 @@ def land_batch(batch: DataFrame, batch_id: int, root: str, source: str) -> DataF
     good = parsed.filter("error is null")
     if not good.isEmpty():
         _append(docs.report_table(good), f"{zone}/{TABLES['camera_report']}", batch_id, "camera_id")
-    layouts = _csv_layouts(routed.filter("kind = 'structured_csv'"))
+    layouts = _csv_layouts(routed.filter("kind = 'structured_csv'").select("path"))
     if layouts:
         frames = [read_csv_strings(spark, paths) for paths in layouts]
         _append(landing.evolve_append(*frames), f"{zone}/{TABLES['structured_csv']}", batch_id)
@@ -78,7 +81,8 @@ def land_batch(batch: DataFrame, batch_id: int, root: str, source: str) -> DataF
     failed = landing.evolve_append(*errors)
     outcome = routed.drop("content").join(failed, "object_name", "left")
     outcome = outcome.withColumn("error", F.when(F.col("kind") == "skipped", F.lit("unknown type")).otherwise(F.col("error")))
-    movable = outcome.filter("error is null and destination is not null").select("object_name")
+    # One row per file of this batch: the stream's file limit bounds it.
+    movable = F.broadcast(outcome.filter("error is null and destination is not null").select("object_name"))
     write_files(routed.join(movable, "object_name").select("destination", "content"), root, "destination", "content")
     return landing.landing_summary(outcome)
 

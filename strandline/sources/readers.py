@@ -47,6 +47,19 @@ def read_csv_strings(
     return out if limit is None else out.limit(limit)
 
 
+def first_line(path: str) -> str:
+    """First line of a file, read inside a task from any supported file system."""
+    from pyarrow import fs
+
+    uri = "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
+    store, name = fs.FileSystem.from_uri(uri)
+    with store.open_input_stream(name) as source:
+        head = b""
+        while b"\n" not in head and (chunk := source.read(65_536)):
+            head += chunk
+    return head.split(b"\n", 1)[0].decode("utf-8", "replace").rstrip("\r")
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Lake table whose files may have gained columns over time."""
     reader = spark.read.option("mergeSchema", True)
