@@ -18,7 +18,7 @@ from strandline.operators.cleaning import (
 )
 from strandline.operators.enrich import enrich, match_counts, mean_by, restamp
 from strandline.session import scratch_path
-from strandline.sources.readers import read_csv_strings, read_table
+from strandline.sources.readers import read_csv_strings, read_split, read_table
 from strandline.sources.writers import write_documents, write_rejects, write_sorted, write_split
 
 SORT_KEYS = ("crash_date", "collision_id", "source_file")
@@ -48,18 +48,14 @@ def trust_collisions(spark: SparkSession, table: str, out: str, rejects: str) ->
     staged = scratch_path(spark, "trusted")
     unique = dedupe(raw, ["collision_id"])
     write_split(unique, has_valid_date("crash_date") & fits_target(unique), staged)
-    split = spark.read.schema(unique.schema.add("accepted", "boolean")).parquet(staged)
-    accepted = align(cast_records(split.filter("accepted").drop("accepted")), COLLISION_SCHEMA)
+    kept, rejected = read_split(spark, staged)
+    accepted = align(cast_records(kept), COLLISION_SCHEMA)
     write_sorted(accepted.withColumn("trusted_at", F.current_timestamp()), out, SORT_KEYS)
-    write_rejects(split.filter("not accepted").drop("accepted"), rejects)
-    total = raw.count()
-    counts = split.agg(F.count_if("accepted").alias("clean_rows"), F.count_if(~F.col("accepted")).alias("rejected_rows"))
-    return counts.select(
-        F.lit(total).alias("total_rows"),
-        "clean_rows",
-        "rejected_rows",
-        (F.lit(total) - F.col("clean_rows") - F.col("rejected_rows")).alias("duplicate_rows"),
-    )
+    write_rejects(rejected, rejects)
+    # Three row counts from file footers.
+    total, clean, bad = raw.count(), kept.count(), rejected.count()
+    row = [(total, clean, bad, total - clean - bad)]
+    return spark.createDataFrame(row, "total_rows bigint, clean_rows bigint, rejected_rows bigint, duplicate_rows bigint")
 
 
 def exploit_collisions(spark: SparkSession, collisions: str, weather: str, out: str) -> DataFrame:

@@ -9,8 +9,8 @@ from strandline.functions.text import clean_text, decode_text, skip_reason
 from strandline.operators import embed
 from strandline.operators.cleaning import reason_counts
 from strandline.operators.enrich import top_counts
-from strandline.sources.readers import read_binary
-from strandline.sources.writers import upsert_vectors, write_files
+from strandline.sources.readers import read_binary, read_split
+from strandline.sources.writers import upsert_vectors, write_files, write_split
 
 TEXT_FIELDS = ("filename", "embedding", "headline", "category", "authors", "pub_date", "content_preview", "char_count", "word_count")
 AUDIO_FIELDS = ("filename", "embedding", "duration_s", "sample_rate", "num_channels")
@@ -28,12 +28,12 @@ def _store(cleaned: DataFrame, out: str, files: bool) -> DataFrame:
     """Write the outcome once; copy files out of the stored table if asked to."""
     spark = cleaned.sparkSession
     kept = cleaned.withColumn("raw", F.when(F.col("skip_reason").isNotNull(), F.col("raw")))
-    kept.withColumn("accepted", F.col("skip_reason").isNull()).write.mode("overwrite").partitionBy("accepted").parquet(f"{out}/table")
-    stored = spark.read.parquet(f"{out}/table")
+    write_split(kept, F.col("skip_reason").isNull(), f"{out}/table")
     if files:
-        write_files(stored.filter("accepted"), f"{out}/data", "filename", "cleaned")
-        write_files(stored.filter("not accepted"), f"{out}/skipped", "filename", "raw")
-    return reason_counts(stored, "skip_reason")
+        accepted, skipped = read_split(spark, f"{out}/table")
+        write_files(accepted, f"{out}/data", "filename", "cleaned")
+        write_files(skipped, f"{out}/skipped", "filename", "raw")
+    return reason_counts(spark.read.parquet(f"{out}/table"), "skip_reason")
 
 
 def trust_texts(spark: SparkSession, source: str, out: str, files: bool = False) -> DataFrame:
@@ -47,7 +47,7 @@ def trust_audio(spark: SparkSession, source: str, out: str, files: bool = False)
 
 
 def _accepted(spark: SparkSession, trusted: str) -> DataFrame:
-    return spark.read.parquet(f"{trusted}/table").filter("accepted").select("filename", "cleaned")
+    return read_split(spark, f"{trusted}/table")[0].select("filename", "cleaned")
 
 
 def exploit_texts(spark: SparkSession, trusted: str, out: str, files: bool = False) -> DataFrame:

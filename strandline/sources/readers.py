@@ -66,6 +66,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
+def read_split(spark: SparkSession, path: str, name: str = "accepted") -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected rows of a table stored by ``write_split``; each reads its own partition only."""
+    stored = spark.read.parquet(path)
+    flag = F.col(name).cast("boolean")
+    return stored.filter(flag).drop(name), stored.filter(~flag).drop(name)
+
+
 def list_objects(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """``(object_name, length)`` of every file below ``path``; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)

@@ -196,7 +196,7 @@ def anchored_windows(
 # --- stateful stream --------------------------------------------------------
 
 _STATE = "start double, frames bigint, labels array<string>, totals array<bigint>"
-_OUT = "camera_id string, window_start timestamp, window_end timestamp, label string, frames bigint, total bigint"
+_OUT = "camera_id string, start_ms bigint, end_ms bigint, label string, frames bigint, total bigint"
 
 
 def advance(state: tuple | None, now: float, frames: int, counts: dict[str, int], width: float):
@@ -249,10 +249,18 @@ def anchored_stream(frames: DataFrame, width: float = WINDOW_SECONDS) -> DataFra
             state.setTimeoutDuration(max(1, int((start + width - now) * 1000)))
         if closed:
             began, total, sums = closed
-            rows = [(key[0], began, now, None, total, total)] + [(key[0], began, now, k, total, v) for k, v in sums.items()]
-            out = pd.DataFrame(rows, columns=["camera_id", "window_start", "window_end", "label", "frames", "total"])
-            for c in ("window_start", "window_end"):
-                out[c] = pd.to_datetime(out[c], unit="s", utc=True)
-            yield out
+            head = (key[0], round(began * 1000), round(now * 1000))
+            rows = [(*head, None, total, total)] + [(*head, label, total, n) for label, n in sums.items()]
+            yield pd.DataFrame(rows, columns=["camera_id", "start_ms", "end_ms", "label", "frames", "total"])
 
-    return summed.groupBy("camera_id").applyInPandasWithState(step, _OUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    closed = summed.groupBy("camera_id").applyInPandasWithState(
+        step, _OUT, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+    )
+    return closed.select(
+        "camera_id",
+        F.timestamp_millis("start_ms").alias("window_start"),
+        F.timestamp_millis("end_ms").alias("window_end"),
+        "label",
+        "frames",
+        "total",
+    )
