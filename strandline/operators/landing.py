@@ -13,6 +13,7 @@ from strandline.functions.columns import as_col
 from strandline.functions.text import non_empty_lines, split_lines, strip, word_count
 from strandline.operators.cleaning import dedupe
 from strandline.operators.embed import wav_header
+from strandline.operators.enrich import fits_broadcast
 
 # The landing layout.
 TEMPORAL_PREFIX = "temporal_landing/"
@@ -300,12 +301,15 @@ def number_lines(lines: DataFrame) -> DataFrame:
 
     ``row_id`` must rise in file order within a block (as
     ``monotonically_increasing_id`` over a text scan does). Only one row per file
-    block is combined, the lines themselves are not sorted.
+    block is combined; the lines are neither sorted nor, while the block table is
+    of broadcast size, shuffled.
     """
     block = ["source_file", "block_start"]
     sizes = lines.groupBy(*block).agg(F.count(F.lit(1)).alias("__n"), F.min("row_id").alias("__first"))
     before = Window.partitionBy("source_file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    offsets = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n").persist()
+    if fits_broadcast(offsets):
+        offsets = F.broadcast(offsets)
     numbered = lines.join(offsets, block)
     line = F.col("row_id") - F.col("__first") + F.col("__before") + 1
     return numbered.withColumn("line_number", line).drop("__first", "__before")

@@ -40,14 +40,29 @@ def _best_pairs(query_ids, queries: np.ndarray, ids, vectors: np.ndarray, k: int
         cut = min(k, len(ids))
         floor = np.partition(scores, len(ids) - cut, axis=1)[:, len(ids) - cut]
         q, v = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
-        order = np.lexsort((ids[v], -scores[q, v], q))
-        q, v = q[order], v[order]
-        place = np.arange(len(q)) - np.searchsorted(q, q)
-        q, v = q[place < k], v[place < k]
+        keep = _first_k(q, ids[v], scores[q, v], k)
+        q, v = q[keep], v[keep]
         parts.append(pd.DataFrame({"query_id": mine[q], "vec_id": ids[v], "score": scores[q, v]}))
     return pd.concat(parts, ignore_index=True)
 
 
+def _first_k(groups: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k best entries of each group, by falling score, then id."""
+    order = np.lexsort((ids, -scores, groups))
+    ranked = groups[order]
+    starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(ranked) else np.empty(0, dtype=np.int64)
+    place = np.arange(len(ranked)) - np.repeat(starts, np.diff(np.r_[starts, len(ranked)]))
+    return order[place < k]
+
+
+def _merge(best: pd.DataFrame | None, more: pd.DataFrame, k: int) -> pd.DataFrame:
+    if best is None:
+        return more
+    both = pd.concat([best, more], ignore_index=True)
+    keep = _first_k(pd.factorize(both["query_id"])[0], both["vec_id"].to_numpy(), both["score"].to_numpy(), k)
+    return both.iloc[keep]
+
+
 def _rank(pairs: DataFrame, k: int) -> DataFrame:
     window = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return pairs.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
@@ -66,8 +81,8 @@ def cosine_topk(
     """Exact ``(query_id, vec_id, score, rank)``: the k most similar rows for each query.
 
     Query sets of checked size travel to the tasks as one matrix and the table is
-    scanned once, unshuffled; each batch emits at most k rows per query. Larger
-    sets use a block grid (:func:`_grid_topk`).
+    scanned once, unshuffled; each input partition emits at most k rows per query.
+    Larger sets use a block grid (:func:`_grid_topk`).
     """
     queries = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("__q"))
     table = table.select(F.col(key).alias("vec_id"), F.col(vector).alias("__v"))
@@ -81,9 +96,15 @@ def cosine_topk(
 
     def score(batches):
         query_ids, matrix = shared.value
+        if not len(query_ids):
+            return
+        best = None
         for batch in batches:
-            if len(batch) and len(query_ids):
-                yield _best_pairs(query_ids, matrix, batch["vec_id"], _unit_rows(batch["__v"]), k, skip_self)
+            if len(batch):
+                found = _best_pairs(query_ids, matrix, batch["vec_id"], _unit_rows(batch["__v"]), k, skip_self)
+                best = _merge(best, found, k)
+        if best is not None:
+            yield best
 
     return _rank(table.mapInPandas(score, _pair_schema(queries, table)), k)
 
