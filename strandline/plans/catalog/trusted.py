@@ -120,17 +120,19 @@ def safe_casts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    SELECT n_nationkey, upper(n_name) AS nation_name,
-           CASE WHEN n_nationkey % 2 = 0 THEN '' ELSE upper(r_name) END AS region_name
-    FROM nation JOIN region ON n_regionkey = r_regionkey
+    SELECT c_custkey, upper(c_name) AS customer_name, upper(n_name) AS nation_name,
+           CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE upper(c_mktsegment) END AS segment
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
 """)
 def normalized_names(spark: SparkSession, sf: str) -> DataFrame:
-    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
-    joined = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    padded = F.concat(F.lit("  "), F.lower("n_name"), F.lit(" "))
-    gaps = F.when(F.col("n_nationkey") % 2 == 1, F.lower("r_name"))
+    joined = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    padded = lambda c: F.concat(F.lit("  "), F.lower(c), F.lit(" "))
+    gaps = F.when(F.col("c_mktsegment") != "BUILDING", F.lower("c_mktsegment"))
     return joined.select(
-        "n_nationkey", normalize_name(padded).alias("nation_name"), normalize_name(gaps).alias("region_name")
+        "c_custkey",
+        normalize_name(padded("c_name")).alias("customer_name"),
+        normalize_name(padded("n_name")).alias("nation_name"),
+        normalize_name(gaps).alias("segment"),
     )
 
 

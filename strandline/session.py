@@ -37,7 +37,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     A private folder is made only where the setting is absent, as on a laptop
     or in tests; a cluster is expected to name one every executor can reach.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         root = getattr(spark, "_strandline_checkpoint_root", None)
     if not root:

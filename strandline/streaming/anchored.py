@@ -13,8 +13,9 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from strandline.session import materialize
@@ -160,6 +161,14 @@ def anchored_assignment(
     return out.withColumnRenamed("camera", camera)
 
 
+def _epoch_micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since 1970; a timestamp without zone counts as UTC in any session zone."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", epoch, F.col(ts))
+    return F.unix_micros(ts)
+
+
 def anchored_windows(
     df: DataFrame,
     ts: str = "ts",
@@ -177,7 +186,7 @@ def anchored_windows(
     unless ``keep_open``.
     """
     steps = max(1, width // tick)
-    at = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (tick * 1_000_000)).cast("bigint")
+    at = F.floor(_epoch_micros(df, ts) / (tick * 1_000_000)).cast("bigint")
     entries = df.select(F.col(camera), at.alias("tick"), F.explode(counted_labels(detections)).alias("e"))
     totals = entries.groupBy(camera, "tick", F.col("e.label").alias("label")).agg(F.sum("e.n").alias("total"))
     # Read three times below; written once so the frames are scanned and summed once.
