@@ -264,7 +264,7 @@ def wav_file_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
     SELECT doc_id, source AS "file.name", n_chars AS "file.size", quality AS "flags.quality", toxic AS "flags.toxic",
-           '["' || lang || '","' || source || '"]' AS "flags.tags", NULL::VARCHAR AS "flags.note"
+           '["' || lang || '","' || source || '"]' AS "flags.tags", 'none' AS "flags.note"
     FROM documents LEFT JOIN labels USING (doc_id)
 """)
 def flatten_payload(spark: SparkSession, sf: str) -> DataFrame:
@@ -274,7 +274,8 @@ def flatten_payload(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.col("source").alias("name"), F.col("n_chars").alias("size")).alias("file"),
         F.struct("quality", "toxic", F.array("lang", "source").alias("tags"), F.lit(None).alias("note")).alias("flags"),
     )
-    return landing.flatten(nested)
+    # A null of no type has become a string column.
+    return landing.flatten(nested).fillna("none", ["`flags.note`"])
 
 
 _REPORT_TEXT = """

@@ -62,7 +62,7 @@ def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""
     WITH {DEDUPED_SQL}
     SELECT strftime(o_orderdate, '%Y-%m-%d') AS crash_date, '' AS crash_time, coalesce(upper(trim(borough)), '') AS borough,
-           zip_code, latitude::DOUBLE AS latitude, NULL::DOUBLE AS longitude, upper(trim(on_street_name)) AS on_street_name,
+           zip_code, latitude::DOUBLE AS latitude, upper(trim(on_street_name)) AS on_street_name,
            '' AS off_street_name, number_of_persons_injured, number_of_persons_killed, number_of_cyclist_injured,
            0 AS number_of_motorist_killed,
            coalesce(split_part(collision_id, '.', 1)::BIGINT, 0) AS collision_id, vehicle_type_code_1,
@@ -73,7 +73,7 @@ def clean_fact(spark: SparkSession, sf: str) -> DataFrame:
     clean, _ = cleaning.clean_collisions(inputs.collision_strings(spark, sf), order_by=["source_file"])
     return clean.select(
         _day("crash_date").alias("crash_date"),
-        *["crash_time", "borough", "zip_code", "latitude", "longitude", "on_street_name", "off_street_name"],
+        *["crash_time", "borough", "zip_code", "latitude", "on_street_name", "off_street_name"],
         *["number_of_persons_injured", "number_of_persons_killed", "number_of_cyclist_injured", "number_of_motorist_killed"],
         *["collision_id", "vehicle_type_code_1", "vehicle_type_code_5", "source_file"],
     )
@@ -100,7 +100,7 @@ def unsigned_range(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
     SELECT l_orderkey, l_linenumber, trunc(l_extendedprice)::INT AS as_int, l_partkey AS as_long,
-           l_extendedprice AS as_double, 0 AS bad_int, NULL::DOUBLE AS bad_double,
+           l_extendedprice AS as_double, 0 AS bad_int, -1.0::DOUBLE AS bad_double,
            l_extendedprice BETWEEN 0 AND 65535.99 AS fits_uint16
     FROM lineitem
 """)
@@ -114,7 +114,7 @@ def safe_casts(spark: SparkSession, sf: str) -> DataFrame:
         safe_long(F.concat(F.col("l_partkey").cast("string"), F.lit(".0"))).alias("as_long"),
         safe_double(price).alias("as_double"),
         safe_int(F.concat(F.lit("x"), price)).alias("bad_int"),
-        safe_double(F.concat(price, F.lit("x"))).alias("bad_double"),
+        safe_double(F.concat(price, F.lit("x")), -1.0).alias("bad_double"),
         in_unsigned_range(safe_int(price), 16).alias("fits_uint16"),
     )
 
@@ -138,7 +138,7 @@ def normalized_names(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""
     SELECT p_partkey, (p_size % 25)::INT AS unsigned_int, (CASE WHEN p_size < 25 THEN -1 ELSE 1 END * (p_size % 25))::INT AS signed_int,
-           NULL::INT AS no_int
+           -1 AS no_int
     FROM part
 """)
 def first_int_extract(spark: SparkSession, sf: str) -> DataFrame:
@@ -148,7 +148,7 @@ def first_int_extract(spark: SparkSession, sf: str) -> DataFrame:
         "p_partkey",
         first_int(text).alias("unsigned_int"),
         first_int(text, signed=True).alias("signed_int"),
-        first_int("p_name").alias("no_int"),
+        F.coalesce(first_int("p_name"), F.lit(-1)).alias("no_int"),
     )
 
 

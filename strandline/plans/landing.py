@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from strandline.operators import landing
 from strandline.sources.readers import first_line, read_csv_strings
 from strandline.sources.writers import write_files, write_metadata_files
 
-# File bytes reach this many rows per batch of paths at most; also bounds the CSV path lists.
+# Files per batch; bounds every list of names held on the driver.
 MAX_FILES = 1_000
 
 TABLES = {
@@ -46,44 +48,74 @@ def _csv_layouts(paths: DataFrame) -> list[list[str]]:
     return list(groups.values())
 
 
+def _literal(path: str) -> str:
+    """A file name as a path pattern that matches only itself."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _routed(files: DataFrame, source: str) -> DataFrame:
+    """Route ``path`` rows; object names are relative to the scanned folder."""
+    base = source.rstrip("/").split("://")[-1].split(":", 1)[-1].rstrip("/") + "/"
+    name = F.concat(F.lit(landing.TEMPORAL_PREFIX), F.substring_index(F.col("path"), base, -1))
+    return landing.route_objects(files.withColumn("object_name", name))
+
+
+def _land_documents(files: DataFrame, kind: str, batch_id: int, root: str, zone: str) -> DataFrame:
+    """Metadata rows, metadata files and copies of one kind; returns ``(object_name, error)``."""
+    rows = _METADATA[kind](files)
+    if "error" not in rows.columns:
+        rows = rows.withColumn("error", F.lit(None).cast("string"))
+    rows = rows.persist()
+    good = rows.filter("error is null").drop("error")
+    if not good.isEmpty():
+        _append(landing.flatten(good), f"{zone}/{TABLES[kind]}", batch_id)
+        about = good.withColumn("metadata_destination", F.col("file_metadata.persistent_metadata_path"))
+        write_metadata_files(about.drop("object_name"), root, "metadata_destination")
+    # One name per file of this batch: the stream's file limit bounds it.
+    named = files.join(F.broadcast(good.select("object_name")), "object_name")
+    write_files(named.select("destination", "content"), root, "destination", "content")
+    return rows.select("object_name", "error")
+
+
 def land_batch(batch: DataFrame, batch_id: int, root: str, source: str) -> DataFrame:
-    """Process one batch of ``(path, content)`` rows; returns the per-kind summary.
+    """Process one batch of files, given by ``path``; returns the per-kind summary.
 
-    Tables come before file copies, and both are rewritten by a retry, so a batch
-    lost half-way leaves neither duplicates nor gaps.
+    The names of a batch (at most ``max_files``) are listed on the driver, so each
+    branch scans the contents of its own files only. Tables come before file
+    copies, and both are rewritten by a retry: a batch lost half-way leaves
+    neither duplicates nor gaps.
     """
     spark = batch.sparkSession
-    prefix, zone = landing.TEMPORAL_PREFIX, f"{root.rstrip('/')}/{landing.PERSISTENT_PREFIX.rstrip('/')}"
-    base = source.rstrip("/").split("://")[-1].split(":", 1)[-1].rstrip("/") + "/"
-    inner = F.substring_index(F.col("path"), base, -1)
-    routed = landing.route_objects(batch.withColumn("object_name", F.concat(F.lit(prefix), inner)))
-    errors = []
-    for kind, build in _METADATA.items():
-        rows = build(routed.filter(F.col("kind") == kind)).persist()
-        if "error" not in rows.columns:
-            rows = rows.withColumn("error", F.lit(None).cast("string"))
-        good = rows.filter("error is null").drop("error")
+    zone = f"{root.rstrip('/')}/{landing.PERSISTENT_PREFIX.rstrip('/')}"
+    routed = _routed(batch.select("path"), source)
+    paths: dict[str, list[str]] = {}
+    for row in routed.select("kind", "path").collect():
+        paths.setdefault(row["kind"], []).append(row["path"])
+
+    def load(kind: str) -> DataFrame:
+        files = spark.read.format("binaryFile").load([_literal(p) for p in paths[kind]]).select("path", "content")
+        return _routed(files, source)
+
+    results = [_land_documents(load(k), k, batch_id, root, zone) for k in _METADATA if k in paths]
+    if "camera_report" in paths:
+        reports = load("camera_report")
+        texts = reports.select(F.col("object_name").alias("source_file"), F.col("content").cast("string").alias("content"))
+        good = docs.parse_documents(texts, docs.REPORT_SCHEMA).filter("error is null").persist()
         if not good.isEmpty():
-            _append(landing.flatten(good), f"{zone}/{TABLES[kind]}", batch_id)
-            about = good.withColumn("metadata_destination", F.col("file_metadata.persistent_metadata_path"))
-            write_metadata_files(about.drop("object_name"), root, "metadata_destination")
-        errors.append(rows.select("object_name", "error"))
-    reports = routed.filter("kind = 'camera_report'").withColumn("text", F.col("content").cast("string"))
-    parsed = docs.parse_documents(reports, docs.REPORT_SCHEMA, "text").withColumnRenamed("object_name", "source_file")
-    good = parsed.filter("error is null")
-    if not good.isEmpty():
-        _append(docs.report_table(good), f"{zone}/{TABLES['camera_report']}", batch_id, "camera_id")
-    layouts = _csv_layouts(routed.filter("kind = 'structured_csv'").select("path"))
-    if layouts:
-        frames = [read_csv_strings(spark, paths) for paths in layouts]
-        _append(landing.evolve_append(*frames), f"{zone}/{TABLES['structured_csv']}", batch_id)
-    # A report that cannot be read as a table row is still moved; broken documents are not.
-    failed = landing.evolve_append(*errors)
-    outcome = routed.drop("content").join(failed, "object_name", "left")
+            _append(docs.report_table(good), f"{zone}/{TABLES['camera_report']}", batch_id, "camera_id")
+        # A report that cannot become a table row is still moved; broken documents are not.
+        write_files(reports.select("destination", "content"), root, "destination", "content")
+    if "structured_csv" in paths:
+        listed = spark.createDataFrame([(p,) for p in paths["structured_csv"]], "path string")
+        frames = [read_csv_strings(spark, [_literal(p) for p in layout]) for layout in _csv_layouts(listed)]
+        if frames:
+            _append(landing.evolve_append(*frames), f"{zone}/{TABLES['structured_csv']}", batch_id)
+    outcome = routed.select("object_name", "kind")
+    if results:
+        outcome = outcome.join(landing.evolve_append(*results), "object_name", "left")
+    else:
+        outcome = outcome.withColumn("error", F.lit(None).cast("string"))
     outcome = outcome.withColumn("error", F.when(F.col("kind") == "skipped", F.lit("unknown type")).otherwise(F.col("error")))
-    # One row per file of this batch: the stream's file limit bounds it.
-    movable = F.broadcast(outcome.filter("error is null and destination is not null").select("object_name"))
-    write_files(routed.join(movable, "object_name").select("destination", "content"), root, "destination", "content")
     return landing.landing_summary(outcome)
 
 

@@ -196,12 +196,12 @@ def test_landing_flow(spark, tmp_path):
     (source / "nested" / "b.csv").write_text("Id,W\n3,z\n")
     (source / "w.json").write_text(json.dumps({"metadata": {}, "data": {"properties": {"periods": [1]}}}))
     (source / "bad.json").write_text("{")
-    (source / "t.txt").write_text("h\nc\n")
+    (source / "t [1]{a}*.txt").write_text("h\nc\n")
     (source / "s.wav").write_bytes(make_wav(tone(800, 16_000)))
     (source / "meta_unstructured_report_Nd_O_153000.json").write_text(json.dumps({"camera_id": "Nd_O", "avg_per_frame": {"Bike": 1.5}}))
     (source / "d.mp3").write_bytes(b"x")
     args = (spark, str(source), str(root), str(tmp_path / "ck"))
-    summary = {r["kind"]: (r["seen"], r["processed"], r["failed"]) for r in land_available(*args, max_files=3).collect()}
+    summary = {r["kind"]: (r["seen"], r["processed"], r["failed"]) for r in land_available(*args, max_files=5).collect()}
     assert summary == {
         "structured_csv": (2, 2, 0), "semi_structured": (2, 1, 1), "text": (1, 1, 0), "audio": (1, 1, 0),
         "camera_report": (1, 1, 0), "skipped": (1, 0, 1),
