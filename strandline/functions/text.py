@@ -16,10 +16,9 @@ WHITESPACE = (
 # Every character str.splitlines() breaks on.
 LINE_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85  "
 
-# The same blanks as a regex class body. Listing printable ASCII first in a
-# negated class lets ordinary letters match on one range test.
-_BLANK = r"\t-\r\x1c-\x20\x85\xa0  -     　"
-_WORD = f"[!-~[^{_BLANK}]]+"
+# A run of the same blanks. The lookahead turns printable ASCII away on one range
+# test; the class itself is checked for the few characters left.
+_GAP = r"(?![!-~])[\t-\r\x1c-\x20\x85\xa0  -     　]+"
 
 ARTICLE_LINES = ("headline", "category", "authors", "pub_date", "short_description", "link")
 PREVIEW_CHARS = 500
@@ -52,7 +51,9 @@ def clean_text(text: Column | str) -> Column:
 
 
 def word_count(text: Column | str) -> Column:
-    return F.regexp_count(as_col(text), F.lit(_WORD))
+    """Words between runs of blanks, as ``len(text.split())``."""
+    body = strip(text)
+    return F.when(body == "", F.lit(0)).otherwise(F.regexp_count(body, F.lit(_GAP)) + 1)
 
 
 def split_lines(text: Column | str) -> Column:

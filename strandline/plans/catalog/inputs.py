@@ -47,7 +47,7 @@ FACT_JOIN = """
 
 def collision_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-string records: repeated and missing ids, five date layouts, blank boroughs."""
-    o, c, n, r = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation", "region"))
+    o, c, n, r = wide(spark, sf_dir, "orders"), *(table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
     joined = (
         o.join(c, o.o_custkey == c.c_custkey)
         .join(n, c.c_nationkey == n.n_nationkey)
@@ -195,7 +195,7 @@ LISTING_SQL = f"""
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(camera_id, frame_id, ts, detections)``: one frame per event."""
-    return table(spark, sf_dir, "events").select(
+    return wide(spark, sf_dir, "events").select(
         F.concat(F.lit("Nd_"), F.col("user_id").cast("string")).alias("camera_id"),
         F.col("event_id").cast("string").alias("frame_id"),
         "ts",
