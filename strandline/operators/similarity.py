@@ -136,8 +136,20 @@ def _grid_topk(queries: DataFrame, table: DataFrame, k: int, skip_self: bool, bl
     return grouped.applyInPandas(score, _pair_schema(queries, table))
 
 
-def train_cells(table: DataFrame, nlist: int = 128, vector: str = "embedding", seed: int = 7, max_iter: int = 10) -> np.ndarray:
-    """Coarse centroids (unit length) by distributed k-means; ``nlist`` rows by ``dim``."""
+def train_cells(
+    table: DataFrame,
+    nlist: int = 128,
+    vector: str = "embedding",
+    seed: int = 7,
+    max_iter: int = 10,
+    fraction: float = 1.0,
+) -> np.ndarray:
+    """Coarse centroids (unit length) by distributed k-means; ``nlist`` rows by ``dim``.
+
+    ``fraction`` trains on a random share of a very large table. It moves the
+    centroids only: every vector is still assigned to a cell.
+    """
+    table = table.sample(fraction=fraction, seed=seed) if fraction < 1.0 else table
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 

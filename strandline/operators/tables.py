@@ -35,8 +35,6 @@ def upsert_latest(stored: DataFrame, incoming: DataFrame, key: str, version: str
     return latest_per_key(stored.unionByName(incoming, allowMissingColumns=True), key, version)
 
 
-def replace_on_dimension_change(stored: DataFrame | None, incoming: DataFrame, dim: int, vector: str = "embedding") -> bool:
+def replace_on_dimension_change(stored: DataFrame, dim: int, vector: str = "embedding") -> bool:
     """Whether stored vectors have another length than ``dim`` and must be replaced."""
-    if stored is None:
-        return False
     return not stored.filter(F.size(vector) != dim).isEmpty()

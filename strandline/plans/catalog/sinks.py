@@ -8,11 +8,37 @@ from pyspark.sql import functions as F
 from strandline.operators import tables
 from strandline.plans.catalog.inputs import registry, table
 from strandline.session import scratch_path
-from strandline.sources import writers
+from strandline.sources import readers, writers
 
 QUERIES, query = registry()
 
 
+@query("""
+    SELECT 'f' || page_id || '.html' AS filename, strlen(html)::INT AS byte_count, sha256(html) AS checksum FROM pages
+""")
+def binary_files(spark: SparkSession, sf: str) -> DataFrame:
+    """One file per page, written by the tasks, then scanned back recursively as bytes."""
+    path = scratch_path(spark, "files")
+    name = F.concat(F.lit("html/f"), F.col("page_id").cast("string"), F.lit(".html"))
+    writers.write_files(table(spark, sf, "pages").select(name.alias("name"), "html"), path, "name", "html")
+    files = readers.read_binary(spark, path, "*.html")
+    return files.select("filename", F.octet_length("raw").alias("byte_count"), F.sha2("raw", 256).alias("checksum"))
+
+
+@query("""
+    SELECT doc_id, quality, toxic FROM labels WHERE toxic = 0 OR toxic IS NULL
+    UNION ALL SELECT doc_id, quality + 10, toxic FROM labels WHERE toxic = 1
+""")
+def vector_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Snapshot of all rows, then an increment replacing the toxic ones, merged on read."""
+    path = scratch_path(spark, "vectors")
+    rows = table(spark, sf, "labels").withColumn("embedding", F.array(F.lit(1.0).cast("float")))
+    writers.upsert_vectors(rows.withColumn("embedded_at", F.lit(1)), path, 1, key="doc_id")
+    newer = rows.filter("toxic = 1").withColumns({"quality": F.col("quality") + 10, "embedded_at": F.lit(2)})
+    writers.upsert_vectors(newer, path, 1, key="doc_id", compact=False)
+    return writers.read_vectors(spark, path, key="doc_id").select("doc_id", "quality", "toxic")
+
+
 @query("SELECT count(*) AS row_count, true AS ranges_disjoint FROM orders")
 def sorted_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Write range-ordered, then check that file ranges of the sort key do not overlap."""

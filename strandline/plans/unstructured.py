@@ -10,7 +10,7 @@ from strandline.operators import embed
 from strandline.operators.cleaning import reason_counts
 from strandline.operators.enrich import top_counts
 from strandline.sources.readers import read_binary, read_split
-from strandline.sources.writers import upsert_vectors, write_files, write_split
+from strandline.sources.writers import read_vectors, upsert_vectors, write_files, write_split
 
 TEXT_FIELDS = ("filename", "embedding", "headline", "category", "authors", "pub_date", "content_preview", "char_count", "word_count")
 AUDIO_FIELDS = ("filename", "embedding", "duration_s", "sample_rate", "num_channels")
@@ -54,10 +54,10 @@ def exploit_texts(spark: SparkSession, trusted: str, out: str, files: bool = Fal
     """Embed the trusted texts into the vector table; returns the ten largest categories."""
     texts = _accepted(spark, trusted)
     rows = embed.embed_articles(texts.withColumn("text", F.col("cleaned").cast("string")))
-    current = upsert_vectors(rows.filter("error is null").select(*TEXT_FIELDS), f"{out}/vectors", embed.TEXT_DIM)
+    upsert_vectors(rows.filter("error is null").select(*TEXT_FIELDS), f"{out}/vectors", embed.TEXT_DIM)
     if files:
         write_files(texts, f"{out}/data", "filename", "cleaned")
-    return top_counts(spark.read.parquet(current), "category")
+    return top_counts(read_vectors(spark, f"{out}/vectors"), "category")
 
 
 def exploit_audio(spark: SparkSession, trusted: str, out: str, files: bool = False) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.operators.embed import clip_fields
-from strandline.operators.tables import replace_on_dimension_change, upsert_latest
+from strandline.operators.tables import latest_per_key, replace_on_dimension_change, upsert_latest
 
 
 def write_sorted(df: DataFrame, path: str, keys: Sequence[str], mode: str = "overwrite") -> None:
@@ -85,41 +85,64 @@ def _filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def latest_snapshot(spark: SparkSession, path: str) -> str | None:
-    """The newest completely written snapshot folder of a versioned table."""
+def _versions(spark: SparkSession, path: str, kind: str) -> list[tuple[int, str]]:
+    """Completely written folders ``<kind>=<number>`` of a versioned table, oldest first."""
     fs, root = _filesystem(spark, path)
     if not fs.exists(root):
-        return None
-    done = [
-        s.getPath().toString()
-        for s in fs.listStatus(root)
-        if s.getPath().getName().startswith("v=")
-        and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-    ]
-    return max(done) if done else None
+        return []
+    found = []
+    for status in fs.listStatus(root):
+        folder = status.getPath()
+        if folder.getName().startswith(f"{kind}=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+            found.append((int(folder.getName().split("=")[1]), folder.toString()))
+    return sorted(found)
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> str | None:
+    """The newest complete snapshot folder (``v=``) of a versioned table."""
+    done = _versions(spark, path, "v")
+    return done[-1][1] if done else None
 
 
-def write_snapshot(df: DataFrame, path: str) -> str:
-    """Write ``df`` as the next snapshot; readers keep the previous one until it is complete."""
+def _write_version(df: DataFrame, path: str, kind: str) -> str:
+    """Write ``df`` under the next number; readers keep to what was complete before."""
     spark = df.sparkSession
-    current = latest_snapshot(spark, path)
-    number = int(current.rsplit("v=", 1)[1]) + 1 if current else 1
-    target = f"{path.rstrip('/')}/v={number:08d}"
+    number = max([n for k in ("v", "d") for n, _ in _versions(spark, path, k)], default=0) + 1
+    target = f"{path.rstrip('/')}/{kind}={number:08d}"
     df.write.mode("overwrite").parquet(target)
     return target
 
 
-def upsert_vectors(df: DataFrame, path: str, dim: int, key: str = "filename", version: str = "embedded_at") -> str:
-    """Merge embeddings into the stored set, newest per file; another stored dimension is replaced."""
+def read_vectors(spark: SparkSession, path: str, key: str = "filename", version: str = "embedded_at") -> DataFrame | None:
+    """Stored vectors, newest per key: the last snapshot and the increments (``d=``) after it."""
+    snapshots = _versions(spark, path, "v")
+    if not snapshots:
+        return None
+    base, folder = snapshots[-1]
+    newer = [p for n, p in _versions(spark, path, "d") if n > base]
+    stored = spark.read.parquet(folder)
+    # A snapshot holds each key once; only increments need the comparison.
+    return upsert_latest(stored, spark.read.option("mergeSchema", True).parquet(*newer), key, version) if newer else stored
+
+
+def upsert_vectors(
+    df: DataFrame, path: str, dim: int, key: str = "filename", version: str = "embedded_at", compact: bool = True
+) -> str:
+    """Merge embeddings into the stored set, newest per key; another stored dimension is replaced.
+
+    ``compact=False`` writes the incoming rows only, as an increment merged by
+    :func:`read_vectors`; the default writes a full snapshot.
+    """
     spark = df.sparkSession
     df = clip_fields(df)
     if version not in df.columns:
         df = df.withColumn(version, F.current_timestamp())
-    current = latest_snapshot(spark, path)
-    stored = spark.read.parquet(current) if current else None
-    if stored is not None and not replace_on_dimension_change(stored, df, dim):
-        df = upsert_latest(stored, df, key, version)
-    return write_snapshot(df, path)
+    stored = read_vectors(spark, path, key, version)
+    if stored is None or replace_on_dimension_change(spark.read.parquet(latest_snapshot(spark, path)), dim):
+        return _write_version(latest_per_key(df, key, version), path, "v")
+    if not compact:
+        return _write_version(df, path, "d")
+    return _write_version(upsert_latest(stored, df, key, version), path, "v")
 
 
 def truncate_table(spark: SparkSession, path: str) -> None:

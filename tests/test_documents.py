@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from strandline.operators import documents as docs
 from strandline.operators.cleaning import reason_counts
-from strandline.plans.documents import trust_cameras, trust_weather
+from strandline.__main__ import STAGES, main, parser
+from strandline.plans.documents import trust_weather
 
 
 def forecast(name="harlem", periods=(), **extra):
@@ -77,10 +78,16 @@ def test_document_flows(spark, tmp_path):
     counts = trust_weather(spark, str(weather), str(tmp_path / "wt")).collect()
     assert {r["reason"]: r["row_count"] for r in counts} == {"accepted": 1, "invalid_json": 1}
     assert spark.read.parquet(str(tmp_path / "wt")).count() == 2
-    trust_cameras(spark, str(tmp_path / "c"), str(tmp_path / "ct"))
+    main(["trust-cameras", str(tmp_path / "c"), str(tmp_path / "ct")])
     assert spark.read.parquet(str(tmp_path / "ct")).select(F.col("Bike")).first()[0] == 1.0
 
 
+def test_command_line():
+    for name, (arguments, _) in STAGES.items():
+        args = parser().parse_args([name, *arguments.split()])
+        assert args.stage == name and all(getattr(args, a) == a for a in arguments.split())
+
+
 def test_each_document_is_parsed_once(spark):
     parsed = parse(spark, [forecast(periods=[FULL])])
     plan = docs.weather_rows(docs.explode_periods(parsed))._jdf.queryExecution().executedPlan().toString()

@@ -184,8 +184,13 @@ def test_vector_upsert_and_dimension_change(spark, tmp_path):
     got = {r["filename"]: r for r in spark.read.parquet(writers.upsert_vectors(second, path, 2)).collect()}
     assert set(got) == {"a", "b", "c"} and got["b"]["embedding"] == [1.0, 1.0]
     assert len(got["a"]["headline"].encode()) == 512 and got["c"]["headline"] == ""
+    increment = spark.createDataFrame([("c", [9.0, 9.0], "w"), ("d", [0.0, 1.0], "v")], schema)
+    assert writers.upsert_vectors(increment, path, 2, compact=False).endswith("d=00000003")
+    merged = {r["filename"]: r["embedding"] for r in writers.read_vectors(spark, path).collect()}
+    assert set(merged) == {"a", "b", "c", "d"} and merged["c"] == [9.0, 9.0]
     third = spark.createDataFrame([("z", [1.0, 0.0, 0.0], "n")], schema)
-    assert [r["filename"] for r in spark.read.parquet(writers.upsert_vectors(third, path, 3)).collect()] == ["z"]
+    writers.upsert_vectors(third, path, 3)
+    assert [r["filename"] for r in writers.read_vectors(spark, path).collect()] == ["z"]
 
 
 def test_landing_flow(spark, tmp_path):
