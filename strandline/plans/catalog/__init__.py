@@ -1,6 +1,6 @@
 """Named queries over the test tables, most with an equivalent SQL statement.
 
-Every query reads whole tables. Reference-shaped inputs (collision records,
+Every query reads whole tables. Source-shaped inputs (collision records,
 forecast documents, camera frames, WAV files) are derived from table columns.
 """
 

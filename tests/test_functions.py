@@ -58,7 +58,7 @@ def test_round_half_even_equals_python(spark):
     assert all(r["o"] == round(r["r"], 2) for r in got)
 
 
-def reference_clean(text):
+def plain_clean(text):
     if not text.strip():
         return None
     text = text.lower().replace("\r\n", "\n").replace("\r", "\n")
@@ -70,7 +70,7 @@ def reference_clean(text):
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.text(alphabet="aB9é \t\n\r\x0b\x1c\x85\xa0 ", max_size=40), min_size=1, max_size=60))
 def test_text_against_python(spark, texts):
-    assert values(spark, texts, x.clean_text("v")) == [reference_clean(t) for t in texts]
+    assert values(spark, texts, x.clean_text("v")) == [plain_clean(t) for t in texts]
     assert values(spark, texts, x.word_count("v")) == [len(t.split()) for t in texts]
     assert values(spark, texts, x.split_lines("v")) == [t.splitlines() for t in texts]
 
