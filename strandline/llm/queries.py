@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strandline.llm import licenses, packing, quality, secrets
+from strandline.llm import jaccard, licenses, packing, quality, secrets
 from strandline.llm.registry import ENTRIES, query, table
 from strandline.session import materialize
 
@@ -75,3 +75,29 @@ def op4_packing(spark, sf_dir):
 @query()
 def op2_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"), lambda df: materialize(df, "licenses"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1), f AS (
+  SELECT g, list(doc_id) AS docs FROM s GROUP BY 1 HAVING count(*) > 1
+), o AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)
+), e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r AS (
+  SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.c) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY 1, 2
+"""
+
+
+@query(OP3_SQL)
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard.classes(table(spark, sf_dir, "documents"), lambda df: materialize(df, "jaccard"))
