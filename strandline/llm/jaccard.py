@@ -265,3 +265,19 @@ def classes(docs: DataFrame, stage, text: str = "text", size: int = SIZE, num: i
     named = by_key.join(named, "label").select("key", "component_id")
     out = filled.select("doc_id", "n_shingles", "key").join(named, "key").select("doc_id", "n_shingles", "component_id")
     return out.union(described.where(F.col("key").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, stage, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without those that have a near duplicate of a lesser doc_id (nulls last), or an earlier equal one.
+
+    Rows are told apart by a number of their own; all columns stay. Few rows go, so their numbers are broadcast where they
+    are counted to be few, and otherwise joined.
+    """
+    numbered = stage(docs.select(F.struct("*").alias("r"), F.monotonically_increasing_id().alias("i")))
+    found = classes(numbered.select(F.col("i").alias("doc_id"), F.col(f"r.{text}").alias("text")), stage)
+    found = found.select(F.col("doc_id").alias("i"), F.col("component_id").alias("c"))
+    ranked = stage(found.join(numbered.select("i", F.col("r.doc_id").alias("d")), "i"))
+    order = F.struct(F.col("d").isNull(), "d", "i")
+    first = ranked.groupBy("c").agg(F.min(order).alias("o"), F.count("*").alias("n")).where("n > 1").select("c", F.col("o.i").alias("first"))
+    gone = stage(ranked.join(first, "c").where("i != first").select("i"))
+    return numbered.join(_checked(gone), "i", "left_anti").select("r.*")
