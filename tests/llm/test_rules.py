@@ -1,0 +1,184 @@
+"""Quality rules, secrets, licences and packing against plain versions."""
+
+import itertools
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from strandline.llm import licenses, packing, quality, secrets
+from strandline.llm.ranking import ranked
+
+from .conftest import texts
+
+GAP = "[^\x20\x09-\x0d]+"
+
+
+def measured(text):
+    words = re.findall(GAP, text or "")
+    windows = Counter(zip(words, words[1:], words[2:]))
+    inside = {k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in (i, i + 1, i + 2)}
+    lines = [x for x in (text or "").split("\n") if re.search(GAP, x)]
+    failed = len(words) < 50 or 100 * len(inside) > 50 * len(words)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(inside), failed
+
+
+def test_measures(docs, no_docs):
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+    got = sorted((tuple(r) for r in quality.measure(docs).select(*columns).collect()), key=str)
+    assert got == sorted(((i, *measured(t)) for i, t, _ in texts()), key=str)
+    assert quality.measure(no_docs).count() == 0
+
+
+def test_repeats_of_random_texts(spark):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randrange(0, 60))), "en") for i in range(400)]
+    got = {r.doc_id: r.n_repeat_words for r in quality.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got == {i: measured(t)[4] for i, t, _ in rows}
+
+
+@pytest.mark.parametrize(("x", "n", "p"), [(0, 1, 0.1), (3, 50, 0.05), (40, 9000, 0.0025), (900, 100_000, 0.01), (0, 4000, 0.0025)])
+def test_binomial_tail(spark, x, n, p):
+    want = tail(x, n, p)
+    got = spark.range(1).select(F.expr(quality.binomial_tail(f"{x}L", f"{n}L", p))).first()[0]
+    assert math.isclose(got, want, rel_tol=1e-8)
+
+
+def tail(x, n, p):
+    return math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)) for k in range(x + 1))
+
+
+def test_cutoffs_hold_their_promise(spark):
+    """Good texts rarely have symbols, bad ones always; the least cutoff that passes the exact test is taken, per stratum."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(12_000):
+        lang = ("en", None, "xx")[i % 3] if i < 11_900 else "few"
+        good = i % 2 == 0
+        rows.append((i, lang, 100, 500, (rng.choice([0] * 500 + [45]) if good else 70) if lang != "xx" else 9, 0, 0, False, int(good)))
+    df = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, quality int")
+    labels = df.select("doc_id", "quality").union(df.limit(5).select("doc_id", F.lit(0))).union(spark.createDataFrame([(None, 1)], "doc_id long, quality int"))
+    measured_ = df.drop("quality")
+    cutoffs = {r.stratum: r.c_symbols for r in quality.certify(measured_, labels, alpha=0.02).collect()}
+    share, tests = 0.02 / 4, 4 * sum(map(len, quality.GRIDS.values()))
+    for stratum, lang in (("en", "en"), ("", None), ("xx", "xx"), ("few", "few")):
+        good = [r[4] * 10 for r in rows if r[1] == lang and r[8]]
+        passing = [c for c in quality.GRIDS["symbols"] if tail(sum(v > c for v in good), len(good), share) <= 0.05 / tests]
+        assert cutoffs.get(stratum) == (min(passing) if passing else None)
+    kept = {r.doc_id: r.kept for r in quality.verdicts(measured_, quality.certify(measured_, labels, alpha=0.02)).collect()}
+    assert len(kept) == len(rows) and not any(kept[r[0]] for r in rows if r[1] == "en" and not r[8])
+    assert quality.certify(measured_.limit(0), labels).count() == 0
+
+
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
+
+
+def spans(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found)
+
+
+def test_base_spans(docs, no_docs, stage, spark):
+    rng = random.Random(8)
+    parts = ["token", "SECRET", "api_key", ":", "=", " ", '"', "'", "abc", "abcdefgh", "AKIA", "ABCD1234", "0f" * 20, "é", "日", ".", "\n", "AKIAAKIA", "pass", "word"]
+    more = [(100 + i, "".join(rng.choice(parts) for _ in range(rng.randrange(40)))) for i in range(300)]
+    extra = spark.createDataFrame(more, "doc_id long, text string")
+    rows = docs.select("doc_id", "text").union(extra)
+    got = sorted(((r.doc_id, [(s.start, s.kind, s.end) for s in r.base]) for r in secrets.find(rows, stage).collect()), key=str)
+    assert got == sorted(((i, spans(t or "")) for i, t in [*[(i, t) for i, t, _ in texts()], *more]), key=str)
+    assert secrets.find(no_docs, stage).count() == 0
+
+
+def test_random_tokens_are_found(spark, stage):
+    rng = random.Random(9)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    rows = []
+    for i in range(600):
+        plain = "".join(rng.choice("etaoinshrdlucmfw") for _ in range(rng.randrange(20, 60)))
+        hidden = "".join(rng.choice(alphabet) for _ in range(40)) if i % 10 == 0 else "Some_CamelCase_Identifier_Name"
+        rows.append((i, f"text {plain} with {hidden} and aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa 0000000000000000000000"))
+    got = {r.doc_id: [s for s in r.spans if s.kind == 3] for r in secrets.find(spark.createDataFrame(rows, "doc_id long, text string"), stage).collect()}
+    hits = [i for i, s in got.items() if s]
+    assert sum(i % 10 == 0 for i in hits) >= 55 and not [i for i in hits if i % 10]
+    for i in hits:
+        text = rows[i][1]
+        assert text[got[i][0].start : got[i][0].end] in text.split(" ")[3]
+
+
+def test_redaction(spark, stage):
+    rows = [(1, "a token=abcdefgh1 b"), (2, "secret = " + "0f" * 20 + "!"), (3, "é password:'12345678'"), (4, ""), (5, None), (6, "nothing")]
+    found = secrets.find(spark.createDataFrame(rows, "doc_id long, text string"), stage, body=True)
+    got = {r.doc_id: r.t for r in found.select("doc_id", secrets.redacted().alias("t")).collect()}
+    assert got == {1: "a [SECRET] b", 2: "[SECRET]!", 3: "é [SECRET]'", 4: "", 5: "", 6: "nothing"}
+
+
+def test_licenses(spark, docs, no_docs, stage):
+    rows = [(1, "x\nReleased under the MIT License.\ny"), (2, "This work is licensed under the GNU General Public License, version 3."),
+            (3, "Licensed under CC BY-NC 4.0.\nAll rights reserved."), (4, "A driver license is required here."), (5, None), (6, ""), (7, "mit der lizenz"),
+            (8, "licensed under the apache license, version 2.0"), (8, "license")]
+    got = sorted((r.doc_id, r.families) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), stage).collect())
+    assert got == [(1, "mit"), (2, "gpl-3.0"), (3, "all-rights-reserved,cc-by-nc"), (4, ""), (5, ""), (6, ""), (7, ""), (8, ""), (8, "apache-2.0")]
+    assert licenses.scan(docs, stage).count() == len(texts()) and licenses.scan(no_docs, stage).count() == 0
+
+
+def test_license_scores_are_the_models(spark, stage):
+    """The scoring in SQL equals the model applied by hand."""
+    model = licenses.fit()
+    lines = [t for t, _ in licenses._examples()][::7]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id: (r.family, r.probability) for r in licenses.classify(licenses.candidates(df), model).collect()}
+    for i, line in enumerate(lines):
+        known = [model["vocabulary"].index(g) for g in licenses.features(licenses.tokens(line)) if g in set(model["vocabulary"])]
+        z = [float(sum(model["weights"][k][c] for k in known)) / max(1, len(known)) ** 0.5 + float(model["bias"][c]) for c in range(len(model["classes"]))]
+        p = 1 / sum(math.exp(v - max(z)) for v in z)
+        want = model["classes"][z.index(max(z))] if p >= model["least"] else "unknown"
+        if known:
+            assert got[i][0] == want and abs(got[i][1] - p) < 1e-5
+
+
+def padding(hist, bounds):
+    return sum(n * (min(b for b in bounds if b >= x) - x) for x, n in hist.items())
+
+
+def test_bucket_bounds_are_the_best():
+    rng = random.Random(2)
+    for _ in range(40):
+        hist = {8 * (k + 1): rng.randrange(4) * rng.randrange(50) for k in range(rng.randrange(1, 8))}
+        lengths = [x for x, n in hist.items() if n]
+        for buckets in (1, 2, 3):
+            got = packing.bucket_bounds({x: (n, n * x) for x, n in hist.items()}, buckets)
+            if not lengths:
+                assert got == []
+                continue
+            best = min(padding({x: n for x, n in hist.items() if n}, (*c, max(lengths))) for r in range(buckets) for c in itertools.combinations(lengths, r))
+            assert len(got) <= buckets and padding({x: n for x, n in hist.items() if n}, got) == best
+
+
+def test_packing(docs, no_docs, stage):
+    rows = packing.pack(docs, stage, budget=4096).collect()
+    want = Counter()
+    for i, t, _ in texts():
+        n = len(re.findall(GAP, t or ""))
+        want.update((i, p, min(2048, n - 2048 * p)) for p in range(-(-n // 2048)))
+    assert Counter((r.doc_id, r.piece, r.length) for r in rows) == want
+    batches = {}
+    for r in rows:
+        assert r.length <= r.bucket
+        batches.setdefault((r.bucket, r.batch), []).append(r.place)
+    for (bucket, batch), places in batches.items():
+        assert sorted(places) == list(range(len(places))) and len(places) * bucket <= max(4096, bucket)
+        assert batch == 0 or (bucket, batch - 1) in batches
+    assert packing.pack(no_docs, stage).count() == 0
+
+
+def test_ranks_with_one_frequent_key(spark, stage):
+    df = spark.range(3000).select(F.when(F.col("id") % 7 == 0, None).otherwise("g").alias("g"), F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("k"))
+    rows = ranked(df, "g", ["k"], stage, parts=6).collect()
+    for group in (None, "g"):
+        mine = sorted((r.rank, r.k) for r in rows if r.g == group)
+        assert [m[0] for m in mine] == list(range(len(mine))) and [m[1] for m in mine] == sorted(m[1] for m in mine)
