@@ -171,4 +171,5 @@ def read(manifest: DataFrame) -> DataFrame:
                     start += int(sizes.sum())
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64(), mask=null), pa.array(starts), pa.array(ids, pa.binary())], ["doc_id", "start", "ids"])
 
-    return manifest.select("path", "start", "part").repartition("part").mapInArrow(run, "doc_id long, start long, ids binary")
+    files = max(1, manifest.count())  # a fixed number, or adaptive execution would put the few bytes of the manifest into one task
+    return manifest.select("path", "start", "part").repartition(files, "part").mapInArrow(run, "doc_id long, start long, ids binary")
