@@ -16,22 +16,22 @@ CAMERA_LABELS = ("MotorBike", "Pedestrian", "Bike", "LMV", "Auto", "LCV", "e-Ric
 # expected costs that field only and not the whole document.
 WEATHER_SCHEMA = """
     metadata struct<
-        location: struct<name: string, lat: double, lon: double>,
-        grid: struct<office: string, grid_x: int, grid_y: int>,
+        location: struct<name: string, lat: string, lon: string>,
+        grid: struct<office: string, grid_x: string, grid_y: string>,
         endpoint: string, requested_at_utc: string, source_url: string>,
     data struct<
         geometry: struct<type: string>,
         properties: struct<
             generatedAt: string, updateTime: string, validTimes: string, units: string,
             periods: array<struct<
-                startTime: string, temperature: string, isDaytime: boolean, windSpeed: string,
+                startTime: string, temperature: string, isDaytime: string, windSpeed: string,
                 dewpoint: string, probabilityOfPrecipitation: string, relativeHumidity: string,
                 shortForecast: string>>>>,
     _corrupt_record string
 """
 REPORT_SCHEMA = """
-    camera_id string, date string, avg_per_frame map<string, double>,
-    total_frames_processed bigint, _corrupt_record string
+    camera_id string, date string, avg_per_frame map<string, string>,
+    total_frames_processed string, _corrupt_record string
 """
 
 
@@ -52,10 +52,15 @@ def explode_periods(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) -
     """One raw row per forecast period with the location name and guarded values."""
     # The outer form plus a filter: for a plain explode the optimizer adds a
     # non-empty check below it, which would parse every document twice.
+    # A document with an error is skipped whole: what could be parsed of it is no row. (A filter on the
+    # error would be pushed below the parsing and repeat it.)
+    periods = F.col(f"{doc}.data.properties.periods")
+    if "error" in df.columns:
+        periods = F.when(F.col("error").isNull(), periods)
     rows = df.select(
         *keep,
         F.coalesce(F.col(f"{doc}.metadata.location.name"), F.lit("")).alias("raw_location"),
-        F.explode_outer(f"{doc}.data.properties.periods").alias("p"),
+        F.explode_outer(periods).alias("p"),
     ).filter("p is not null")
     text = lambda name: F.coalesce(F.col(f"p.{name}"), F.lit(""))
     whole = lambda name: F.coalesce(
@@ -66,7 +71,7 @@ def explode_periods(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) -
         "raw_location",
         text("startTime").alias("start_time"),
         text("temperature").alias("temperature_raw"),
-        F.coalesce(F.col("p.isDaytime"), F.lit(False)).alias("is_daytime"),
+        F.coalesce(F.col("p.isDaytime").try_cast("boolean"), F.lit(False)).alias("is_daytime"),
         text("windSpeed").alias("wind_speed_raw"),
         safe_double(nested_value(F.col("p.dewpoint")), 0.0).alias("dewpoint_raw"),
         whole("probabilityOfPrecipitation").alias("precip_prob_raw"),
@@ -100,7 +105,7 @@ def map_to_columns(
     """One double column per label from a map; other labels are dropped."""
     out = []
     for label in labels:
-        value = F.try_element_at(F.col(map_col), F.lit(label)).cast("double")
+        value = F.try_element_at(F.col(map_col), F.lit(label)).try_cast("double")
         out.append((value if default is None else F.coalesce(value, F.lit(float(default)))).alias(label))
     return df.select(*keep, *out)
 
@@ -112,7 +117,7 @@ def camera_rows(df: DataFrame, doc: str = "doc", labels: Sequence[str] = CAMERA_
         *keep,
         camera.alias("camera_id"),
         F.coalesce(F.col(f"{doc}.date"), F.lit("")).alias("crash_date"),
-        F.coalesce(F.col(f"{doc}.total_frames_processed"), F.lit(0)).cast("int").alias("total_frames_processed"),
+        F.coalesce(F.col(f"{doc}.total_frames_processed").try_cast("double").try_cast("int"), F.lit(0)).alias("total_frames_processed"),
     ]
     rows = map_to_columns(df, f"{doc}.avg_per_frame", labels, 0.0, keep=fields)
     return rows.withColumns(
@@ -135,7 +140,7 @@ def report_table(df: DataFrame, doc: str = "doc", source: str = "source_file", l
     fields = [
         F.coalesce(F.col(f"{doc}.camera_id"), F.lit("unknown_camera")).alias("camera_id"),
         F.col(f"{doc}.date").alias("timestamp"),
-        F.coalesce(F.col(f"{doc}.total_frames_processed"), F.lit(0)).cast("bigint").alias("total_frames"),
+        F.coalesce(F.col(f"{doc}.total_frames_processed").try_cast("double").try_cast("bigint"), F.lit(0)).alias("total_frames"),
         F.col(source).alias("source_file"),
     ]
     return map_to_columns(df, f"{doc}.avg_per_frame", labels, None, keep=fields)

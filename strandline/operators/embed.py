@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strandline.functions import audio as wav
 from strandline.functions.columns import as_col
 from strandline.functions.hashing import dense_hash, digest_bucket, digest_sign, gram_digest, unit, weighted_grams, word_tokens
-from strandline.functions.text import ARTICLE_LINES, PREVIEW_CHARS, non_empty_lines, strip, truncate_bytes, word_count
+from strandline.functions.text import ARTICLE_LINES, non_empty_lines, strip, truncate_bytes, word_count
 
 TEXT_DIM = 128
 AUDIO_DIM = 64
@@ -27,11 +27,12 @@ FIELD_BYTES = {
 }
 
 
-def article_fields(df: DataFrame, text: str, positional: bool = False) -> DataFrame:
+def article_fields(df: DataFrame, text: str, positional: bool = False, preview_chars: int | None = None) -> DataFrame:
     """Add headline .. content_preview, char_count and word_count of an article text.
 
     Fields are the i-th non-empty lines, so a blank line shifts what follows;
-    ``positional=True`` takes the i-th line as written instead.
+    ``positional=True`` takes the i-th line as written instead. The preview is headline and short
+    description; ``preview_chars`` cuts it (``PREVIEW_CHARS`` is the usual length).
     """
     body = strip(F.make_valid_utf8(F.col(text)))
     lines = F.split(body, "\n")
@@ -40,7 +41,9 @@ def article_fields(df: DataFrame, text: str, positional: bool = False) -> DataFr
     # Names of temporary columns stay out of the caller's way.
     part = {n: F.coalesce(F.get("__lines", F.lit(i)), F.lit("")) for i, n in enumerate(ARTICLE_LINES[:5])}
     category = part["category"]
-    preview = F.substring(strip(F.concat(part["headline"], F.lit(" "), part["short_description"])), 1, PREVIEW_CHARS)
+    preview = strip(F.concat(part["headline"], F.lit(" "), part["short_description"]))
+    if preview_chars is not None:
+        preview = F.substring(preview, 1, preview_chars)
     return staged.withColumns(
         {
             "headline": part["headline"],
@@ -84,12 +87,17 @@ def hash_embedding(
     return df.withColumn(out, dense_hash(dim)(text))
 
 
-def embed_articles(df: DataFrame, text: str = "text", dim: int = TEXT_DIM) -> DataFrame:
-    """Article fields plus ``embedding``; a null text becomes a row with ``error`` set."""
-    fields = article_fields(df, text)
+def embed_articles(df: DataFrame, text: str = "text", dim: int = TEXT_DIM, preview_chars: int | None = None) -> DataFrame:
+    """Article fields plus ``embedding``; a null text becomes a row with ``error`` set.
+
+    The whole text is embedded. With ``preview_chars`` it is the preview of that length, and the
+    whole text only where the preview is empty.
+    """
+    fields = article_fields(df, text, preview_chars=preview_chars)
     body = strip(F.make_valid_utf8(F.col(text)))
     failed = F.col(text).isNull()
-    return fields.withColumn("embedding", F.when(~failed, dense_hash(dim)(embed_input("content_preview", body)))).withColumn(
+    chosen = body if preview_chars is None else embed_input("content_preview", body)
+    return fields.withColumn("embedding", F.when(~failed, dense_hash(dim)(chosen))).withColumn(
         "error", F.when(failed, F.lit("no content"))
     )
 
@@ -114,33 +122,30 @@ def window_features(
 
     @F.pandas_udf("array<double>")
     def encode(signals: pd.Series) -> pd.Series:
-        stats = [None if s is None else wav.window_statistics(s, n_windows) for s in signals]
-        return pd.Series([v if v is None or not normalize else unit(v) for v in stats])
+        present = signals.notna()
+        vectors = signals[present].map(lambda s: wav.window_moments(s, n_windows))
+        return (vectors.map(unit) if normalize else vectors).reindex(signals.index).astype(object).where(present, None)
 
     return df.withColumn(out, encode(F.col(signal)))
 
 
-def embed_audio(df: DataFrame, raw: str = "raw", max_seconds: int = wav.MAX_SECONDS) -> DataFrame:
-    """``embedding``, ``duration_s``, ``sample_rate``, ``num_channels`` and ``error`` of a WAV column."""
-    schema = "embedding array<float>, duration_s float, sample_rate bigint, num_channels bigint, error string"
+def embed_audio(df: DataFrame, raw: str = "raw", max_seconds: int | None = None) -> DataFrame:
+    """``embedding``, ``duration_s``, ``sample_rate``, ``num_channels`` and ``error`` of a WAV column.
 
-    def encode_one(content: bytes) -> tuple:
-        try:
-            params, frames = wav.read_frames(content)
-            samples = np.frombuffer(frames, "<i2")
-            signal = wav.unit_scale(samples, params.framerate, max_seconds)
-            vector = unit(wav.window_statistics(signal)).astype(np.float32)
-            seconds = len(samples) / params.framerate if params.framerate > 0 else 0.0
-            return vector, seconds, params.framerate, params.nchannels, None
-        except Exception as exc:  # one bad file never fails the job
-            return None, None, None, None, str(exc) or type(exc).__name__
+    The whole clip is embedded unless ``max_seconds`` ends it (``MAX_SECONDS`` is the usual length).
+    """
+    schema = "embedding array<float>, duration_s float, sample_rate bigint, num_channels bigint, error string"
 
     @F.pandas_udf(schema)
     def encode(contents: pd.Series) -> pd.DataFrame:
-        names = ["embedding", "duration_s", "sample_rate", "num_channels", "error"]
-        rows = [encode_one(c) for c in contents]
-        frame = pd.DataFrame(rows, columns=names).astype({"sample_rate": "Int64", "num_channels": "Int64"})
-        return frame
+        clips = [wav.try_clip(c) for c in contents]
+        rows = pd.DataFrame(index=contents.index)
+        rows["embedding"] = [None if c.error else unit(wav.window_moments(c.scaled(max_seconds))).astype(np.float32) for c in clips]
+        rows["duration_s"] = [None if c.error else c.seconds for c in clips]
+        for name in ("sample_rate", "num_channels"):
+            rows[name] = pd.array([None if c.error else getattr(c, name) for c in clips], "Int64")
+        rows["error"] = [c.error for c in clips]
+        return rows
 
     return df.withColumn("__audio", encode(F.col(raw))).select(*df.columns, "__audio.*")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.functions.hashing import dense_hash, l2_norm
-from strandline.functions.text import WHITESPACE, truncate_bytes as clip
+from strandline.functions.text import PREVIEW_CHARS, WHITESPACE, truncate_bytes as clip
 from strandline.operators import embed, enrich, similarity
 from strandline.plans import collisions
 from strandline.plans.catalog import inputs
@@ -38,16 +38,17 @@ def _keyed_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _segment_means(spark: SparkSession, sf: str) -> DataFrame:
-    """Mean order price per key, for open orders of high-balance customers: some keys stay unmatched."""
+    """Mean order price per key, of all orders; the keys of one segment are renamed, so they stay unmatched."""
     orders, customers = table(spark, sf, "orders"), _keyed_customers(spark, sf)
-    rows = orders.join(customers.filter("c_acctbal > 9000"), F.col("o_custkey") == F.col("c_custkey"))
+    renamed = F.when(F.col("borough").startswith("MACHINERY"), F.concat(F.col("borough"), F.lit("-x"))).otherwise(F.col("borough"))
+    rows = orders.join(customers.withColumn("borough", renamed), F.col("o_custkey") == F.col("c_custkey"))
     return enrich.mean_by(rows.withColumnRenamed("o_totalprice", "temperature"), "borough")
 
 
 _KEYED_SQL = """
     keyed AS (SELECT *, CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment || '-' || c_nationkey END AS borough FROM customer),
-    means AS (SELECT borough, avg(o_totalprice) AS avg_temperature FROM orders JOIN keyed ON o_custkey = c_custkey
-              WHERE c_acctbal > 9000 GROUP BY borough),
+    means AS (SELECT CASE WHEN borough LIKE 'MACHINERY%' THEN borough || '-x' ELSE borough END AS borough, avg(o_totalprice) AS avg_temperature
+              FROM orders JOIN keyed ON o_custkey = c_custkey GROUP BY 1),
     joined AS (SELECT keyed.c_custkey, keyed.borough, avg_temperature FROM keyed LEFT JOIN means USING (borough)
                WHERE keyed.borough <> '')
 """
@@ -158,7 +159,7 @@ def _hash_sql(source: str, text: str) -> str:
     FROM fields
 """)
 def article_fields(spark: SparkSession, sf: str) -> DataFrame:
-    rows = embed.article_fields(wide(spark, sf, "documents"), "text")
+    rows = embed.article_fields(wide(spark, sf, "documents"), "text", preview_chars=PREVIEW_CHARS)
     digest = lambda c: F.md5(F.col(c).cast("binary"))
     return rows.select(
         "doc_id",
@@ -204,6 +205,18 @@ def hash_embedding_norm(spark: SparkSession, sf: str) -> DataFrame:
     SELECT doc_id, bucket, (weight / norm)::FLOAT::DOUBLE AS value FROM vec JOIN norms USING (doc_id) WHERE weight <> 0
 """)
 def article_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    rows = embed.embed_articles(wide(spark, sf, "documents").select("doc_id", "text"), preview_chars=PREVIEW_CHARS)
+    long = rows.select("doc_id", F.posexplode_outer("embedding").alias("bucket", "value")).filter("value <> 0")
+    return long.select("doc_id", "bucket", F.col("value").cast("double").alias("value"))
+
+
+@query(f"""
+    WITH {_FIELDS_SQL}, {_hash_sql('fields', 'body')},
+    norms AS (SELECT doc_id, sqrt(sum(weight * weight)) AS norm FROM vec GROUP BY doc_id)
+    SELECT doc_id, bucket, (weight / norm)::FLOAT::DOUBLE AS value FROM vec JOIN norms USING (doc_id) WHERE weight <> 0
+""")
+def article_embeddings_full(spark: SparkSession, sf: str) -> DataFrame:
+    """The default: every text embedded as a whole."""
     rows = embed.embed_articles(wide(spark, sf, "documents").select("doc_id", "text"))
     long = rows.select("doc_id", F.posexplode_outer("embedding").alias("bucket", "value")).filter("value <> 0")
     return long.select("doc_id", "bucket", F.col("value").cast("double").alias("value"))

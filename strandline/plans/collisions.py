@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from strandline.operators.cleaning import (
     COLLISION_SCHEMA,
+    acceptable,
     align,
     cast_records,
     clean_collisions,
     dedupe,
-    fits_target,
-    has_valid_date,
 )
 from strandline.operators.enrich import enrich, match_counts, mean_by, restamp
 from strandline.session import scratch_path
@@ -47,7 +46,7 @@ def trust_collisions(spark: SparkSession, table: str, out: str, rejects: str) ->
     raw = read_table(spark, table)
     staged = scratch_path(spark, "trusted")
     unique = dedupe(raw, ["collision_id"])
-    write_split(unique, has_valid_date("crash_date") & fits_target(unique), staged)
+    write_split(unique, acceptable(unique), staged)
     kept, rejected = read_split(spark, staged)
     accepted = align(cast_records(kept), COLLISION_SCHEMA)
     write_sorted(accepted.withColumn("trusted_at", F.current_timestamp()), out, SORT_KEYS)

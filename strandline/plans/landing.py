@@ -100,16 +100,26 @@ def land_batch(batch: DataFrame, batch_id: int, root: str, source: str) -> DataF
     if "camera_report" in paths:
         reports = load("camera_report")
         texts = reports.select(F.col("object_name").alias("source_file"), F.col("content").cast("string").alias("content"))
-        good = docs.parse_documents(texts, docs.REPORT_SCHEMA).filter("error is null").persist()
+        parsed = docs.parse_documents(texts, docs.REPORT_SCHEMA).persist()
+        good = parsed.filter("error is null")
+        results.append(parsed.select(F.col("source_file").alias("object_name"), "error"))
         if not good.isEmpty():
             _append(docs.report_table(good), f"{zone}/{TABLES['camera_report']}", batch_id, "camera_id")
         # A report that cannot become a table row is still moved; broken documents are not.
         write_files(reports.select("destination", "content"), root, "destination", "content")
     if "structured_csv" in paths:
         listed = spark.createDataFrame([(p,) for p in paths["structured_csv"]], "path string")
-        frames = [read_csv_strings(spark, [_literal(p) for p in layout]) for layout in _csv_layouts(listed)]
+        frames, failed = [], []
+        for layout in _csv_layouts(listed):
+            try:
+                frames.append(read_csv_strings(spark, [_literal(p) for p in layout]))
+            except ValueError as exc:  # column names that collide: this layout is left out, with its reason
+                failed += [(p, str(exc)) for p in layout]
         if frames:
             _append(landing.evolve_append(*frames), f"{zone}/{TABLES['structured_csv']}", batch_id)
+        if failed:
+            bad = _routed(spark.createDataFrame(failed, "path string, error string"), source)
+            results.append(bad.select("object_name", "error"))
     outcome = routed.select("object_name", "kind")
     if results:
         outcome = outcome.join(landing.evolve_append(*results), "object_name", "left")

@@ -9,11 +9,12 @@ from strandline.functions.text import clean_text, decode_text, skip_reason
 from strandline.operators import embed
 from strandline.operators.cleaning import reason_counts
 from strandline.operators.enrich import top_counts
+from strandline.session import materialize
 from strandline.sources.readers import read_binary, read_split
-from strandline.sources.writers import read_vectors, upsert_vectors, write_files, write_split
+from strandline.sources.writers import read_vectors, replace_documents, upsert_vectors, write_files, write_split
 
-TEXT_FIELDS = ("filename", "embedding", "headline", "category", "authors", "pub_date", "content_preview", "char_count", "word_count")
-AUDIO_FIELDS = ("filename", "embedding", "duration_s", "sample_rate", "num_channels")
+TEXT_FIELDS = ("relative", "filename", "embedding", "headline", "category", "authors", "pub_date", "content_preview", "char_count", "word_count")
+AUDIO_FIELDS = ("relative", "filename", "embedding", "duration_s", "sample_rate", "num_channels")
 
 
 def cleaned_texts(files: DataFrame) -> DataFrame:
@@ -31,8 +32,8 @@ def _store(cleaned: DataFrame, out: str, files: bool) -> DataFrame:
     write_split(kept, F.col("skip_reason").isNull(), f"{out}/table")
     if files:
         accepted, skipped = read_split(spark, f"{out}/table")
-        write_files(accepted, f"{out}/data", "filename", "cleaned")
-        write_files(skipped, f"{out}/skipped", "filename", "raw")
+        write_files(accepted, f"{out}/data", "relative", "cleaned")
+        write_files(skipped, f"{out}/skipped", "relative", "raw")
     return reason_counts(spark.read.parquet(f"{out}/table"), "skip_reason")
 
 
@@ -47,24 +48,28 @@ def trust_audio(spark: SparkSession, source: str, out: str, files: bool = False)
 
 
 def _accepted(spark: SparkSession, trusted: str) -> DataFrame:
-    return read_split(spark, f"{trusted}/table")[0].select("filename", "cleaned")
+    return read_split(spark, f"{trusted}/table")[0].select("relative", "filename", "cleaned")
 
 
 def exploit_texts(spark: SparkSession, trusted: str, out: str, files: bool = False) -> DataFrame:
-    """Embed the trusted texts into the vector table; returns the ten largest categories."""
+    """Embed the trusted texts into the vector table; returns the ten largest categories.
+
+    Files that could not be embedded are counted by reason under ``failed``.
+    """
     texts = _accepted(spark, trusted)
-    rows = embed.embed_articles(texts.withColumn("text", F.col("cleaned").cast("string")))
-    upsert_vectors(rows.filter("error is null").select(*TEXT_FIELDS), f"{out}/vectors", embed.TEXT_DIM)
+    rows = materialize(embed.embed_articles(texts.withColumn("text", F.col("cleaned").cast("string"))).drop("text", "cleaned"), "texts")
+    upsert_vectors(rows.filter("error is null").select(*TEXT_FIELDS), f"{out}/vectors", embed.TEXT_DIM, key="relative")
+    replace_documents(reason_counts(rows), f"{out}/failed")
     if files:
-        write_files(texts, f"{out}/data", "filename", "cleaned")
-    return top_counts(read_vectors(spark, f"{out}/vectors"), "category")
+        write_files(texts, f"{out}/data", "relative", "cleaned")
+    return top_counts(read_vectors(spark, f"{out}/vectors", "relative"), "category")
 
 
 def exploit_audio(spark: SparkSession, trusted: str, out: str, files: bool = False) -> DataFrame:
     """Embed the trusted audio into the vector table; returns files per outcome."""
     clips = _accepted(spark, trusted)
-    rows = embed.embed_audio(clips, "cleaned").drop("cleaned").persist()
-    upsert_vectors(rows.filter("error is null").select(*AUDIO_FIELDS), f"{out}/vectors", embed.AUDIO_DIM)
+    rows = materialize(embed.embed_audio(clips, "cleaned").drop("cleaned"), "clips")
+    upsert_vectors(rows.filter("error is null").select(*AUDIO_FIELDS), f"{out}/vectors", embed.AUDIO_DIM, key="relative")
     if files:
-        write_files(clips, f"{out}/data", "filename", "cleaned")
+        write_files(clips, f"{out}/data", "relative", "cleaned")
     return reason_counts(rows)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,7 +19,6 @@ DEFAULTS = {
     # Stages after a shuffle may carry per-row Python work; do not merge them down to one task.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -34,14 +35,17 @@ def build_session(app_name: str = "strandline", master: str | None = None, **con
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    A private folder is made only where the setting is absent, as on a laptop
-    or in tests; a cluster is expected to name one every executor can reach.
+    Where the setting is absent, as on a laptop or in tests, a folder of the process is made and
+    removed at its end; without a local master that raises, since executors could not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         root = getattr(spark, "_strandline_checkpoint_root", None)
     if not root:
+        if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="strandline-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
         spark._strandline_checkpoint_root = root
     return root.rstrip("/")

@@ -26,14 +26,15 @@ def read_csv_strings(
     spark: SparkSession,
     *paths: str | list[str],
     limit: int | None = None,
-    multiline: bool = False,
+    multiline: bool = True,
     missing: Sequence[str] = CSV_MISSING,
 ) -> DataFrame:
     """CSV with header as all-string columns with normalised names and ``source_file``.
 
     Every path (or list of paths) is one layout: its files must share a header (a
-    deviating file fails loudly); layouts are united by column name. ``multiline``
-    accepts line breaks inside quotes at the price of unsplittable files.
+    deviating file fails loudly); layouts are united by column name. Line breaks
+    inside quotes belong to their cell; ``multiline=False`` makes large files
+    splittable where the source is known to have none.
     """
     frames = []
     for path in paths:
@@ -51,8 +52,9 @@ def first_line(path: str) -> str:
     """First line of a file, read inside a task from any supported file system."""
     from pyarrow import fs
 
-    uri = "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
-    store, name = fs.FileSystem.from_uri(uri)
+    from strandline.sources.writers import arrow_uri
+
+    store, name = fs.FileSystem.from_uri(arrow_uri(path))
     with store.open_input_stream(name) as source:
         head = b""
         while b"\n" not in head and (chunk := source.read(65_536)):
@@ -79,16 +81,25 @@ def list_objects(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.select(F.col("path").alias("object_name"), "length")
 
 
-def read_binary(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """``(key, filename, raw)`` of every file below ``path``; unreadable files are left out."""
+def read_binary(spark: SparkSession, path: str, glob: str = "*", skip_corrupt: bool = False) -> DataFrame:
+    """``(key, filename, relative, raw)`` of every file below ``path``; ``relative`` is the path below it.
+
+    An unreadable file fails the read; ``skip_corrupt=True`` leaves such files out.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
-        .option("ignoreCorruptFiles", True)
+        .option("ignoreCorruptFiles", skip_corrupt)
         .load(path)
     )
-    return files.select(F.col("path").alias("key"), base_name("path").alias("filename"), F.col("content").alias("raw"))
+    base = path.rstrip("/").split("://")[-1].split(":", 1)[-1].rstrip("/") + "/"
+    return files.select(
+        F.col("path").alias("key"),
+        base_name("path").alias("filename"),
+        F.substring_index("path", base, -1).alias("relative"),
+        F.col("content").alias("raw"),
+    )
 
 
 def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:

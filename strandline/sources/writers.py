@@ -9,7 +9,7 @@ from datetime import UTC, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.operators.embed import clip_fields
+from strandline.operators.embed import FIELD_BYTES, clip_fields
 from strandline.operators.tables import latest_per_key, replace_on_dimension_change, upsert_latest
 
 
@@ -35,6 +35,11 @@ def write_documents(df: DataFrame, path: str, fmt: str = "parquet", partition_by
     df.write.mode("append").partitionBy(*partition_by).format(fmt).save(path)
 
 
+def replace_documents(df: DataFrame, path: str) -> None:
+    """All records of the current sources in place of the stored ones, so that a second run changes nothing."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
 def write_parts(df: DataFrame, path: str, rows_per_part: int) -> None:
     """CSV parts of at most ``rows_per_part`` rows, each with a header."""
     df.write.option("header", True).option("escape", '"').option("maxRecordsPerFile", rows_per_part).csv(path)
@@ -42,7 +47,9 @@ def write_parts(df: DataFrame, path: str, rows_per_part: int) -> None:
 
 def write_split(df: DataFrame, flag: Column, path: str, name: str = "accepted") -> None:
     """One pass, two partitions: ``accepted=true`` and ``accepted=false``."""
-    df.withColumn(name, F.coalesce(flag, F.lit(False))).write.mode("overwrite").partitionBy(name).parquet(path)
+    rows = df.withColumn(name, F.coalesce(flag, F.lit(False)))
+    # Static: a run without rejects also clears the rejects of the run before.
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(name).parquet(path)
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -51,13 +58,20 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> N
     rows.write.mode(mode).text(path)
 
 
+def arrow_uri(path: str) -> str:
+    """A Hadoop path as the URI that Arrow's file systems know (``s3a`` and ``s3n`` are its ``s3``)."""
+    if path.startswith("file:/") and not path.startswith("file://"):
+        return "file://" + path.removeprefix("file:")
+    return "s3://" + path.split("://", 1)[1] if path.startswith(("s3a://", "s3n://")) else path
+
+
 def write_files(df: DataFrame, root: str, name: str, content: str) -> None:
     """One file per row, written by the tasks; a retry replaces whole files only."""
 
     def put(rows) -> None:
         from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(root)
+        store, base = fs.FileSystem.from_uri(arrow_uri(root))
         made = set()
         for row in rows:
             body = row[content]
@@ -126,15 +140,17 @@ def read_vectors(spark: SparkSession, path: str, key: str = "filename", version:
 
 
 def upsert_vectors(
-    df: DataFrame, path: str, dim: int, key: str = "filename", version: str = "embedded_at", compact: bool = True
+    df: DataFrame, path: str, dim: int, key: str = "filename", version: str = "embedded_at", compact: bool = True, clip: bool = False
 ) -> str:
     """Merge embeddings into the stored set, newest per key; another stored dimension is replaced.
 
     ``compact=False`` writes the incoming rows only, as an increment merged by
-    :func:`read_vectors`; the default writes a full snapshot.
+    :func:`read_vectors`; the default writes a full snapshot. ``clip`` cuts the stored texts to the
+    byte limits of a vector store, but never the key: two long keys stay two rows.
     """
     spark = df.sparkSession
-    df = clip_fields(df)
+    if clip:
+        df = clip_fields(df, {c: n for c, n in FIELD_BYTES.items() if c != key})
     if version not in df.columns:
         df = df.withColumn(version, F.current_timestamp())
     stored = read_vectors(spark, path, key, version)

@@ -20,8 +20,11 @@ REPORT_ZONE = "America/New_York"
 
 
 def parse_frames(df: DataFrame, value: str = "value") -> DataFrame:
-    """Frame columns from JSON messages; no detections means an empty map, no image an empty text."""
-    frame = df.select(F.from_json(value, FRAME_SCHEMA).alias("f"))
+    """Frame columns from JSON messages; no detections means an empty map, no image an empty text.
+
+    A message that names no camera, or is no JSON object, is no frame: see :func:`bad_frames`.
+    """
+    frame = df.select(F.from_json(value, FRAME_SCHEMA).alias("f")).filter("f.video_id IS NOT NULL")
     return frame.select(
         F.col("f.video_id").alias("camera_id"),
         "f.source_folder",
@@ -32,6 +35,14 @@ def parse_frames(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def bad_frames(df: DataFrame, value: str = "value") -> DataFrame:
+    """``(raw, error)`` of the messages that :func:`parse_frames` leaves out."""
+    parsed = df.select(F.col(value).alias("raw"), F.from_json(value, f"{FRAME_SCHEMA}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("f"))
+    broken = F.col("raw").isNull() | F.col("f").isNull() | F.col("f._corrupt_record").isNotNull()
+    error = F.when(broken, F.lit("invalid_json")).otherwise(F.lit("no_camera"))
+    return parsed.filter("f.video_id IS NULL").select("raw", error.alias("error"))
+
+
 def counted_labels(detections: Column | str) -> Column:
     """Per frame: one entry per label, and one with a null label that counts the frame.
 

@@ -73,19 +73,21 @@ def test_audio_embedding(spark):
         assert len(r["embedding"]) == 64
     for r in (got[k] for k in ("mono16", "eight", "half", "long")):
         assert np.linalg.norm(r["embedding"]) == pytest.approx(1.0, abs=1e-5)
-    # Only the first 30 seconds are described.
+    # The whole clip is described, or its first seconds where asked for.
     _, x = samples_of(audio.clean_wav(rows["long"])[0])
-    first = audio.window_statistics(np.array(x[: 30 * 16_000]) / 32768.0)
-    assert np.allclose(got["long"]["embedding"], first / np.linalg.norm(first), atol=1e-6)
+    cut = {r["filename"]: r for r in embed.embed_audio(cleaned, "cleaned", max_seconds=30).collect()}
+    for vector, samples in ((got["long"]["embedding"], x), (cut["long"]["embedding"], x[: 30 * 16_000])):
+        described = audio.window_moments(np.array(samples) / 32768.0)
+        assert np.allclose(vector, described / np.linalg.norm(described), atol=1e-6)
     broken = embed.embed_audio(df.filter("filename = 'junk'")).first()
     assert broken["embedding"] is None and broken["error"]
 
 
-def test_window_statistics_edge_cases():
-    assert audio.window_statistics(np.zeros(5)).tolist() == [0.0] * 64
-    short = audio.window_statistics(np.array([1.0, -1.0]))
+def test_window_moments_edge_cases():
+    assert audio.window_moments(np.zeros(5)).tolist() == [0.0] * 64
+    short = audio.window_moments(np.array([1.0, -1.0]))
     assert short[:3].tolist() == [1.0, 1.0, 0.0] and short[48:].tolist() == [0.0] * 16
-    alternating = audio.window_statistics(np.tile([1.0, -1.0], 32))
+    alternating = audio.window_moments(np.tile([1.0, -1.0], 32))
     assert alternating[48:].tolist() == [1.0] * 16 and alternating[32:48].tolist() == [1.0] * 16
 
 

@@ -92,3 +92,22 @@ def test_each_document_is_parsed_once(spark):
     parsed = parse(spark, [forecast(periods=[FULL])])
     plan = docs.weather_rows(docs.explode_periods(parsed))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_stages_can_run_again(spark, tmp_path):
+    source = tmp_path / "w"
+    source.mkdir()
+    (source / "a.json").write_text(forecast(periods=[FULL, FULL]))
+    for _ in range(2):
+        trust_weather(spark, str(source), str(tmp_path / "wt")).collect()
+        assert spark.read.parquet(str(tmp_path / "wt")).count() == 2
+
+
+def test_numbers_as_text_and_odd_types_cost_their_field_only(spark):
+    odd = json.loads(forecast(periods=[{**FULL, "isDaytime": "yes"}]))
+    odd["metadata"]["location"]["lat"] = "40.5"
+    rows = docs.weather_rows(docs.explode_periods(parse(spark, [json.dumps(odd)]))).collect()
+    assert len(rows) == 1 and rows[0]["is_daytime"] is True
+    reports = spark.createDataFrame([(json.dumps({"camera_id": "Nd_O", "avg_per_frame": {"Bike": "1.5", "Auto": "x"}, "total_frames_processed": "3"}),)], "content string")
+    row = docs.camera_rows(docs.parse_documents(reports, docs.REPORT_SCHEMA)).first()
+    assert (row["Bike"], row["Auto"], row["total_frames_processed"]) == (1.5, 0.0, 3)

@@ -1,3 +1,7 @@
+import pytest
+
+from strandline.session import checkpoint_root
+from strandline.sources import writers
 import json
 
 import numpy as np
@@ -17,7 +21,7 @@ def test_text_flow(spark, tmp_path):
     counts = {r["reason"]: r["row_count"] for r in flow.trust_texts(spark, str(source), trusted, files=True).collect()}
     assert counts == {"accepted": 2, "empty_file": 1}
     assert (tmp_path / "trusted" / "data" / "a.txt").read_text() == "big news\npolitics\n\na. uthor\n2024\nshort story\nhttp://x\n"
-    assert (tmp_path / "trusted" / "data" / "b.txt").read_text() == "café\ntech\n"
+    assert (tmp_path / "trusted" / "data" / "deep" / "b.txt").read_text() == "café\ntech\n"
     assert (tmp_path / "trusted" / "skipped" / "blank.txt").exists()
     accepted, skipped = read_split(spark, f"{trusted}/table")
     assert accepted.filter("raw is not null").isEmpty() and skipped.count() == 1
@@ -75,3 +79,45 @@ def test_metadata_files(spark, tmp_path):
     df = spark.createDataFrame([("m/a.json", 1, None)], "metadata_destination string, n int, missing string")
     write_metadata_files(df, str(tmp_path))
     assert json.loads((tmp_path / "m" / "a.json").read_text()) == {"n": 1, "missing": None}
+
+
+def test_rerun_leaves_no_old_rows_and_equal_names_stay_apart(spark, tmp_path):
+    source, trusted, out = tmp_path / "in", str(tmp_path / "trusted"), str(tmp_path / "out")
+    for folder in ("p", "q"):
+        (source / folder).mkdir(parents=True)
+        (source / folder / "a.txt").write_text(f"{folder} news\nTech\n")
+    (source / "blank.txt").write_text(" \n")
+    assert {r["reason"] for r in flow.trust_texts(spark, str(source), trusted).collect()} == {"accepted", "empty_file"}
+    (source / "blank.txt").unlink()
+    assert {r["reason"]: r["row_count"] for r in flow.trust_texts(spark, str(source), trusted).collect()} == {"accepted": 2}
+    flow.exploit_texts(spark, trusted, out).collect()
+    flow.exploit_texts(spark, trusted, out).collect()
+    stored = writers.read_vectors(spark, f"{out}/vectors", "relative")
+    assert sorted(r["relative"] for r in stored.collect()) == ["p/a.txt", "q/a.txt"]
+
+
+def test_long_keys_stay_two_rows(spark, tmp_path):
+    keys = ["k" * 600 + "1", "k" * 600 + "2"]
+    df = spark.createDataFrame([(k, [1.0], k) for k in keys], "filename string, embedding array<float>, headline string")
+    for clip, kept in ((False, 601), (True, 512)):
+        path = writers.upsert_vectors(df, str(tmp_path / f"v{clip}"), 1, clip=clip)
+        rows = spark.read.parquet(path).collect()
+        assert sorted(r["filename"] for r in rows) == keys and {len(r["headline"]) for r in rows} == {kept}
+
+
+def test_paths_of_object_stores():
+    assert writers.arrow_uri("s3a://b/k") == "s3://b/k" and writers.arrow_uri("file:/x") == "file:///x" and writers.arrow_uri("/x") == "/x"
+
+
+def test_scratch_needs_a_shared_folder():
+    class Context:
+        master = "spark://somewhere"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

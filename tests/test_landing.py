@@ -183,7 +183,7 @@ def test_vector_upsert_and_dimension_change(spark, tmp_path):
     second = spark.createDataFrame([("b", [1.0, 1.0], "y"), ("c", [0.0, 1.0], None)], schema)
     got = {r["filename"]: r for r in spark.read.parquet(writers.upsert_vectors(second, path, 2)).collect()}
     assert set(got) == {"a", "b", "c"} and got["b"]["embedding"] == [1.0, 1.0]
-    assert len(got["a"]["headline"].encode()) == 512 and got["c"]["headline"] == ""
+    assert len(got["a"]["headline"].encode()) == 800 and got["c"]["headline"] is None
     increment = spark.createDataFrame([("c", [9.0, 9.0], "w"), ("d", [0.0, 1.0], "v")], schema)
     assert writers.upsert_vectors(increment, path, 2, compact=False).endswith("d=00000003")
     merged = {r["filename"]: r["embedding"] for r in writers.read_vectors(spark, path).collect()}

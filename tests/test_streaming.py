@@ -180,3 +180,12 @@ def test_stream_and_table_forms_agree(spark, tmp_path, width):
     stream.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
     table = frames.windowed_totals(frames.parse_frames(spark.createDataFrame([(t,) for t in texts], "value string")), width=width)
     assert sorted(map(str, spark.table(name).collect())) == sorted(map(str, table.collect()))
+
+
+def test_broken_messages_are_no_frames(spark):
+    good = '{"video_id": "Nd_O", "frame_id": "f1", "timestamp": 1.5}'
+    df = spark.createDataFrame([(good,), ("not json",), ('{"frame_id": "f2"}',), (None,)], "value string")
+    assert [r["camera_id"] for r in frames.parse_frames(df).collect()] == ["Nd_O"]
+    assert sorted((r["raw"] or "", r["error"]) for r in frames.bad_frames(df).collect()) == [
+        ("", "invalid_json"), ("not json", "invalid_json"), ('{"frame_id": "f2"}', "no_camera"),
+    ]
