@@ -103,7 +103,7 @@ def cast_records(
 
 
 def acceptable(df: DataFrame, date: str = "crash_date") -> Column:
-    """The one rule for a record: a date that parses, and counts and id within their unsigned targets."""
+    """The stage's rule for a record: a date that parses, and counts and id within their unsigned targets."""
     return has_valid_date(date) & fits_target(df)
 
 
@@ -113,8 +113,11 @@ def clean_collisions(
     date: str = "crash_date",
     order_by: Sequence[Column | str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Deduplicate, split on date and unsigned ranges, return (typed accepted rows, raw rejected rows)."""
-    accepted, rejected = split_valid(dedupe(df, [key], order_by), acceptable(df, date))
+    """Deduplicate, split on the date and return (typed accepted rows, raw rejected rows).
+
+    Values outside their unsigned targets are kept as they are; :func:`acceptable` is the stage's rule.
+    """
+    accepted, rejected = split_valid(dedupe(df, [key], order_by), has_valid_date(date))
     return align(cast_records(accepted), COLLISION_SCHEMA), rejected
 
 
@@ -130,7 +133,7 @@ def clean_counts(
     scan of no columns rather than a join of two one-row results.
     """
     zero = F.lit(0).cast("bigint")
-    ok = F.coalesce(acceptable(df, date), F.lit(False)).cast("bigint")
+    ok = F.coalesce(has_valid_date(date), F.lit(False)).cast("bigint")
     raw = df.select(F.lit(1).cast("bigint").alias("total"), zero.alias("kept"), zero.alias("clean"))
     kept = dedupe(df, [key], order_by).select(zero.alias("total"), F.lit(1).cast("bigint").alias("kept"), ok.alias("clean"))
     sums = raw.unionAll(kept).agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in ("total", "kept", "clean")])
