@@ -9,13 +9,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandline.session import materialize
+
 # Queries sent to every task as one matrix: at most this many float64 values (128 MB).
 BROADCAST_VALUES = 16_000_000
 # Rows of one block of the grid or of one salted cell.
 BLOCK_ROWS = 50_000
 
 
-def _unit_rows(vectors) -> np.ndarray:
+def unit_rows(vectors) -> np.ndarray:
+    """Vectors as the rows of a matrix, scaled to length 1; zero vectors stay."""
     matrix = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
     if matrix.size == 0:
         return matrix.reshape(0, 0)
@@ -92,7 +95,7 @@ def cosine_topk(
     if queries.limit(bound + 1).count() > bound:
         return _rank(_grid_topk(queries, table, k, skip_self, block_rows), k)
     local = queries.toPandas()
-    shared = table.sparkSession.sparkContext.broadcast((local["query_id"].to_numpy(), _unit_rows(local["__q"])))
+    shared = table.sparkSession.sparkContext.broadcast((local["query_id"].to_numpy(), unit_rows(local["__q"])))
 
     def score(batches):
         query_ids, matrix = shared.value
@@ -101,7 +104,7 @@ def cosine_topk(
         best = None
         for batch in batches:
             if len(batch):
-                found = _best_pairs(query_ids, matrix, batch["vec_id"], _unit_rows(batch["__v"]), k, skip_self)
+                found = _best_pairs(query_ids, matrix, batch["vec_id"], unit_rows(batch["__v"]), k, skip_self)
                 best = _merge(best, found, k)
         if best is not None:
             yield best
@@ -130,7 +133,7 @@ def _grid_topk(queries: DataFrame, table: DataFrame, k: int, skip_self: bool, bl
     def score(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if q.empty or v.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return _best_pairs(q["query_id"], _unit_rows(q["__q"]), v["vec_id"], _unit_rows(v["__v"]), k, skip_self)
+        return _best_pairs(q["query_id"], unit_rows(q["__q"]), v["vec_id"], unit_rows(v["__v"]), k, skip_self)
 
     grouped = left.groupBy("__r", "__c").cogroup(right.groupBy("__r", "__c"))
     return grouped.applyInPandas(score, _pair_schema(queries, table))
@@ -157,7 +160,7 @@ def train_cells(
     usable = table.filter(F.exists(vector, lambda x: x != 0))
     points = usable.select(array_to_vector(F.transform(vector, lambda x: x.cast("double"))).alias("features"))
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(points)
-    return _unit_rows(model.clusterCenters())
+    return unit_rows(model.clusterCenters())
 
 
 def ivf_assign(table: DataFrame, cells: np.ndarray, vector: str = "embedding", probes: int = 1) -> DataFrame:
@@ -166,7 +169,7 @@ def ivf_assign(table: DataFrame, cells: np.ndarray, vector: str = "embedding", p
 
     @F.pandas_udf("array<int>")
     def nearest(vectors: pd.Series) -> pd.Series:
-        scores = _unit_rows(vectors) @ shared.value.T
+        scores = unit_rows(vectors) @ shared.value.T
         return pd.Series(list(np.argsort(-scores, axis=1, kind="stable")[:, :probes].astype(np.int32)))
 
     # Outer, so that the optimizer adds no non-empty check that runs the UDF again.
@@ -193,16 +196,16 @@ def ivf_topk(
     queries = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("__q"))
     table = table.select(F.col(key).alias("vec_id"), F.col(vector).alias("__v"))
     placed = ivf_assign(table, cells, "__v")
+    placed = materialize(placed, "cells")  # assigned once, used for sizes and candidates
     # At most one row per cell: len(cells) bounds this table.
     blocks = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("__n"))
-    blocks = F.broadcast(blocks.persist())
+    blocks = F.broadcast(blocks)
     right = placed.join(blocks, "cell").withColumn("__b", F.pmod(F.xxhash64("vec_id"), F.col("__n"))).drop("__n")
-    probes = ivf_assign(queries, cells, "__q", min(nprobe, len(cells))).join(blocks, "cell")
+    probes = materialize(ivf_assign(queries, cells, "__q", min(nprobe, len(cells))), "probes").join(blocks, "cell")
     query_blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1))
     # The same split keeps a block that very many queries visit bounded as well.
     visits = probes.withColumn("__b", query_blocks).drop("__n")
     per_block = visits.groupBy("cell", "__b").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("__m"))
-    per_block = per_block.persist()
     left = visits.join(per_block, ["cell", "__b"]).withColumn("__s", F.pmod(F.xxhash64("query_id"), F.col("__m"))).drop("__m")
     right = right.join(per_block, ["cell", "__b"]).withColumn(
         "__s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__m") - 1))
@@ -211,7 +214,7 @@ def ivf_topk(
     def score(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if q.empty or v.empty:
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return _best_pairs(q["query_id"], _unit_rows(q["__q"]), v["vec_id"], _unit_rows(v["__v"]), k, skip_self)
+        return _best_pairs(q["query_id"], unit_rows(q["__q"]), v["vec_id"], unit_rows(v["__v"]), k, skip_self)
 
     keys = ["cell", "__b", "__s"]
     pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, _pair_schema(queries, table))

@@ -4,13 +4,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from strandline.plans import catalog
 from tests.conftest import SF
 from tools.check import TABLES, compare
 
 SAMPLE = (
     "enriched_facts", "quality_counts", "route_files", "text_file_metadata", "weather_periods", "clean_text",
     "article_fields", "article_embeddings", "clean_audio", "cosine_topk", "camera_windows_stream", "anchored_windows",
-    "camera_reports", "truncate_bytes", "sorted_sink",
+    "camera_reports", "truncate_bytes", "sorted_sink", "ivf_topk",
 )
 
 
@@ -28,8 +29,8 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_registry():
-    names, sql = set(entry.queries()), set(entry.oracle_sql())
-    assert sql <= names and names - sql == {"ivf_topk"}
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(catalog.queries()) == set(catalog.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
