@@ -27,7 +27,7 @@ import pyarrow as pa
 from strandline.llm import wordhash
 
 GROUP = 1 << 20
-MAX_CHUNKS = 1_200_000
+MAX_CHUNKS = 400_000
 WINDOW, JOIN_BITS = 8, 5
 #: UTF-8 ends of white space outside ASCII (byte before last, last byte; third-last checked apart).
 _WIDE = {(0xC2, 0x85), (0xC2, 0xA0), (0x9A, 0x80), (0x81, 0x9F), (0x80, 0x80), *((0x80, b) for b in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF))}
@@ -250,3 +250,9 @@ def decoder(path: str):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, step), part, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return run
+
+
+def round_trip(path: str):
+    """A mapInArrow function: doc_id, text -> doc_id, ids, text: encoder and decoder one after the other in one worker."""
+    encode, decode = encoder(path), decoder(path)
+    return lambda batches: decode(encode(batches))

@@ -28,7 +28,39 @@ def oracle_sql() -> dict[str, str]:
     return {name: sql for name, (_, sql) in ENTRIES.items() if sql}
 
 
-@query()
+def _op10_sql() -> str:
+    share, tests = quality.ALPHA / len(quality.RULES), sum(map(len, quality.GRIDS.values()))
+    value = {r: e.replace(" div ", " // ") for r, e in quality.RULES.items()}
+    cells = " UNION ALL ".join(f"SELECT '{r}' AS rule, unnest({list(quality.GRIDS[r])}) AS cutoff" for r in quality.RULES)
+    of_rule = "CASE rule " + " ".join(f"WHEN '{r}' THEN {e}" for r, e in value.items()) + " END"
+    return rf"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, i, w[i:i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 1))) AS i FROM w)
+), d AS (SELECT doc_id, g FROM g GROUP BY ALL HAVING count(*) > 1), c AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT g.doc_id, unnest([i, i + 1, i + 2]) AS p FROM g JOIN d USING (doc_id, g)) GROUP BY 1
+), l AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM w), m AS (
+  SELECT doc_id, stratum, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM l LEFT JOIN c USING (doc_id)
+), b AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m), cells AS ({cells}), held AS (
+  SELECT b.* FROM b JOIN (SELECT doc_id FROM labels GROUP BY 1 HAVING max(quality) = 1) USING (doc_id) WHERE NOT base_failed
+), counts AS (
+  SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER ({of_rule} > cutoff) AS x FROM held, cells GROUP BY ALL
+), cuts AS (
+  SELECT stratum, rule, min(cutoff) AS cutoff FROM counts
+  WHERE x <= n * {share!r} AND list_sum(list_transform(range(0, x + 1), lambda k: exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({share!r}) + (n - k) * ln(1 - {share!r}))))
+    <= {quality.DELTA} / ({tests} * (SELECT count(DISTINCT stratum) FROM held))
+  GROUP BY ALL
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT EXISTS (SELECT 1 FROM cuts WHERE cuts.stratum = b.stratum AND {of_rule} > cutoff) AS kept
+FROM b
+"""
+
+
+@query(_op10_sql())
 def op10_quality_rules(spark, sf_dir):
     measured = materialize(quality.measure(table(spark, sf_dir, "documents")), "quality")
     cutoffs = quality.certify(measured, table(spark, sf_dir, "labels"))
@@ -115,8 +147,8 @@ def op3_jaccard_join(spark, sf_dir):
 @query()
 def op5_bpe_round_trip(spark, sf_dir):
     path = tokenizer_path("byte_bpe_50k.json")
-    encoded = table(spark, sf_dir, "documents").select("doc_id", "text").mapInArrow(bpe.encoder(path), bpe.ENCODED)
-    decoded = encoded.mapInArrow(bpe.decoder(path), "doc_id long, ids array<int>, text string")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = docs.mapInArrow(bpe.round_trip(path), "doc_id long, ids array<int>, text string")
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

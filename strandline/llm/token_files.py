@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from strandline.llm import bpe
 
 MAGIC, BLOCK, LEVEL = b"SLPLANE1", 1 << 16, 3
+MAX_WORDS = 1_000_000  # of the tasks' dictionaries
 FOOTER = "<QQQQIIQ"  # documents' place, size; chunks' place, size; block size, planes, ids
 
 
@@ -103,7 +104,7 @@ def write(docs: DataFrame, stage, tokenizer: str, folder: str, end_id: int = 1,
     dealt = dealt.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, writer, stop = bpe.kept(bpe.Chunks, tokenizer, False), None, np.array([end_id], np.uint32)
+        chunks, writer, stop = bpe.kept(bpe.Chunks, tokenizer, False, MAX_WORDS), None, np.array([end_id], np.uint32)
         files, path = _open(folder)
         part = TaskContext.get().partitionId()
         name = f"{path}/part-{part:06d}-{uuid.uuid4().hex}.planes"
