@@ -1,7 +1,8 @@
 """Exact Jaccard join of word shingles through a tree over count vectors.
 
-A document is its set of distinct shingles. Shingles are hashed into ``GROUPS`` groups; the
-counts per group are the document's point. For two points the sum of the smaller coordinates
+A document is its set of distinct shingles. Shingles are hashed into ``GROUPS`` groups, or for large
+sets into as many more, by powers of two, that a group holds about ``PER_GROUP``; the counts
+per group are the document's point. Points of unlike length meet after folding the longer one. For two points the sum of the smaller coordinates
 bounds the overlap of the sets from above, and likewise for rectangles of points (with the larger
 corner of each); this is the tree's descent rule.
 
@@ -28,6 +29,7 @@ An empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,7 @@ from pyspark.sql import functions as F
 
 from strandline.llm import wordhash
 
-GROUPS, SIZE = 64, 5
+GROUPS, PER_GROUP, SIZE = 64, 8, 5
 NUM, DEN = 80, 100
 LEAF = 2048
 CLASS = 1.25
@@ -62,6 +64,25 @@ def _set_key(values: np.ndarray) -> int:
     return int(wordhash.mix(total).view(np.int64)[0])
 
 
+def _counts(values: np.ndarray, per_group: int) -> np.ndarray:
+    """Counts in groups whose number is a power of two, ``GROUPS`` at least."""
+    groups = max(GROUPS, 1 << (max(1, -(-len(values) // per_group)) - 1).bit_length())
+    return np.bincount((values & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32)
+
+
+def _bounded(pairs: DataFrame, p: str, q: str, num: int, den: int) -> DataFrame:
+    """Pairs whose points ``p`` and ``q`` allow a link: (num + den) * sum of minima >= num * both sizes.
+
+    Sizes of pairs that can link differ by a quarter at most, so one fold makes their points alike in length.
+    """
+    pairs = pairs.where(F.greatest(F.size(p), F.size(q)) <= 2 * F.least(F.size(p), F.size(q)))
+    fold = "CASE WHEN size({p}) > size({q}) THEN zip_with(slice({p}, 1, size({q})), slice({p}, size({q}) + 1, size({q})), (x, y) -> cast(x AS int) + y) ELSE cast({p} AS array<int>) END"
+    pairs = pairs.withColumns({"_p": F.expr(fold.format(p=p, q=q)), "_q": F.expr(fold.format(p=q, q=p))})
+    least = F.expr("aggregate(zip_with(_p, _q, (x, y) -> least(x, y)), 0L, (t, x) -> t + x)")
+    sizes = F.expr("aggregate(_p, 0L, (t, x) -> t + x) + aggregate(_q, 0L, (t, x) -> t + x)")
+    return pairs.where((num + den) * least >= num * sizes).drop("_p", "_q")
+
+
 def describe(size: int = SIZE, num: int = NUM, den: int = DEN):
     """A mapInArrow function: doc_id, text -> SCHEMA."""
 
@@ -74,7 +95,7 @@ def describe(size: int = SIZE, num: int = NUM, den: int = DEN):
                 ids.append(doc_id)
                 counts.append(n)
                 keys.append(_set_key(values) if n else None)
-                points.append(np.bincount((values >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32))
+                points.append(_counts(values, PER_GROUP))
                 leads.append(values[: n - -(-num * n // den) + 1 if n else 0].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(keys, pa.int64()), _lists(points, pa.int32()), _lists(leads, pa.int64())],
@@ -85,21 +106,37 @@ def describe(size: int = SIZE, num: int = NUM, den: int = DEN):
 
 
 def sets(size: int = SIZE):
-    """A mapInArrow function: doc_id, text, ... -> key, shingles."""
+    """A mapInArrow function: doc_id, text -> key, fine (counts in about as many groups as shingles), shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, values = [], []
+            keys, fine, values = [], [], []
             for _, text in _texts(batch):
                 v = wordhash.shingles(wordhash.words(text), size)
                 if len(v):
                     keys.append(_set_key(v))
+                    fine.append(_counts(v, 1).astype(np.int16))
                     values.append(v.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _lists(values, pa.int64())], ["key", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _lists(fine, pa.int16()), _lists(values, pa.int64())], ["key", "fine", "shingles"])
 
     return run
 
 
+def _folded(lists: pa.ListArray) -> np.ndarray:
+    """The points as rows of a matrix, longer ones folded to the shortest one's length."""
+    flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+    sizes, starts = np.diff(offsets), offsets[:-1] - offsets[0]
+    width = int(sizes.min())
+    out = np.empty((len(lists), width), np.int32)
+    for size in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == size)
+        out[rows] = flat[starts[rows][:, None] + np.arange(size)].reshape(len(rows), size // width, width).sum(axis=1)
+    return out
+
+
+_LANE = 16_000  # coordinates are cut there to fit 16 bits, which only makes distances smaller
+
+
 def _meet(n: np.ndarray, label: np.ndarray, points: np.ndarray, side: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the pairs of one leaf pair that pass the bound; side 0 meets side 1, side 2 meets itself."""
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
@@ -108,26 +145,32 @@ def _meet(n: np.ndarray, label: np.ndarray, points: np.ndarray, side: np.ndarray
     need = num * (n[left].min() + n[right].min())
     if (num + den) * np.minimum(points[left].max(axis=0), points[right].max(axis=0)).sum() < need:
         return left[:0], right[:0]
-    out_l, out_r = [], []
-    for at in range(0, len(left), 512):
-        rows = left[at : at + 512]
-        ok = label[rows][:, None] != label[right][None, :]
-        ok &= den * np.minimum(n[rows][:, None], n[right][None, :]) >= num * np.maximum(n[rows][:, None], n[right][None, :])
+    left, right = left[np.argsort(n[left], kind="stable")], right[np.argsort(n[right], kind="stable")]
+    lanes = np.ascontiguousarray(np.minimum(points[right], _LANE).astype(np.int16).T)
+    out_l, out_r = [left[:0]], [right[:0]]
+    for at in range(0, len(left), 256):
+        rows = left[at : at + 256]
+        # sizes of sets that link differ by a factor of den / num at most
+        low, high = np.searchsorted(n[right], -(-num * n[rows[0]] // den)), np.searchsorted(n[right], n[rows[-1]] * den // num, "right")
+        if low >= high:
+            continue
+        near, mine = right[low:high], np.minimum(points[rows], _LANE).astype(np.int16)
+        total = n[rows][:, None] + n[near][None, :]
+        ok = label[rows][:, None] != label[near][None, :]
         if inside:
-            ok &= rows[:, None] < right[None, :]
-        i, j = np.nonzero(ok)
-        total = num * (n[rows[i]] + n[right[j]])
-        # the distance over some coordinates is at most the whole distance, so pairs can leave early
-        gap = np.zeros(len(i), np.int64)
-        for part in range(0, points.shape[1], 8):
-            gap += np.abs(points[rows[i], part : part + 8] - points[right[j], part : part + 8]).sum(axis=1)
-            near = (num + den) * (n[rows[i]] + n[right[j]] - gap) >= 2 * total
-            if not near.all():
-                i, j, gap, total = i[near], j[near], gap[near], total[near]
-            if not len(i):
+            ok &= rows[:, None] < near[None, :]
+        gap = np.zeros((len(rows), len(near)), np.int32)
+        for first in range(0, points.shape[1], GROUPS):
+            for lane in range(first, first + GROUPS):
+                step = mine[:, lane, None] - lanes[None, lane, low:high]
+                gap += np.abs(step, out=step)
+            # twice the smaller coordinates' sum is the sum of both sizes less the distance, which only grows
+            ok &= (num + den) * (total - gap) >= 2 * num * total
+            if not ok.any():
                 break
+        i, j = np.nonzero(ok)
         out_l.append(rows[i])
-        out_r.append(right[j])
+        out_r.append(near[j])
     return np.concatenate(out_l), np.concatenate(out_r)
 
 
@@ -137,7 +180,7 @@ def _leaf_pairs(num: int, den: int):
     def flush(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
         table = pa.Table.from_batches(parts).combine_chunks()
         key, n, label, side = (table.column(c).to_numpy() for c in ("key", "n", "label", "side"))
-        points = table.column("point").combine_chunks().flatten().to_numpy().reshape(len(key), GROUPS)
+        points = _folded(table.column("point").combine_chunks())
         left, right = _meet(n, label, points, side, num, den)
         if len(left):
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(key[left], key[right])), pa.array(np.maximum(key[left], key[right]))], ["a", "b"])
@@ -193,14 +236,25 @@ def _verified(pairs: DataFrame, described: DataFrame, docs: DataFrame, stage, nu
     ids = stage(ids.groupBy("doc_id").agg(F.count("*").alias("n")))
     again = docs.select(F.col("doc_id").alias("id"), "text")
     again = again.join(_checked(ids), again["id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    found = stage(again.mapInArrow(sets(size), "key long, shingles array<long>").join(_checked(wanted), "key", "left_semi"))
-    one, two = found.select(F.col("key").alias("a"), F.col("shingles").alias("x")), found.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
-    met = pairs.join(one, "a").join(two, "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    met = met.withColumn("o", shared).where(den * F.col("o") >= num * (F.size("x") + F.size("y") - F.col("o")))
+    found = stage(again.mapInArrow(sets(size), "key long, fine array<smallint>, shingles array<long>").join(_checked(wanted), "key", "left_semi"))
+    side = lambda column, key, name: found.select(F.col("key").alias(key), F.col(column).alias(name))
+    # the bound once more with many groups: pairs that only just miss are most of what is left, and counts are lighter than sets
+    near = _bounded(pairs.join(side("fine", "a", "x"), "a").join(side("fine", "b", "y"), "b"), "x", "y", num, den)
+    near = stage(near.select("a", "b").distinct())
+    _release(docs)
+    one = side("shingles", "a", "x").join(_checked(near.select("a").distinct()), "a", "left_semi")
+    two = side("shingles", "b", "y").join(_checked(near.select("b").distinct()), "b", "left_semi")
+    met = near.join(one, "a").join(two, "b").withColumn("o", F.size(F.array_intersect("x", "y")))
+    met = met.where(den * F.col("o") >= num * (F.size("x") + F.size("y") - F.col("o")))
     return met.select("a", "b").distinct()
 
 
+def _release(df: DataFrame) -> None:
+    """Let the driver drop what finished steps hold, so that the cleaner deletes their shuffle files now and not at some later time."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+
+
 def classes(docs: DataFrame, stage, text: str = "text", size: int = SIZE, num: int = NUM, den: int = DEN) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id; sets link when den * intersection >= num * union.
 
@@ -211,7 +265,10 @@ def classes(docs: DataFrame, stage, text: str = "text", size: int = SIZE, num: i
     filled = described.where(F.col("key").isNotNull())
     tokens = filled.select("key", F.explode("lead").alias("token"))
     roots = tokens.groupBy("token").agg(F.min("key").alias("center"), F.max("key").alias("other")).where("center != other")
-    shared = stage(tokens.join(roots.select("token", "center"), "token").distinct())
+    roots = stage(roots.select("token", "center"))
+    _release(docs)
+    shared = stage(tokens.join(roots, "token").distinct())
+    _release(docs)
     in_trees = stage(shared.select("key").distinct())
     points = filled.select("key", F.col("n_shingles").alias("n"), "point").join(in_trees, "key").dropDuplicates(["key"])
     points = stage(points)
@@ -219,9 +276,10 @@ def classes(docs: DataFrame, stage, text: str = "text", size: int = SIZE, num: i
     star = shared.where("key != center").select(F.col("center").alias("a"), F.col("key").alias("b")).distinct()
     star = star.join(points.select(F.col("key").alias("a"), F.col("n").alias("n1"), F.col("point").alias("p1")), "a")
     star = star.join(points.select(F.col("key").alias("b"), F.col("n").alias("n2"), F.col("point").alias("p2")), "b")
-    bound = F.expr("aggregate(zip_with(p1, p2, (x, y) -> least(x, y)), 0L, (t, x) -> t + x)")
-    star = stage(star.withColumn("o", bound).where((num + den) * F.col("o") >= num * (F.col("n1") + F.col("n2"))).select("a", "b"))
+    star = star.where(den * F.least("n1", "n2") >= num * F.greatest("n1", "n2"))
+    star = stage(_bounded(star, "p1", "p2", num, den).select("a", "b"))
     links = stage(_verified(star, described, docs, stage, num, den, size))
+    _release(docs)
 
     labels = components(links, stage)
     marked = points.join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
@@ -256,9 +314,11 @@ def classes(docs: DataFrame, stage, text: str = "text", size: int = SIZE, num: i
     packed = marked.select("key", "n", "label", "point")
     rows = rows.join(packed, "key").select("pair", "side", "key", "n", "label", "point").repartition("pair").sortWithinPartitions("pair")
     met = stage(rows.mapInArrow(_leaf_pairs(num, den), "a long, b long").distinct())
-    links = links.union(_verified(met, described, docs, stage, num, den, size))
+    _release(docs)
+    links = stage(links.union(_verified(met, described, docs, stage, num, den, size)))
+    _release(docs)
 
-    labels = components(stage(links), stage)
+    labels = components(links, stage)
     by_key = filled.groupBy("key").agg(F.min("doc_id").alias("least")).join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
     by_key = stage(by_key.select("key", "least", F.coalesce("component", "key").alias("label")))
     named = by_key.groupBy("label").agg(F.min("least").alias("component_id"))
