@@ -7,7 +7,9 @@ rises until it fits. A text's terms in the lexicon, distinct and sorted, are dea
 lexicon, and the terms of each of the first ``SUBSETS`` subsets are hashed. The number of subsets
 follows the number of terms by powers of two, so that a subset holds about one of them and an
 edit changes few hashes; two neighbouring powers are kept, which makes texts of unlike length
-comparable. Likeness is the share of equal hashes among the subsets that either text has terms in.
+comparable. As long texts have more subsets than are kept, a hash of all the text's terms follows: no two texts
+with unlike terms share a fingerprint. Likeness is the share of equal hashes among the subsets that
+either text has terms in and the whole, so it is 1 only if all terms agree.
 
 Null texts count as empty. A text with fewer than ``FEW`` terms in the lexicon uses all its terms;
 one without words has an empty fingerprint, like (1) only other empty ones. Equal texts have equal
@@ -72,7 +74,7 @@ def lexicon(docs: DataFrame, stage, low: float = LOW, high: float = HIGH, most:
 
 
 def fingerprint(text: bytes, lexicon_: np.ndarray) -> str:
-    """Hex: the power of two, then 16-bit hashes of the subsets at that power and the next (0000: no term)."""
+    """Hex: the power of two, 16-bit hashes of the subsets at that power and the next (0000: no term), a 64-bit hash of all terms."""
     own = terms(text)
     if not len(own):
         return ""
@@ -92,11 +94,12 @@ def fingerprint(text: bytes, lexicon_: np.ndarray) -> str:
         hashes = (wordhash.mix(sums) >> np.uint64(48)).astype(np.uint16)
         hashes = np.where(np.bincount(subset[mine], minlength=SUBSETS) > 0, np.maximum(hashes, 1), 0)
         out.append(hashes.astype(">u2").tobytes().hex())
+    out.append(f"{int(wordhash.mix(wordhash.mix(value).sum(keepdims=True))[0]):016x}")
     return "".join(out)
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of subsets with equal hashes among those with terms in either text, at the powers both have; 0 to 1."""
+    """Share of equal hashes among the subsets with terms in either text, at the powers both have, and the whole; 0 to 1."""
     if a == b:
         return 1.0
     if not a or not b:
@@ -104,12 +107,12 @@ def likeness(a: str, b: str) -> float:
     width = 4 * SUBSETS
     levels = lambda s: {int(s[:2], 16) + k: np.frombuffer(bytes.fromhex(s[2 + k * width : 2 + (k + 1) * width]), ">u2") for k in (0, 1)}
     x, y = levels(a), levels(b)
-    equal = used = 0
+    equal, used = int(a[2 + 2 * width :] == b[2 + 2 * width :]), 1
     for p in x.keys() & y.keys():
         either = (x[p] > 0) | (y[p] > 0)
         equal += int(((x[p] == y[p]) & either).sum())
         used += int(either.sum())
-    return equal / used if used else 0.0
+    return equal / used
 
 
 FIELDS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

@@ -105,6 +105,17 @@ def test_fingerprints_tell_edits_from_others(spark, stage):
     assert sum(r.near_edited for r in got) / 300 > 0.4 and sum(r.near_next for r in got) / 300 < 0.1
 
 
+def test_every_term_enters_the_fingerprint():
+    """One changed term of a long text changes its fingerprint, wherever it stands; word order and case do not."""
+    words = [f"v{i}" for i in range(2000)]
+    known = imatch.terms(" ".join([*words, *(f"other{i}" for i in range(2000))]).encode())
+    mark = imatch.fingerprint(" ".join(words).encode(), known)
+    assert imatch.fingerprint(" ".join(reversed(words)).upper().encode(), known) == mark
+    for i in range(0, 2000, 20):
+        changed = imatch.fingerprint(" ".join([*words[:i], f"other{i}", *words[i + 1 :]]).encode(), known)
+        assert changed != mark and 0.9 < imatch.likeness(mark, changed) < 1
+
+
 def test_lexicon_is_the_band(spark, stage):
     rows = [(i, " ".join(f"t{k}" for k in range(40) if i % (k + 1) == 0)) for i in range(200)]
     found = imatch.lexicon(spark.createDataFrame(rows, "doc_id long, text string"), stage, low=0.03, high=0.2)
