@@ -2,11 +2,12 @@
 
 All on DataFrame functions. ``scan`` finds the fixed patterns and the candidate tokens of each
 text inside its row. Three tests ask whether a token's symbols look drawn at random from the
-alphabet inferred for it: chi-squared uniformity, runs of character classes, and serial
-correlation. ``discoveries`` then controls false discoveries: under the hypothesis "ordinary
-token" the class of character changes at the corpus's own rate, so the number of changes has a
-p-value; Benjamini-Hochberg is applied within each stratum of encoding and length, to
-p-values rounded up to tenths of a decade, which needs only counts per stratum and decade.
+smallest alphabet that holds it: chi-squared uniformity, runs of character classes (where there are
+several), and serial correlation. ``discoveries`` then controls false discoveries: under the hypothesis "ordinary
+token" the class of character changes, and letters of one case follow each other in pairs that are no ``PAIRS``, at
+the corpus's own rates. Twice the lesser of both p-values counts; Benjamini-Hochberg is applied
+within each stratum of encoding and length, to p-values rounded up to tenths of a decade, which needs only
+counts per stratum and decade. Tokens of digits alone have neither changes nor pairs and are never found.
 
 Null texts count as empty and have no spans. Rows are independent, so repeated rows repeat.
 """
@@ -25,13 +26,29 @@ ACCESS = "AKIA[A-Z0-9]{12,}"  # the same spans as AKIA[A-Z0-9]+ of 16 characters
 HEX = "[0-9a-f]{32,}"
 MIN_TOKEN = 20
 TOKEN = f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}"
-#: Inferred encodings in order of preference: (name, pattern of the whole token, its alphabet in order).
+_AZ, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+#: Inferred encodings, smaller alphabets first: (name, pattern of the whole token, its alphabet in order).
 ENCODINGS = (
     ("hex", "^[0-9a-f]+$", "0123456789abcdef"),
     ("HEX", "^[0-9A-F]+$", "0123456789ABCDEF"),
+    ("letters", "^[a-z]+$", _AZ),
+    ("LETTERS", "^[A-Z]+$", _AZ.upper()),
     ("base32", "^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("base32-lower", "^[a-z2-7]+=*$", "abcdefghijklmnopqrstuvwxyz234567"),
+    ("base36", "^[a-z0-9]+$", _AZ + _DIGITS),
+    ("BASE36", "^[A-Z0-9]+$", _AZ.upper() + _DIGITS),
+    ("Letters", "^[A-Za-z]+$", _AZ.upper() + _AZ),
+    ("base62", "^[A-Za-z0-9]+$", _AZ.upper() + _AZ + _DIGITS),
     ("base64", "^[A-Za-z0-9+/_-]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 )
+ONE_CASE = ("letters", "LETTERS")
+#: Pairs of letters that make up most of English, French, German and Spanish words.
+PAIRS = (
+    "th he in er an re on en at es or te st nd ed ti of it al ar to is ic ou nt as io le ng ve co me de hi ri ro li ra ne ea se ce om ma el ta be"
+    " ch ha ll ur la ge et di na ns si us ec ac un lo ut tr ie ei sc ss wh sh no ly ho ul ad po ni pe mi ca wi wa fo im em il ol os sp su pr do am"
+    " id ir ot uc pl ai ev ig ke ck tt ee ia ld rs pa ow ru wo ts ab ue ui qu au eu eb ag ef ff br gr cr fr bl cl cu cc fi fe ft ry rt rd rm nc nn"
+    " mp mo nz zu tz pf sa so ga gi iv ye lt ls ht ep ap op ob ub rr ux zw hr hs"
+).split()
 LENGTH_STEPS = (24, 32, 48, 64, 96, 128)
 RANDOM_P = 0.001
 FDR = 0.01
@@ -84,7 +101,7 @@ def _normal_tail(z: str) -> str:
 
 
 def battery(tokens: DataFrame) -> DataFrame:
-    """``tokens`` (with ``value``) plus encoding, n, changes of class, and p_random.
+    """``tokens`` (with ``value``) plus encoding, n, changes of class, steps (those and unusual pairs of letters), and p_random.
 
     p_random is three times the least p-value of the three tests against a uniform source,
     at most 1. The chi-squared statistic is standardised by its exact mean and variance for
@@ -96,21 +113,26 @@ def battery(tokens: DataFrame) -> DataFrame:
     out = tokens.withColumn("encoding", F.expr(enc)).withColumn("alphabet", F.expr(alphabet))
     out = out.withColumn("code", F.expr(f"transform(filter(split({core}, ''), c -> c != ''), c -> instr(alphabet, c) - 1)"))
     out = out.withColumn("class", F.expr("transform(filter(split(value, ''), c -> c NOT IN ('', '=')), c -> CASE WHEN c RLIKE '[a-z]' THEN 0 WHEN c RLIKE '[A-Z]' THEN 1 WHEN c RLIKE '[0-9]' THEN 2 ELSE 3 END)"))
-    out = out.withColumn("n", F.size("code")).withColumn("k", F.length("alphabet"))
+    # nothing but padding, or one symbol and padding, is no token
+    out = out.withColumn("n", F.size("code")).withColumn("k", F.length("alphabet")).where("n > 1")
     out = out.withColumn("changes", F.expr("size(filter(sequence(1, n - 1), i -> get(class, i) != get(class, i - 1)))"))
+    known = "".join("1" if a == b or a + b in PAIRS else "0" for a in _AZ for b in _AZ)
+    out = out.withColumn("letter", F.expr("transform(split(lower(rtrim('=', value)), ''), c -> ascii(c) - 97)"))
+    pair = f"get(class, i) <= 1 AND substring('{known}', 26 * get(letter, i - 1) + get(letter, i) + 1, 1) = '0'"
+    out = out.withColumn("steps", F.expr(f"size(filter(sequence(1, n - 1), i -> get(class, i) != get(class, i - 1) OR ({pair})))"))
     # shares of classes in each alphabet, for the expected number of runs
     same = "CASE encoding " + " ".join(f"WHEN '{n}' THEN {_same_class(a)!r}D" for n, _, a in ENCODINGS) + f" ELSE {_same_class(ENCODINGS[-1][2])!r}D END"
     out = out.withColumn("same", F.expr(same))
     squares = "aggregate(array_distinct(code), 0L, (a, x) -> a + cast(pow(size(filter(code, y -> y = x)), 2) AS bigint))"
     out = out.withColumn("chi", F.expr(f"(k * {squares} / n - n - (k - 1)) / sqrt(2D * (k - 1) * (n - 1) / n)"))
-    out = out.withColumn("runs", F.expr("(changes - (n - 1) * (1 - same)) / sqrt((n - 1) * same * (1 - same))"))
+    out = out.withColumn("runs", F.expr("coalesce((changes - (n - 1) * (1 - same)) / nullif(sqrt((n - 1) * same * (1 - same)), 0D), 0D)"))
     mean = "((k - 1) / 2D)"
     lagged = f"aggregate(sequence(1, n - 1), 0D, (a, i) -> a + (get(code, i) - {mean}) * (get(code, i - 1) - {mean}))"
     out = out.withColumn("serial", F.expr(f"{lagged} / ((k * k - 1) / 12D) / sqrt(n - 1)"))
     p_chi = f"CASE WHEN chi <= 0 THEN 1D ELSE {_normal_tail('chi')} END"
     two = lambda c: f"2 * {_normal_tail(f'abs({c})')}"
     out = out.withColumn("p_random", F.expr(f"least(1D, 3 * least({p_chi}, {two('runs')}, {two('serial')}))"))
-    return out.drop("code", "class", "alphabet", "k", "same", "chi", "runs", "serial")
+    return out.drop("code", "class", "letter", "alphabet", "k", "same", "chi", "runs", "serial")
 
 
 def _same_class(alphabet: str) -> float:
@@ -121,15 +143,25 @@ def _same_class(alphabet: str) -> float:
 
 def discoveries(tested: DataFrame, fdr: float = FDR, random_p: float = RANDOM_P) -> DataFrame:
     """``tested`` plus ``secret``: a false-discovery-controlled rejection of "ordinary token" that looks random too."""
-    rate = tested.agg((F.sum("changes") / F.sum(F.col("n") - 1)).alias("rate"))
-    # the share of class changes over all tokens: secrets among them raise it, which only makes the test stricter
-    rate = max(MIN_RATE, min(0.5, rate.collect()[0][0] or 0.0))  # one number
-    share = "(changes / (n - 1D))"
-    gain = f"(CASE WHEN {share} <= {rate!r}D THEN 0D ELSE (n - 1) * ({share} * ln({share} / {rate!r}D) + CASE WHEN {share} < 1 THEN (1 - {share}) * ln((1 - {share}) / {1 - rate!r}D) ELSE 0D END) END)"
+    one = F.col("encoding").isin(*ONE_CASE)
+    # shares over all tokens, and the share that three of four one-case tokens stay under: secrets among them raise these, which only makes the test stricter
+    rates = tested.agg(
+        F.sum("changes") / F.sum(F.col("n") - 1),
+        F.sum("steps") / F.sum(F.col("n") - 1),
+        F.percentile_approx(F.when(one, F.col("steps") / (F.col("n") - 1)), 0.75),
+    ).collect()[0]  # three numbers
+    changing, stepping, letters = (max(MIN_RATE, min(0.5, r or 0.0)) for r in rates)
+
+    def gain(count: str, rate: float) -> str:
+        share = f"({count} / (n - 1D))"
+        return f"(CASE WHEN {share} <= {rate!r}D THEN 0D ELSE (n - 1) * ({share} * ln({share} / {rate!r}D) + CASE WHEN {share} < 1 THEN (1 - {share}) * ln((1 - {share}) / {1 - rate!r}D) ELSE 0D END) END)"
+
+    names = ", ".join(f"'{n}'" for n in ONE_CASE)
+    least = f"greatest({gain('changes', changing)}, CASE WHEN encoding IN ({names}) THEN {gain('steps', letters)} ELSE {gain('steps', stepping)} END)"
     step = "CASE " + " ".join(f"WHEN n < {s} THEN {s}" for s in LENGTH_STEPS) + f" ELSE {10 * LENGTH_STEPS[-1]} END"
     out = tested.withColumn("stratum", F.expr(f"concat(encoding, ':', {step})"))
-    # Chernoff's bound on P(changes this many), as whole tenths of a decade, rounded towards 1
-    out = out.withColumn("level", F.expr(f"cast(least({MAX_DECADES}, floor(10 * {gain} / ln(10))) AS int)"))
+    # twice the lesser of Chernoff's bounds on P(this many changes) and P(this many steps), as whole tenths of a decade, rounded towards 1
+    out = out.withColumn("level", F.expr(f"cast(least({MAX_DECADES}, greatest(0, floor(10 * ({least} - ln(2)) / ln(10)))) AS int)"))
     counts = out.groupBy("stratum", "level").count()
     above = Window.partitionBy("stratum").orderBy(F.desc("level"))
     counts = counts.withColumn("found", F.sum("count").over(above)).withColumn("m", F.sum("count").over(Window.partitionBy("stratum")))

@@ -110,6 +110,30 @@ def test_random_tokens_are_found(spark, stage):
         assert text[got[i][0].start : got[i][0].end] in text.split(" ")[3]
 
 
+def test_keys_of_every_alphabet_are_found(spark, stage):
+    """Keys of one case, with digits, base32 and base62 at each length, among long words and names; padding alone is no token."""
+    rng = random.Random(12)
+    low, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = {"lower36": low + digits, "UPPER36": low.upper() + digits, "lower32": low + "234567", "UPPER32": low.upper() + "234567",
+                 "lower": low, "UPPER": low.upper(), "base62": low + low.upper() + digits}
+    parts = ("tion", "heit", "lich", "ment", "ing", "ver", "con", "schen", "re", "ance", "ent", "able", "inter", "es", "ier", "ant")
+    rows, keys = [], {}
+    for name, alphabet in alphabets.items():
+        for n in (32, 40, 64, 96):
+            for _ in range(20):
+                key = "".join(rng.choice(alphabet) for _ in range(n))
+                keys[len(rows)] = (name, n)
+                rows.append((len(rows), f"see {key} here"))
+    for _ in range(2000):
+        word = "".join(rng.choice(parts) for _ in range(rng.randrange(8, 12)))
+        rows.append((len(rows), f"text {rng.choice((word, word.upper(), word[:11] + '2_' + word[11:]))} and {'=' * 30} a{'=' * 30}"))
+    found = secrets.find(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), stage).select("doc_id", "spans").collect()
+    hits = {r.doc_id for r in found if any(s.kind == 3 for s in r.spans)}
+    recall = Counter(keys[i] for i in hits if i in keys)
+    assert all(recall[c] >= 18 for c in set(keys.values())), recall
+    assert len(hits - keys.keys()) <= 0.01 * len(hits)
+
+
 def test_redaction(spark, stage):
     rows = [(1, "a token=abcdefgh1 b"), (2, "secret = " + "0f" * 20 + "!"), (3, "é password:'12345678'"), (4, ""), (5, None), (6, "nothing")]
     found = secrets.find(spark.createDataFrame(rows, "doc_id long, text string"), stage, body=True)
