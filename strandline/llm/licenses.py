@@ -4,8 +4,9 @@ Fitting happens on the driver over the built-in notices below (a fixed, document
 notice, framed in a few common ways, and windows of it; sentences that merely mention such words
 are the unknown class). Scoring is DataFrame functions only: paragraphs holding one of a few
 stems are cut into word n-grams, joined with the broadcast weights (at most ``MAX_FEATURES`` rows)
-and summed. Paragraphs (lines) are candidates if they hold one of the ``STEMS``, which every notice
-below and every licence notice has; the classifier is fitted on candidates alone.
+and summed. Paragraphs are lines, and windows of up to ``WINDOW`` neighbouring lines with words, over which a
+notice may be wrapped. They are candidates if they hold one of the ``STEMS`` or ``NAMES``. Of
+overlapping paragraphs the one most like a notice of its family counts; a window has to be confirmed.
 
 Null and empty texts have no paragraphs and get the empty result. Repeated rows are judged one
 by one. Other columns are ignored.
@@ -16,7 +17,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Short licence notices by family.
@@ -35,12 +36,16 @@ NOTICES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
         "This work is licensed under the GNU General Public License, version 3.",
         "GNU General Public License v3.0",
+        "Available under the GPLv3.",
     ),
     "gpl-2.0": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+        "Available under the GPLv2.",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
         "This work is licensed under the GNU General Public License, version 2.",
     ),
     "lgpl": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
         "This library is free software; you can redistribute it under the terms of the GNU Lesser General Public License",
         "Licensed under the GNU Lesser General Public License.",
     ),
@@ -51,10 +56,10 @@ NOTICES = {
         "Licensed under the BSD 3-Clause License.",
     ),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
-    "cc-by": ("Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
-    "public-domain": ("This work is dedicated to the public domain under CC0 1.0.", "This is free and unencumbered software released into the public domain."),
+    "cc-by": ("Licensed under CC BY 4.0.", "CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    "cc-by-sa": ("Licensed under CC BY-SA 4.0.", "CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "cc-by-nc": ("Licensed under CC BY-NC 4.0.", "CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "public-domain": ("This work is dedicated to the public domain under CC0 1.0.", "CC0 1.0", "This is free and unencumbered software released into the public domain."),
     "all-rights-reserved": ("All rights reserved.", "Copyright 2020 the authors. All rights reserved."),
 }
 #: Sentences with the same words that name no licence.
@@ -79,6 +84,9 @@ OTHER = (
 FRAMES = ("{}", "Note: {}", "{} See the file for details.", "# {}", "Copyright 2019 the authors. {}")
 #: A paragraph without any of these is no candidate.
 STEMS = ("licens", "licenc", "copyright", "reserved", "redistribut", "public domain", "hereby granted", "unencumbered", "creative commons", "general public")
+#: Names of licences that stand in notices without a stem.
+NAMES = ("cc by", "cc-by", "cc0", "gplv2", "gplv3")
+WINDOW = 8
 MAX_FEATURES, ORDERS = 4096, (1, 2, 3)
 CONFIRM = 0.5
 NONE = "unknown"
@@ -104,7 +112,7 @@ def _examples() -> list[tuple[str, str]]:
                 out += [(" ".join(words[i : i + 14]), family) for i in range(0, len(words) - 13, 3)]
     out += [(frame.format(s), NONE) for s in OTHER for frame in FRAMES[:4]]
     out += [(f"the {a} of it", NONE) for a in STEMS]
-    return [(text, y) for text, y in out if any(a in text.lower() for a in STEMS)]
+    return [(text, y) for text, y in out if any(a in text.lower() for a in (*STEMS, *NAMES))]
 
 
 def fit(steps: int = 400, rate: float = 2.0, ridge: float = 1e-4) -> dict:
@@ -148,12 +156,21 @@ def fit(steps: int = 400, rate: float = 2.0, ridge: float = 1e-4) -> dict:
 
 
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, _row, paragraph (its place), words and n-grams of every line that holds a stem."""
-    hit = lambda c: F.expr(" OR ".join(f"contains({c}, '{a}')" for a in STEMS))
+    """doc_id, _row, paragraph (its first line's place * WINDOW + further lines), words and n-grams of every paragraph that holds a stem or name."""
+    hit = lambda c: "(" + " OR ".join(f"contains({c}, '{a}')" for a in (*STEMS, *NAMES)) + ")"
     lines = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("body"))
-    lines = lines.where(hit("body")).select("doc_id", "_row", F.posexplode(F.split("body", "\n", -1)).alias("paragraph", "line"))
+    # a stem of two words may be wrapped itself
+    lines = lines.where(F.expr(hit("regexp_replace(body, '[^a-z0-9.+-]+', ' ')"))).select("doc_id", "_row", F.split("body", "\n", -1).alias("lines"))
+    # each line with its followers is made inside the row, so that the whole text is not carried along
+    lines = lines.select("doc_id", "_row", F.posexplode(F.expr(f"transform(lines, (x, i) -> slice(lines, i + 1, {WINDOW}))")).alias("at", "next"))
+    lines = lines.where("get(next, 0) RLIKE '[a-z0-9]'")
+    blank = "array_position(transform(next, x -> x RLIKE '[a-z0-9]'), false)"
+    lines = lines.withColumn("next", F.expr(f"CASE WHEN {blank} > 0 THEN slice(next, 1, cast({blank} - 1 AS int)) ELSE next END"))
+    lines = lines.where(F.expr(hit("regexp_replace(array_join(next, ' '), '[^a-z0-9.+-]+', ' ')")))
+    lines = lines.select("doc_id", "_row", "at", F.posexplode(F.expr("transform(next, (x, i) -> array_join(slice(next, 1, i + 1), ' '))")).alias("more", "line"))
+    lines = lines.where(F.expr(hit("line") + " OR " + hit("regexp_replace(line, '[^a-z0-9.+-]+', ' ')")))
     words = F.transform(F.regexp_extract_all("line", F.lit(f"({WORD})")), lambda w: F.rtrim(w, F.lit(".+-")))
-    lines = lines.where(hit("line")).select("doc_id", "_row", "paragraph", words.alias("words"))
+    lines = lines.select("doc_id", "_row", (F.col("at") * WINDOW + F.col("more")).alias("paragraph"), words.alias("words"))
     grams = [
         f"transform(sequence(0, size(words) - {n}), i -> array_join(slice(words, i + 1, {n}), ' '))"
         for n in ORDERS
@@ -199,13 +216,31 @@ def classify(found: DataFrame, model: dict | None = None, confirm: float = CONFI
     return out.withColumn("confirmed", F.col("similarity") >= confirm).drop("pairs", "words", "grams")
 
 
+def settle(judged: DataFrame) -> DataFrame:
+    """Of overlapping paragraphs the one that counts at each line.
+
+    At a line the confirmed one of the greatest similarity, then the shortest, then the first is best. A window
+    counts where it is best at all its lines; a line alone counts where no such window covers it.
+    """
+    sure = (F.col("family") != NONE) & F.col("confirmed")
+    judged = judged.withColumns({"at": F.expr(f"paragraph div {WINDOW}"), "more": F.expr(f"paragraph % {WINDOW}")}).where(sure | (F.col("more") == 0))
+    covered = judged.select("*", F.explode(F.expr("sequence(at, at + more)")).alias("spot"))
+    order = F.struct(sure.cast("int"), F.when(sure, F.col("similarity")), -F.col("more"), -F.col("at"))
+    covered = covered.withColumn("best", F.row_number().over(Window.partitionBy("_row", "spot").orderBy(order.desc())) == 1)
+    whole = covered.groupBy("_row", "paragraph").agg(F.bool_and("best").alias("whole"))
+    covered = covered.join(whole, ["_row", "paragraph"])
+    taken = covered.groupBy("_row", "spot").agg(F.bool_or(F.col("whole") & (F.col("more") > 0)).alias("taken"))
+    out = covered.where("spot = at").join(taken, ["_row", "spot"])
+    return out.where("CASE WHEN more > 0 THEN whole ELSE NOT taken END").drop("at", "more", "spot", "best", "whole", "taken")
+
+
 def scan(docs: DataFrame, stage, text: str = "text", model: dict | None = None) -> DataFrame:
     """Per document: doc_id, families (confirmed, sorted, comma-joined), n_confirmed, n_unconfirmed, n_unknown.
 
     ``stage(df)`` writes and rereads the candidate paragraphs, which are few; texts are not moved.
     """
     found = stage(candidates(docs, text))
-    judged = classify(found, model)
+    judged = settle(stage(classify(found, model)))
     sure = (F.col("family") != NONE) & F.col("confirmed")
     per = judged.groupBy("_row").agg(
         F.array_join(F.array_sort(F.collect_set(F.when(sure, F.col("family")))), ",").alias("families"),

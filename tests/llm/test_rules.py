@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -150,6 +151,24 @@ def test_licenses(spark, docs, no_docs, stage):
     assert licenses.scan(docs, stage).count() == len(texts()) and licenses.scan(no_docs, stage).count() == 0
 
 
+def test_wrapped_and_short_license_notices(spark, stage):
+    """Headers wrapped over lines of comments, and notices that hold a licence's name alone."""
+    header = "This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+    kinds = {"gpl-2.0": ("program", ";", "", ";", "2"), "gpl-3.0": ("program", ":", "", ",", "3"), "lgpl": ("library", ";", "Lesser ", ";", "2.1")}
+    rows, want = [], {}
+    for family, parts in kinds.items():
+        for width in (50, 70):
+            for mark in ("", " * ", "# "):
+                want[len(rows)] = (family, 1)
+                body = "\n".join(mark + x for x in textwrap.wrap(header.format(*parts), width))
+                rows.append((len(rows), f"int x;\n\n{body}\n\nmore text"))
+    for text, family in (("Available under CC BY-SA 4.0.", "cc-by-sa"), ("CC0 1.0", "public-domain"), ("x\nAvailable under the GPLv3.\ny", "gpl-3.0")):
+        want[len(rows)] = (family, 1)
+        rows.append((len(rows), text))
+    got = {r.doc_id: (r.families, r.n_confirmed) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), stage).collect()}
+    assert got == want
+
+
 def test_license_scores_are_the_models(spark, stage):
     """The scoring in SQL equals the model applied by hand."""
     model = licenses.fit()
