@@ -1,10 +1,10 @@
-"""Registered queries of the ten operators, over their whole tables."""
+"""Registered queries of the operators, over their whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strandline.llm import bpe, chat, imatch, jaccard, licenses, packing, quality, secrets, token_files, toxicity
+from strandline.llm import bpe, chat, imatch, jaccard, licenses, minhash, packing, quality, repair, secrets, spelling, token_files, toxicity
 from strandline.llm.registry import ENTRIES, query, table
 from strandline.session import materialize, scratch_path
 
@@ -144,6 +144,14 @@ def op3_jaccard_join(spark, sf_dir):
     return jaccard.classes(table(spark, sf_dir, "documents"), lambda df: materialize(df, "jaccard"))
 
 
+OP11_SQL = OP3_SQL.replace("100 * o >= 80 *", "100 * o >= 85 *").replace("min(r.c) AS component_id", "min(r.c) AS component_id, d.doc_id = min(r.c) AS kept")
+
+
+@query(OP11_SQL)
+def op11_minhash_dedup(spark, sf_dir):
+    return minhash.classes(table(spark, sf_dir, "documents"), lambda df: materialize(df, "minhash"))
+
+
 @query()
 def op5_bpe_round_trip(spark, sf_dir):
     path = tokenizer_path("byte_bpe_50k.json")
@@ -197,3 +205,14 @@ def op1_chat_format(spark, sf_dir):
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
     return chat.format_chats(turns).mapInArrow(chat.read_back, chat.DIGESTS)
+
+
+@query()
+def op12_conversation_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damage(turns), turns, lambda df: materialize(df, "repair"))
+
+
+@query()
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"), lambda df: materialize(df, "spelling"))
