@@ -163,15 +163,21 @@ def train_cells(
     return unit_rows(model.clusterCenters())
 
 
-def ivf_assign(table: DataFrame, cells: np.ndarray, vector: str = "embedding", probes: int = 1) -> DataFrame:
-    """One row per vector and each of its ``probes`` nearest cells (column ``cell``)."""
-    shared = table.sparkSession.sparkContext.broadcast(cells)
+def nearest_cells(spark, cells: np.ndarray, probes: int):
+    """An Arrow UDF: the numbers of a vector's ``probes`` nearest cells, nearest first."""
+    shared = spark.sparkContext.broadcast(cells)
 
     @F.pandas_udf("array<int>")
     def nearest(vectors: pd.Series) -> pd.Series:
         scores = unit_rows(vectors) @ shared.value.T
         return pd.Series(list(np.argsort(-scores, axis=1, kind="stable")[:, :probes].astype(np.int32)))
 
+    return nearest
+
+
+def ivf_assign(table: DataFrame, cells: np.ndarray, vector: str = "embedding", probes: int = 1) -> DataFrame:
+    """One row per vector and each of its ``probes`` nearest cells (column ``cell``)."""
+    nearest = nearest_cells(table.sparkSession, cells, probes)
     # Outer, so that the optimizer adds no non-empty check that runs the UDF again.
     return table.withColumn("cell", F.explode_outer(nearest(F.col(vector)))).filter("cell is not null")
 
@@ -197,11 +203,16 @@ def ivf_topk(
     table = table.select(F.col(key).alias("vec_id"), F.col(vector).alias("__v"))
     placed = ivf_assign(table, cells, "__v")
     placed = materialize(placed, "cells")  # assigned once, used for sizes and candidates
-    # At most one row per cell: len(cells) bounds this table.
-    blocks = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("__n"))
-    blocks = F.broadcast(blocks)
+    probes = materialize(ivf_assign(queries, cells, "__q", min(nprobe, len(cells))), "probes")
+    return cell_search(probes, placed, placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), k, skip_self, block_rows)
+
+
+def cell_search(probes: DataFrame, placed: DataFrame, sizes: DataFrame, k: int, skip_self: bool, block_rows: int) -> DataFrame:
+    """Top-k of ``probes`` (query_id, __q, cell) among the rows of ``placed`` (vec_id, __v, cell) in the same cell; ``sizes``: cell, n."""
+    # At most one row per cell: the number of cells bounds this table.
+    blocks = F.broadcast(sizes.select("cell", F.ceil(F.col("n") / F.lit(block_rows)).alias("__n")))
     right = placed.join(blocks, "cell").withColumn("__b", F.pmod(F.xxhash64("vec_id"), F.col("__n"))).drop("__n")
-    probes = materialize(ivf_assign(queries, cells, "__q", min(nprobe, len(cells))), "probes").join(blocks, "cell")
+    probes = probes.join(blocks, "cell")
     query_blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1))
     # The same split keeps a block that very many queries visit bounded as well.
     visits = probes.withColumn("__b", query_blocks).drop("__n")
@@ -217,7 +228,7 @@ def ivf_topk(
         return _best_pairs(q["query_id"], unit_rows(q["__q"]), v["vec_id"], unit_rows(v["__v"]), k, skip_self)
 
     keys = ["cell", "__b", "__s"]
-    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, _pair_schema(queries, table))
+    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, _pair_schema(probes, placed))
     return _rank(pairs, k)
 
 

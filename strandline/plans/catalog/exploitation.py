@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from strandline.functions.hashing import dense_hash, l2_norm
 from strandline.functions.text import PREVIEW_CHARS, WHITESPACE, truncate_bytes as clip
-from strandline.operators import embed, enrich, similarity
+from strandline.operators import cellindex, embed, enrich, similarity
 from strandline.plans import collisions
 from strandline.plans.catalog import inputs
 from strandline.plans.catalog.inputs import DEDUPED_SQL, registry, table, wide
 from strandline.plans.catalog.trusted import CLEANED_WAV_SQL
+from strandline.session import materialize, scratch_path
 
 QUERIES, query = registry()
 
@@ -346,3 +347,31 @@ def ivf_topk_all_cells(spark: SparkSession, sf: str) -> DataFrame:
     cells = similarity.train_cells(vectors, 8)
     found = similarity.ivf_topk(vectors, vectors, cells, 10, nprobe=8, skip_self=True)
     return found.withColumn("score", F.round("score", 6))
+
+
+@query(_COSINE_SQL)
+def cell_index_additions(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored index of half of the rows, the rest added in two steps; with all cells probed the answer is exact."""
+    path = scratch_path(spark, "cell-index")
+    vectors = table(spark, sf, "embeddings")
+    part = F.pmod(F.xxhash64("vec_id"), F.lit(4))
+    cellindex.build_index(vectors.filter(part < 2), path, 8)
+    for step in (2, 3):
+        cellindex.add_vectors(vectors.filter(part == step), path)
+    return cellindex.search_index(vectors, path, 10, nprobe=8, skip_self=True).withColumn("score", F.round("score", 6))
+
+
+@query("""
+    SELECT count(*) AS queries, sum(least(10, total - 1))::BIGINT AS returned_rows, true AS recall_reached
+    FROM (SELECT (SELECT count(*) FROM embeddings) AS total FROM embeddings)
+""")
+def cell_index_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows searched at the calibrated number of probes: at least 0.9 of the exact neighbours are found."""
+    path = scratch_path(spark, "cell-index")
+    vectors = table(spark, sf, "embeddings")
+    cellindex.build_index(vectors, path, 32)
+    cellindex.calibrate(spark, path, 10, target=0.9)
+    found = materialize(cellindex.search_index(vectors, path, 10, skip_self=True), "found")
+    recall = similarity.recall_at_k(found, similarity.cosine_topk(vectors, vectors, 10, skip_self=True))
+    counted = found.agg(F.countDistinct("query_id").alias("queries"), F.count(F.lit(1)).alias("returned_rows"))
+    return counted.crossJoin(F.broadcast(recall.select((F.col("recall") >= 0.9).alias("recall_reached"))))

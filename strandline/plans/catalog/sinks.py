@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,24 @@ def vector_increments(spark: SparkSession, sf: str) -> DataFrame:
     return writers.read_vectors(spark, path, key="doc_id").select("doc_id", "quality", "toxic")
 
 
+@query("""
+    SELECT doc_id, quality + 10 * (doc_id % 3) AS quality, toxic FROM labels
+""")
+def concurrent_vector_writers(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored set, then two increments and a new snapshot written at the same time; all three are read back."""
+    path = scratch_path(spark, "vectors")
+    rows = table(spark, sf, "labels").withColumn("embedding", F.array(F.lit(1.0).cast("float")))
+    writers.upsert_vectors(rows.withColumn("embedded_at", F.lit(1)), path, 1, key="doc_id")
+
+    def write(part: int) -> None:
+        mine = rows.filter(F.col("doc_id") % 3 == part).withColumns({"quality": F.col("quality") + 10 * part, "embedded_at": F.lit(2)})
+        writers.upsert_vectors(mine, path, 1, key="doc_id", compact=part == 0)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(write, range(3)))
+    return writers.read_vectors(spark, path, key="doc_id").select("doc_id", "quality", "toxic")
+
+
 @query("SELECT count(*) AS row_count, true AS ranges_disjoint FROM orders")
 def sorted_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Write range-ordered, then check that file ranges of the sort key do not overlap."""

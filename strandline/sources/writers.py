@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators.embed import FIELD_BYTES, clip_fields
 from strandline.operators.tables import latest_per_key, replace_on_dimension_change, upsert_latest
+from strandline.sources.commits import CommitLog, Conflict
 
 
 def write_sorted(df: DataFrame, path: str, keys: Sequence[str], mode: str = "overwrite") -> None:
@@ -94,71 +95,59 @@ def write_metadata_files(df: DataFrame, root: str, destination: str = "metadata_
     write_files(df.select(destination, body.alias("__json")), root, destination, "__json")
 
 
-def _filesystem(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
-def _versions(spark: SparkSession, path: str, kind: str) -> list[tuple[int, str]]:
-    """Completely written folders ``<kind>=<number>`` of a versioned table, oldest first."""
-    fs, root = _filesystem(spark, path)
-    if not fs.exists(root):
-        return []
-    found = []
-    for status in fs.listStatus(root):
-        folder = status.getPath()
-        if folder.getName().startswith(f"{kind}=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
-            found.append((int(folder.getName().split("=")[1]), folder.toString()))
-    return sorted(found)
-
-
 def latest_snapshot(spark: SparkSession, path: str) -> str | None:
-    """The newest complete snapshot folder (``v=``) of a versioned table."""
-    done = _versions(spark, path, "v")
-    return done[-1][1] if done else None
+    """The current snapshot folder (``v=``) of a versioned table."""
+    log = CommitLog(spark, path)
+    head, _ = log.state()
+    return log.folder("v", head["number"]) if head["number"] else None
 
 
-def _write_version(df: DataFrame, path: str, kind: str) -> str:
-    """Write ``df`` under the next number; readers keep to what was complete before."""
-    spark = df.sparkSession
-    number = max([n for k in ("v", "d") for n, _ in _versions(spark, path, k)], default=0) + 1
-    target = f"{path.rstrip('/')}/{kind}={number:08d}"
-    df.write.mode("overwrite").parquet(target)
-    return target
+def _stored(log: CommitLog, head: dict, adds: list[dict], key: str, version: str) -> DataFrame | None:
+    if not head["number"]:
+        return None
+    stored = log.spark.read.parquet(log.folder("v", head["number"]))
+    newer = [log.folder("d", a["number"]) for a in adds if a["dim"] == head["dim"]]
+    # A snapshot holds each key once; only increments need the comparison.
+    return upsert_latest(stored, log.spark.read.option("mergeSchema", True).parquet(*newer), key, version) if newer else stored
 
 
 def read_vectors(spark: SparkSession, path: str, key: str = "filename", version: str = "embedded_at") -> DataFrame | None:
-    """Stored vectors, newest per key: the last snapshot and the increments (``d=``) after it."""
-    snapshots = _versions(spark, path, "v")
-    if not snapshots:
-        return None
-    base, folder = snapshots[-1]
-    newer = [p for n, p in _versions(spark, path, "d") if n > base]
-    stored = spark.read.parquet(folder)
-    # A snapshot holds each key once; only increments need the comparison.
-    return upsert_latest(stored, spark.read.option("mergeSchema", True).parquet(*newer), key, version) if newer else stored
+    """Stored vectors, newest per key: the current snapshot and the increments (``d=``) it has not merged."""
+    log = CommitLog(spark, path)
+    return _stored(log, *log.state(), key, version)
 
 
 def upsert_vectors(
-    df: DataFrame, path: str, dim: int, key: str = "filename", version: str = "embedded_at", compact: bool = True, clip: bool = False
+    df: DataFrame, path: str, dim: int, key: str = "filename", version: str = "embedded_at", compact: bool = True, clip: bool = False, attempts: int = 20
 ) -> str:
     """Merge embeddings into the stored set, newest per key; another stored dimension is replaced.
 
     ``compact=False`` writes the incoming rows only, as an increment merged by
-    :func:`read_vectors`; the default writes a full snapshot. ``clip`` cuts the stored texts to the
+    :func:`read_vectors`; the default writes a full snapshot. Writers may run at the same time: increments never
+    conflict, and a snapshot that another one overtook is merged and written anew, up to ``attempts`` times. ``clip`` cuts the stored texts to the
     byte limits of a vector store, but never the key: two long keys stay two rows.
     """
-    spark = df.sparkSession
+    log = CommitLog(df.sparkSession, path)
     if clip:
         df = clip_fields(df, {c: n for c, n in FIELD_BYTES.items() if c != key})
     if version not in df.columns:
         df = df.withColumn(version, F.current_timestamp())
-    stored = read_vectors(spark, path, key, version)
-    if stored is None or replace_on_dimension_change(spark.read.parquet(latest_snapshot(spark, path)), dim):
-        return _write_version(latest_per_key(df, key, version), path, "v")
-    if not compact:
-        return _write_version(df, path, "d")
-    return _write_version(upsert_latest(stored, df, key, version), path, "v")
+    for _ in range(attempts):
+        head, adds = log.state()
+        number = log.claim()
+        same = head["number"] and not replace_on_dimension_change(log.spark.read.parquet(log.folder("v", head["number"])), dim)
+        if same and not compact:
+            df.write.mode("overwrite").parquet(log.folder("d", number))
+            log.add(number, dim=dim)
+            return log.folder("d", number)
+        rows = upsert_latest(_stored(log, head, adds, key, version), df, key, version) if same else latest_per_key(df, key, version)
+        rows.write.mode("overwrite").parquet(log.folder("v", number))
+        try:
+            log.follow(head["number"], number, [*head["merged"], *(a["number"] for a in adds)], dim=dim)
+        except Conflict:
+            continue
+        return log.folder("v", number)
+    raise Conflict(f"{path}: overtaken by other writers {attempts} times")
 
 
 def truncate_table(spark: SparkSession, path: str) -> None:
