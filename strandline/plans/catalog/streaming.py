@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from strandline.plans.catalog import inputs
 from strandline.plans.catalog.inputs import FRAMES_SQL, registry, table
-from strandline.session import scratch_path
-from strandline.streaming import anchored, frames
+from strandline.session import materialize, scratch_path
+from strandline.streaming import anchored, frames, replay
 
 QUERIES, query = registry()
 
@@ -112,7 +112,7 @@ def frame_files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(f"""
+_ANCHORED_SQL = f"""
     WITH RECURSIVE {FRAMES_SQL},
     ticked AS (SELECT *, floor(epoch_us(ts) / 60000000)::BIGINT AS tick FROM frames),
     ticks AS (SELECT DISTINCT camera_id, tick FROM ticked),
@@ -127,8 +127,59 @@ def frame_files(spark: SparkSession, sf: str) -> DataFrame:
                   AND (t.tick > s.win OR s.win = (SELECT min(tick) FROM ticks k WHERE k.camera_id = t.camera_id) AND t.tick = s.win)),
     {_AVERAGES_SQL}
     SELECT camera_id, win AS window_start, label, frames, total, avg_per_frame, win_end AS window_end
-    FROM averaged JOIN steps USING (camera_id, win) WHERE win_end <= (SELECT max(tick) FROM ticks)
-""")
+    FROM averaged JOIN steps USING (camera_id, win)
+"""
+
+
+@query(f"{_ANCHORED_SQL} WHERE win_end <= (SELECT max(tick) FROM ticks)")
 def anchored_windows(spark: SparkSession, sf: str) -> DataFrame:
     """Hour-long windows from each camera's first frame, polled every minute; starts in minutes."""
     return anchored.anchored_windows(inputs.frames(spark, sf), width=3600, tick=60, block_ticks=1440)
+
+
+def _frame_parts(spark: SparkSession, sf: str, count: int) -> list[DataFrame]:
+    """The frames in ``count`` parts of equal time, earliest first."""
+    rows = inputs.frames(spark, sf).select("camera_id", F.col("ts").cast("timestamp").alias("ts"), "detections")
+    low, high = rows.agg(F.min("ts"), F.max("ts")).first()
+    if low is None:
+        return [rows] * count
+    step = (high - low) / count
+    ends = [low + step * i for i in range(1, count)]
+    place = sum((F.when(F.col("ts") >= F.lit(e), 1).otherwise(0) for e in ends), F.lit(0))
+    return [rows.filter(place == i) for i in range(count)]
+
+
+@query(f"{_ANCHORED_SQL} WHERE (win_end + 1) * 60000 <= (SELECT epoch_ms(max(ts)) FROM events)")
+def anchored_windows_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The anchored windows from keyed state with timers, by a query that is stopped and started again between the parts of
+    the recording. Windows whose closing minute the watermark has not passed stay in the state."""
+    source, out, checkpoint = (scratch_path(spark, x) for x in ("frames", "windows", "checkpoint"))
+    for part in _frame_parts(spark, sf, 3):
+        part.write.mode("append").parquet(source)
+        closed = replay.anchored_replay(spark.readStream.schema(part.schema).parquet(source), width=3600, tick=60)
+        writer = closed.writeStream.option("checkpointLocation", checkpoint).format("parquet").option("path", out)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    stored = spark.read.schema(replay.CLOSED).parquet(out)
+    return frames.averages(stored, keep=["window_end"])
+
+
+@query(f"""
+    WITH seen AS (SELECT 'Nd_' || user_id AS camera_id, ts FROM events),
+    span AS (SELECT min(ts) AS low, epoch_us(max(ts)) - epoch_us(min(ts)) AS us FROM seen),
+    steps AS (SELECT step, low + to_microseconds(us * step // 4) AS upto FROM span, range(1, 5) AS r(step))
+    SELECT step::INT AS step, camera_id, count(*) AS frames, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_seen
+    FROM seen JOIN steps ON step = 4 OR ts < upto GROUP BY ALL
+""")
+def camera_progress(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames so far of each camera, read after each quarter of the recording; the query restarts in between."""
+    source, out, checkpoint = (scratch_path(spark, x) for x in ("frames", "progress", "checkpoint"))
+    found = None
+    for step, part in enumerate(_frame_parts(spark, sf, 4), 1):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(part.schema).parquet(source)
+        frames.start_progress(stream, out, checkpoint, availableNow=True).awaitTermination()
+        now = frames.latest_progress(spark.read.parquet(out)).withColumn("step", F.lit(step))
+        # the folder grows with the next step, so each reading is written down
+        now = materialize(now.select("step", "camera_id", "frames", F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss").alias("last_seen")), "progress")
+        found = now if found is None else found.union(now)
+    return found

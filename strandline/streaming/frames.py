@@ -173,6 +173,28 @@ def start_frame_files(frames: DataFrame, out: str, checkpoint: str, **trigger) -
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def start_progress(frames: DataFrame, out: str, checkpoint: str, camera: str = "camera_id", **trigger) -> StreamingQuery:
+    """Frames so far of each camera, as (camera, frames, first_seen, last_seen) rows of the cameras that changed.
+
+    Counts are the query's state, so they go on over restarts. One folder per batch, so a retry overwrites
+    itself; by default a batch starts every ``WINDOW_SECONDS``. Read with :func:`latest_progress`.
+    """
+    counted = frames.groupBy(camera).agg(F.count(F.lit(1)).alias("frames"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+
+    writer = counted.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(save)
+    return writer.trigger(**(trigger or {"processingTime": f"{WINDOW_SECONDS} seconds"})).start()
+
+
+def latest_progress(progress: DataFrame, camera: str = "camera_id") -> DataFrame:
+    """The newest row of each camera from the batches that :func:`start_progress` has written."""
+    values = F.struct(*[c for c in progress.columns if c not in (camera, "batch_id")])
+    newest = progress.groupBy(camera).agg(F.max_by(values, "batch_id").alias("v"))
+    return newest.select(camera, "v.*")
+
+
 class FrameProgress(StreamingQueryListener):
     """Reports frames so far for each query through ``emit`` (``print`` by default)."""
 
