@@ -8,7 +8,7 @@ from strandline.plans import collisions, documents, landing, unstructured
 from strandline.session import build_session
 
 STAGES = {
-    "land": ("source root checkpoint", lambda s, a: landing.land_available(s, a.source, a.root, a.checkpoint, a.max_files)),
+    "land": ("source root checkpoint", lambda s, a: landing.land_available(s, a.source, a.root, a.checkpoint, a.max_files, a.archive)),
     "trust-collisions": ("table out rejects", lambda s, a: collisions.trust_collisions(s, a.table, a.out, a.rejects)),
     "trust-weather": ("source out", lambda s, a: documents.trust_weather(s, a.source, a.out)),
     "trust-cameras": ("source out", lambda s, a: documents.trust_cameras(s, a.source, a.out)),
@@ -29,6 +29,7 @@ def parser() -> argparse.ArgumentParser:
             stage.add_argument(argument)
         if name == "land":
             stage.add_argument("--max-files", type=int, default=landing.MAX_FILES, help="files per batch")
+            stage.add_argument("--archive", help="folder that landed files move to")
         if name.endswith(("texts", "audio")):
             stage.add_argument("--files", action="store_true", help="also write one file per row")
     return top

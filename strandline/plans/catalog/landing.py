@@ -9,6 +9,7 @@ from strandline.functions.columns import normalize_columns, safe_double
 from strandline.functions.text import LINE_BREAKS, WHITESPACE, format_article
 from strandline.operators import documents as docs
 from strandline.operators import landing
+from strandline.plans import landing as flow
 from strandline.plans.catalog import inputs
 from strandline.plans.catalog.inputs import registry, table, wide
 from strandline.session import scratch_path
@@ -310,3 +311,24 @@ def append_evolve(spark: SparkSession, sf: str) -> DataFrame:
     writers.write_documents(events.select("event_id", "user_id", "event_type"), path)
     writers.write_documents(events.select("event_id", "value", "props"), path)
     return readers.read_table(spark, path).select("event_id", "user_id", "event_type", "value", "props")
+
+
+@query("""
+    SELECT count(*) FILTER (page_id % 10 <> 0) AS landed_rows, count(*) FILTER (page_id % 10 <> 0) AS copies,
+           count(*) FILTER (page_id % 10 <> 0) AS archived_files, count(*) FILTER (page_id % 10 = 0) AS files_left
+    FROM pages
+""")
+def landed_and_archived(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page as a text file, each tenth with an unknown suffix: landed ones move to the archive, the others stay."""
+    base = scratch_path(spark, "archive")
+    source, root, archive = (f"{base}/{x}" for x in ("temporal", "lake", "old"))
+    name = F.concat(F.lit("p"), F.col("page_id").cast("string"), F.when(F.col("page_id") % 10 == 0, ".bin").otherwise(".txt"))
+    writers.write_files(table(spark, sf, "pages").select(name.alias("name"), "html"), source, "name", "html")
+    flow.land_available(spark, source, root, f"{base}/checkpoint", archive=archive)
+    counts = {
+        "landed_rows": flow.read_landed(spark, root, "text"),
+        "copies": readers.list_objects(spark, f"{root}/{landing.PERSISTENT_PREFIX}unstructured/text/data"),
+        "archived_files": readers.list_objects(spark, archive),
+        "files_left": readers.list_objects(spark, source),
+    }
+    return spark.createDataFrame([tuple(df.count() for df in counts.values())], ", ".join(f"{c} bigint" for c in counts))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import documents as docs
 from strandline.operators import landing
+from strandline.sources.batches import BatchLog
 from strandline.sources.readers import first_line, read_csv_strings
 from strandline.sources.writers import write_files, write_metadata_files
 
@@ -22,6 +23,7 @@ TABLES = {
     "camera_report": "unstructured/images/delta",
     "structured_csv": "structured/delta",
 }
+SUMMARIES = "landing_summary"
 _METADATA = {
     "semi_structured": landing.weather_file_metadata,
     "text": landing.text_file_metadata,
@@ -60,8 +62,19 @@ def _routed(files: DataFrame, source: str) -> DataFrame:
     return landing.route_objects(files.withColumn("object_name", name))
 
 
-def _land_documents(files: DataFrame, kind: str, batch_id: int, root: str, zone: str) -> DataFrame:
-    """Metadata rows, metadata files and copies of one kind; returns ``(object_name, error)``."""
+def batch_log(spark: SparkSession, root: str) -> BatchLog:
+    """The batches of a landing zone and the tables they write to."""
+    tables = [f"{landing.PERSISTENT_PREFIX.rstrip('/')}/{t}" for t in TABLES.values()]
+    return BatchLog(spark, root, [*tables, SUMMARIES])
+
+
+def read_landed(spark: SparkSession, root: str, kind: str) -> DataFrame | None:
+    """Rows of one kind from committed batches only; None before the first."""
+    return batch_log(spark, root).read(f"{landing.PERSISTENT_PREFIX.rstrip('/')}/{TABLES[kind]}")
+
+
+def _land_documents(files: DataFrame, kind: str, batch_id: int, staged: str, zone: str) -> DataFrame:
+    """Metadata rows, metadata files and copies of one kind; returns the persisted rows with ``object_name`` and ``error``."""
     rows = _METADATA[kind](files)
     if "error" not in rows.columns:
         rows = rows.withColumn("error", F.lit(None).cast("string"))
@@ -70,22 +83,45 @@ def _land_documents(files: DataFrame, kind: str, batch_id: int, root: str, zone:
     if not good.isEmpty():
         _append(landing.flatten(good), f"{zone}/{TABLES[kind]}", batch_id)
         about = good.withColumn("metadata_destination", F.col("file_metadata.persistent_metadata_path"))
-        write_metadata_files(about.drop("object_name"), root, "metadata_destination")
+        write_metadata_files(about.drop("object_name"), staged, "metadata_destination")
     # One name per file of this batch: the stream's file limit bounds it.
     named = files.join(F.broadcast(good.select("object_name")), "object_name")
-    write_files(named.select("destination", "content"), root, "destination", "content")
-    return rows.select("object_name", "error")
+    write_files(named.select("destination", "content"), staged, "destination", "content")
+    return rows
 
 
-def land_batch(batch: DataFrame, batch_id: int, root: str, source: str) -> DataFrame:
+def land_batch(batch: DataFrame, batch_id: int, root: str, source: str, archive: str | None = None) -> DataFrame:
     """Process one batch of files, given by ``path``; returns the per-kind summary.
 
     The names of a batch (at most ``max_files``) are listed on the driver, so each
-    branch scans the contents of its own files only. Tables come before file
-    copies, and both are rewritten by a retry: a batch lost half-way leaves
-    neither duplicates nor gaps.
+    branch scans the contents of its own files only. Rows go to the batch's own folders and copies to its staged files;
+    the batch counts once it is committed, and a failure before takes all of it back and leaves the sources where they
+    are. After the commit copies get their names and, with ``archive``, landed sources move there.
     """
     spark = batch.sparkSession
+    log = batch_log(spark, root)
+    summary = f"{root.rstrip('/')}/{SUMMARIES}/batch_id={batch_id}"
+    if not log.committed(batch_id):
+        log.begin(batch_id)
+        held: list[DataFrame] = []
+        try:
+            outcome = _land_files(batch, batch_id, root, source, log.staged(batch_id), held)
+            outcome.write.parquet(f"{log.folder(batch_id)}/files")
+            landing.landing_summary(spark.read.parquet(f"{log.folder(batch_id)}/files")).write.parquet(summary)
+        except BaseException:
+            log.roll_back(batch_id)
+            raise
+        finally:
+            for rows in held:
+                rows.unpersist()
+        log.commit(batch_id)
+    log.finish(batch_id, source, archive)
+    return spark.read.parquet(summary)
+
+
+def _land_files(batch: DataFrame, batch_id: int, root: str, source: str, staged: str, held: list[DataFrame]) -> DataFrame:
+    """Write rows and staged copies of a batch; returns ``(path, object_name, kind, error)``. ``held`` gets what is persisted."""
+    spark = batch.sparkSession
     zone = f"{root.rstrip('/')}/{landing.PERSISTENT_PREFIX.rstrip('/')}"
     routed = _routed(batch.select("path"), source)
     paths: dict[str, list[str]] = {}
@@ -96,17 +132,21 @@ def land_batch(batch: DataFrame, batch_id: int, root: str, source: str) -> DataF
         files = spark.read.format("binaryFile").load([_literal(p) for p in paths[kind]]).select("path", "content")
         return _routed(files, source)
 
-    results = [_land_documents(load(k), k, batch_id, root, zone) for k in _METADATA if k in paths]
+    for kind in _METADATA:
+        if kind in paths:
+            held.append(_land_documents(load(kind), kind, batch_id, staged, zone))
+    results = [rows.select("object_name", "error") for rows in held]
     if "camera_report" in paths:
         reports = load("camera_report")
         texts = reports.select(F.col("object_name").alias("source_file"), F.col("content").cast("string").alias("content"))
         parsed = docs.parse_documents(texts, docs.REPORT_SCHEMA).persist()
+        held.append(parsed)
         good = parsed.filter("error is null")
         results.append(parsed.select(F.col("source_file").alias("object_name"), "error"))
         if not good.isEmpty():
             _append(docs.report_table(good), f"{zone}/{TABLES['camera_report']}", batch_id, "camera_id")
         # A report that cannot become a table row is still moved; broken documents are not.
-        write_files(reports.select("destination", "content"), root, "destination", "content")
+        write_files(reports.select("destination", "content"), staged, "destination", "content")
     if "structured_csv" in paths:
         listed = spark.createDataFrame([(p,) for p in paths["structured_csv"]], "path string")
         frames, failed = [], []
@@ -120,21 +160,25 @@ def land_batch(batch: DataFrame, batch_id: int, root: str, source: str) -> DataF
         if failed:
             bad = _routed(spark.createDataFrame(failed, "path string, error string"), source)
             results.append(bad.select("object_name", "error"))
-    outcome = routed.select("object_name", "kind")
+    outcome = routed.select("path", "object_name", "kind")
     if results:
         outcome = outcome.join(landing.evolve_append(*results), "object_name", "left")
     else:
         outcome = outcome.withColumn("error", F.lit(None).cast("string"))
-    outcome = outcome.withColumn("error", F.when(F.col("kind") == "skipped", F.lit("unknown type")).otherwise(F.col("error")))
-    return landing.landing_summary(outcome)
+    return outcome.withColumn("error", F.when(F.col("kind") == "skipped", F.lit("unknown type")).otherwise(F.col("error")))
 
 
-def land_available(spark: SparkSession, source: str, root: str, checkpoint: str, max_files: int = MAX_FILES) -> DataFrame:
+def land_available(
+    spark: SparkSession, source: str, root: str, checkpoint: str, max_files: int = MAX_FILES, archive: str | None = None
+) -> DataFrame:
     """Land every file not seen before under ``checkpoint``; returns the summary of this run.
 
     The stream's checkpoint records which files are done, so nothing is listed
-    against the persistent zone and nothing lands twice.
+    against the persistent zone and nothing lands twice. With ``archive`` landed files leave the source folder for
+    ``<archive>/batch_id=<n>``; files that failed or have no known type stay. Batches that an earlier run left
+    unfinished are finished or taken back first.
     """
+    batch_log(spark, root).recover(source, archive)
     schema = "path string, modificationTime timestamp, length bigint, content binary"
     files = (
         spark.readStream.format("binaryFile")
@@ -143,11 +187,10 @@ def land_available(spark: SparkSession, source: str, root: str, checkpoint: str,
         .option("maxFilesPerTrigger", max_files)
         .load(source)
     )
-    summaries = f"{root.rstrip('/')}/landing_summary"
     done: list[int] = []
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, batch_id, root, source).write.mode("overwrite").parquet(f"{summaries}/batch_id={batch_id}")
+        land_batch(batch, batch_id, root, source, archive)
         done.append(batch_id)
 
     query = files.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run).trigger(availableNow=True).start()
@@ -155,6 +198,6 @@ def land_available(spark: SparkSession, source: str, root: str, checkpoint: str,
     schema = "kind string, seen bigint, processed bigint, failed bigint"
     if not done:
         return spark.createDataFrame([], schema)
-    paths = [f"{summaries}/batch_id={n}" for n in done]
+    paths = [f"{root.rstrip('/')}/{SUMMARIES}/batch_id={n}" for n in done]
     totals = {c: F.sum(c).alias(c) for c in ("seen", "processed", "failed")}
     return spark.read.schema(schema).parquet(*paths).groupBy("kind").agg(*totals.values())
