@@ -2,14 +2,16 @@
 
 Fitting happens on the driver over the built-in notices below (a fixed, documented set: every
 notice, framed in a few common ways, and windows of it; sentences that merely mention such words
-are the unknown class). Scoring is DataFrame functions only: paragraphs holding one of a few
-stems are cut into word n-grams, joined with the broadcast weights (at most ``MAX_FEATURES`` rows)
-and summed. Paragraphs are lines, and windows of up to ``WINDOW`` neighbouring lines with words, over which a
-notice may be wrapped. They are candidates if they hold one of the ``STEMS`` or ``NAMES``. Of
-overlapping paragraphs the one most like a notice of its family counts; a window has to be confirmed.
+are the unknown class, notices of further licences the class ``other``). Whole notices are held out to calibrate. Scoring is
+DataFrame functions only: paragraphs are cut into word n-grams, joined with the broadcast weights (at most ``MAX_FEATURES`` rows)
+and summed. A paragraph is a line, or a line and its followers, over which a notice may be wrapped, up to the next line without words
+or until it holds ``SPAN`` words, more than twice the longest notice. It is a candidate if it holds one of the ``STEMS`` or ``NAMES``.
+A family is confirmed where the paragraph holds enough of the word pairs of one of its notices, for each other family a pair that this one
+lacks (such as the version), and no negation. Of overlapping paragraphs the one most like a notice of its family counts; one of
+several lines has to be confirmed.
 
 Null and empty texts have no paragraphs and get the empty result. Repeated rows are judged one
-by one. Other columns are ignored.
+by one. Other columns are ignored. Rows are numbered once, in a written table, so any plan may stand behind ``docs``.
 """
 
 from __future__ import annotations
@@ -62,6 +64,21 @@ NOTICES = {
     "public-domain": ("This work is dedicated to the public domain under CC0 1.0.", "CC0 1.0", "This is free and unencumbered software released into the public domain."),
     "all-rights-reserved": ("All rights reserved.", "Copyright 2020 the authors. All rights reserved."),
 }
+#: Notices of further licences, found as ``other`` and never confirmed.
+FURTHER = (
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "Licensed under the Eclipse Public License, version 1.0.",
+    "Licensed under the European Union Public Licence, version 1.2.",
+    "The contents of this file are subject to the terms of the Common Development and Distribution License.",
+    "This package may be distributed under the terms of the Artistic License 2.0.",
+    "Distributed under the Boost Software License, Version 1.0.",
+    "Licensed under the zlib License.",
+    "Licensed under the ISC License.",
+    "Use of this software is governed by the Business Source License.",
+    "Licensed under the Open Software License, version 3.0.",
+    "Licensed under the Microsoft Public License.",
+    "This font is licensed under the SIL Open Font License, Version 1.1.",
+)
 #: Sentences with the same words that name no licence.
 OTHER = (
     "A driver license is required to rent a car.",
@@ -86,10 +103,12 @@ FRAMES = ("{}", "Note: {}", "{} See the file for details.", "# {}", "Copyright 2
 STEMS = ("licens", "licenc", "copyright", "reserved", "redistribut", "public domain", "hereby granted", "unencumbered", "creative commons", "general public")
 #: Names of licences that stand in notices without a stem.
 NAMES = ("cc by", "cc-by", "cc0", "gplv2", "gplv3")
-WINDOW = 8
+SPAN = 96
 MAX_FEATURES, ORDERS = 4096, (1, 2, 3)
 CONFIRM = 0.5
-NONE = "unknown"
+NONE, ELSE = "unknown", "other"
+#: What takes a notice back; the words between are few.
+NEGATION = r"\b(not|never|nor|no longer)( [a-z]+){0,2} (licensed|released|available|distributed|governed|covered|under)\b"
 WORD = "[a-z0-9][a-z0-9.+-]*"
 
 
@@ -102,75 +121,96 @@ def features(words: list[str]) -> set[str]:
     return {" ".join(words[i : i + n]) for n in ORDERS for i in range(len(words) - n + 1)}
 
 
-def _examples() -> list[tuple[str, str]]:
+def _examples() -> list[tuple[str, str, bool]]:
+    """Text, class and whether it calibrates: of each family with three notices one is held out whole, and every fifth other sentence."""
     out = []
-    for family, notices in NOTICES.items():
-        for notice in notices:
-            out += [(frame.format(notice), family) for frame in FRAMES]
+    for family, notices in [*NOTICES.items(), (ELSE, FURTHER)]:
+        for k, notice in enumerate(notices):
+            held = len(notices) > 2 and k % 5 == 2
+            out += [(frame.format(notice), family, held) for frame in FRAMES]
             words = notice.split()
             if len(words) > 16:
-                out += [(" ".join(words[i : i + 14]), family) for i in range(0, len(words) - 13, 3)]
-    out += [(frame.format(s), NONE) for s in OTHER for frame in FRAMES[:4]]
-    out += [(f"the {a} of it", NONE) for a in STEMS]
-    return [(text, y) for text, y in out if any(a in text.lower() for a in (*STEMS, *NAMES))]
+                out += [(" ".join(words[i : i + 14]), family, held) for i in range(0, len(words) - 13, 3)]
+    out += [(frame.format(s), NONE, k % 5 == 2) for k, s in enumerate(OTHER) for frame in FRAMES[:4]]
+    out += [(f"the {a} of it", NONE, False) for a in STEMS]
+    return [row for row in out if any(a in row[0].lower() for a in (*STEMS, *NAMES))]
 
 
 def fit(steps: int = 400, rate: float = 2.0, ridge: float = 1e-4) -> dict:
-    """Multinomial logistic regression by gradient descent; every fifth example calibrates.
+    """Multinomial logistic regression by gradient descent, deterministic.
 
-    The held-out fifth sets the temperature (least log loss) and the least probability at which
-    no held-out unknown is taken for a family. Deterministic.
+    A model without the held-out notices sets the temperature (least log loss on them) and the least probability
+    at which no held-out unknown is taken for a family; the weights are then fitted on all examples.
     """
-    rows = [(features(tokens(t)), y) for t, y in _examples()]
-    train, held = [r for i, r in enumerate(rows) if i % 5], [r for i, r in enumerate(rows) if not i % 5]
-    counts: dict[str, int] = {}
-    for f, _ in train:
-        for g in f:
-            counts[g] = counts.get(g, 0) + 1
-    vocabulary = sorted(counts, key=lambda g: (-counts[g], g))[:MAX_FEATURES]
-    place, classes = {g: i for i, g in enumerate(vocabulary)}, [*NOTICES, NONE]
-
-    def matrix(part):
-        x = np.zeros((len(part), len(vocabulary)))
-        for i, (f, _) in enumerate(part):
-            x[i, [place[g] for g in f if g in place]] = 1.0
-        return x, np.array([classes.index(y) for _, y in part])
+    rows = [(features(tokens(t)), y, held) for t, y, held in _examples()]
+    classes = [*NOTICES, ELSE, NONE]
 
     def soft(z):
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
-    (x, y), (hx, hy) = matrix(train), matrix(held)
-    x, hx = (m / np.sqrt(np.maximum(1, m.sum(axis=1, keepdims=True))) for m in (x, hx))
-    w, b, goal = np.zeros((len(vocabulary), len(classes))), np.zeros(len(classes)), np.eye(len(classes))[y]
-    for _ in range(steps):
-        d = (soft(x @ w + b) - goal) / len(train)
-        w -= rate * (x.T @ d + ridge * w)
-        b -= rate * d.sum(axis=0)
-    z = hx @ w + b
-    loss = lambda t: -np.log(soft(z / t)[np.arange(len(hy)), hy] + 1e-12).mean()
+    def matrix(part, place):
+        x = np.zeros((len(part), len(place)))
+        for i, (f, *_) in enumerate(part):
+            x[i, [place[g] for g in f if g in place]] = 1.0
+        return x / np.sqrt(np.maximum(1, x.sum(axis=1, keepdims=True))), np.array([classes.index(r[1]) for r in part])
+
+    def train(part):
+        counts: dict[str, int] = {}
+        for f, *_ in part:
+            for g in f:
+                counts[g] = counts.get(g, 0) + 1
+        vocabulary = sorted(counts, key=lambda g: (-counts[g], g))[:MAX_FEATURES]
+        x, y = matrix(part, place := {g: i for i, g in enumerate(vocabulary)})
+        w, b, goal = np.zeros((len(vocabulary), len(classes))), np.zeros(len(classes)), np.eye(len(classes))[y]
+        for _ in range(steps):
+            d = (soft(x @ w + b) - goal) / len(part)
+            w -= rate * (x.T @ d + ridge * w)
+            b -= rate * d.sum(axis=0)
+        return vocabulary, place, w, b
+
+    _, place, w, b = train([r for r in rows if not r[2]])
+    x, y = matrix([r for r in rows if r[2]], place)
+    z = x @ w + b
+    loss = lambda t: -np.log(soft(z / t)[np.arange(len(y)), y] + 1e-12).mean()
     t = min((0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0), key=loss)
-    p = soft(z / t)
-    unknown = p[hy == len(classes) - 1][:, :-1].max(axis=1, initial=0.0)
+    unknown = soft(z / t)[y == len(classes) - 1][:, :-1].max(axis=1, initial=0.0)
+    vocabulary, _, w, b = train(rows)
     return {"classes": classes, "vocabulary": vocabulary, "weights": w / t, "bias": b / t, "least": float(max(0.5, min(0.9, unknown.max(initial=0.0))))}
 
 
-def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, _row, paragraph (its first line's place * WINDOW + further lines), words and n-grams of every paragraph that holds a stem or name."""
-    hit = lambda c: "(" + " OR ".join(f"contains({c}, '{a}')" for a in (*STEMS, *NAMES)) + ")"
-    lines = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("body"))
-    # a stem of two words may be wrapped itself
-    lines = lines.where(F.expr(hit("regexp_replace(body, '[^a-z0-9.+-]+', ' ')"))).select("doc_id", "_row", F.split("body", "\n", -1).alias("lines"))
-    # each line with its followers is made inside the row, so that the whole text is not carried along
-    lines = lines.select("doc_id", "_row", F.posexplode(F.expr(f"transform(lines, (x, i) -> slice(lines, i + 1, {WINDOW}))")).alias("at", "next"))
-    lines = lines.where("get(next, 0) RLIKE '[a-z0-9]'")
+def _hit(column: str) -> str:
+    """SQL: the text holds a stem or name, whatever stands between the words of one; the text is read once."""
+    apart = "[^a-z0-9.+-]+"
+    return f"{column} RLIKE '" + "|".join(a.replace(" ", apart) for a in (*STEMS, *NAMES)) + "'"
+
+
+def numbered(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, _row and, where the text holds a stem or name, its lower-cased body. To be written before it is used twice."""
+    body = F.lower(F.coalesce(F.col(text), F.lit("")))
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), body.alias("body"))
+    return rows.select("doc_id", "_row", F.expr(f"CASE WHEN {_hit('body')} THEN body END").alias("body"))
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """Of ``numbered`` rows: doc_id, _row, paragraph (its first line's place * SPAN + further lines), words and n-grams of every paragraph with a stem or name."""
+    lines = rows.where("body IS NOT NULL").select("doc_id", "_row", F.split("body", "\n", -1).alias("lines"))
+    # lines that hold a stem, alone or with the next line; paragraphs begin at most SPAN lines before one
+    spots = f"filter(transform(lines, (x, i) -> CASE WHEN {_hit("concat(x, ' ', coalesce(get(lines, i + 1), ''))")} THEN i END), i -> i IS NOT NULL)"
+    lines = lines.withColumn("spots", F.expr(spots))
+    begins = f"array_distinct(flatten(transform(spots, s -> sequence(greatest(0, s - {SPAN - 1}), s))))"
+    lines = lines.select("doc_id", "_row", F.explode(F.expr(f"transform({begins}, i -> struct(i AS at, slice(lines, i + 1, {SPAN}) AS next))")).alias("p"))
+    lines = lines.select("doc_id", "_row", "p.at", "p.next").where("get(next, 0) RLIKE '[a-z0-9]'")
     blank = "array_position(transform(next, x -> x RLIKE '[a-z0-9]'), false)"
     lines = lines.withColumn("next", F.expr(f"CASE WHEN {blank} > 0 THEN slice(next, 1, cast({blank} - 1 AS int)) ELSE next END"))
-    lines = lines.where(F.expr(hit("regexp_replace(array_join(next, ' '), '[^a-z0-9.+-]+', ' ')")))
+    # words so far, before each line: a paragraph takes lines while it holds less than SPAN
+    before = f"aggregate(transform(next, x -> size(regexp_extract_all(x, '({WORD})'))), cast(array(0) AS array<int>), (a, n) -> concat(a, array(element_at(a, -1) + n)))"
+    lines = lines.withColumn("next", F.expr(f"slice(next, 1, greatest(1, least(size(next), size(filter({before}, n -> n < {SPAN})))))"))
+    lines = lines.where(F.expr(_hit("array_join(next, ' ')")))
     lines = lines.select("doc_id", "_row", "at", F.posexplode(F.expr("transform(next, (x, i) -> array_join(slice(next, 1, i + 1), ' '))")).alias("more", "line"))
-    lines = lines.where(F.expr(hit("line") + " OR " + hit("regexp_replace(line, '[^a-z0-9.+-]+', ' ')")))
+    lines = lines.where(F.expr(_hit("line")))
     words = F.transform(F.regexp_extract_all("line", F.lit(f"({WORD})")), lambda w: F.rtrim(w, F.lit(".+-")))
-    lines = lines.select("doc_id", "_row", (F.col("at") * WINDOW + F.col("more")).alias("paragraph"), words.alias("words"))
+    lines = lines.select("doc_id", "_row", (F.col("at") * SPAN + F.col("more")).alias("paragraph"), words.alias("words"))
     grams = [
         f"transform(sequence(0, size(words) - {n}), i -> array_join(slice(words, i + 1, {n}), ' '))"
         for n in ORDERS
@@ -179,12 +219,23 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     return lines.select("doc_id", "_row", "paragraph", "words", F.expr(f"array_distinct(concat({', '.join(grams)}))").alias("grams")).where(F.size("grams") > 0)
 
 
+def _pairs(notice: str) -> set[str]:
+    words = tokens(notice)
+    return {f"{a} {b}" for a, b in zip(words, words[1:])}
+
+
+def own_pairs() -> dict[str, dict[str, list[str]]]:
+    """For each family and each other one (or the further licences) that shares word pairs with it: the pairs that only the family has."""
+    pairs = {family: set().union(*map(_pairs, notices)) for family, notices in [*NOTICES.items(), (ELSE, FURTHER)]}
+    return {f: {g: sorted(p - q) for g, q in pairs.items() if g != f and p & q} for f, p in pairs.items() if f != ELSE}
+
+
 def classify(found: DataFrame, model: dict | None = None, confirm: float = CONFIRM) -> DataFrame:
     """``found`` (of ``candidates``) plus family, probability, similarity and confirmed.
 
     family is ``unknown`` where that class is likeliest or the probability stays under the
     calibrated least. similarity: the largest share of a notice's word pairs that the paragraph
-    holds, over the family's notices; confirmed from ``confirm`` on.
+    holds, over the family's notices; confirmed from ``confirm`` on, if for each other family a pair is there that it lacks, and nothing negates it.
     """
     spark, model = found.sparkSession, model or fit()
     classes, width = model["classes"], len(model["classes"])
@@ -204,16 +255,20 @@ def classify(found: DataFrame, model: dict | None = None, confirm: float = CONFI
     out = out.withColumn("family", F.coalesce("family", F.lit(NONE)))
     pairs = "transform(sequence(0, size(words) - 2), i -> concat(get(words, i), ' ', get(words, i + 1)))"
     out = out.withColumn("pairs", F.expr(f"CASE WHEN size(words) >= 2 THEN array_distinct({pairs}) ELSE cast(array() AS array<string>) END"))
+    own = "CASE family"
+    for name, mine in own_pairs().items():
+        tests = [f"arrays_overlap(pairs, array({', '.join(map(repr, p))}))" for p in mine.values()] or ["true"]
+        own += f" WHEN '{name}' THEN {' AND '.join(tests)}"
     share = "CASE family"
     for name, notices in NOTICES.items():
         each = []
         for notice in notices:
-            words = tokens(notice)
-            own = sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
-            each.append(f"size(array_intersect(pairs, array({', '.join(repr(p) for p in own)}))) / {len(own)}D")
+            held = sorted(_pairs(notice))
+            each.append(f"size(array_intersect(pairs, array({', '.join(map(repr, held))}))) / {len(held)}D")
         share += f" WHEN '{name}' THEN " + (f"greatest({', '.join(each)})" if len(each) > 1 else each[0])
     out = out.withColumn("similarity", F.round(F.expr(share + " ELSE 0D END"), 6))
-    return out.withColumn("confirmed", F.col("similarity") >= confirm).drop("pairs", "words", "grams")
+    said = ~F.array_join("words", " ").rlike(NEGATION)
+    return out.withColumn("confirmed", (F.col("similarity") >= confirm) & F.expr(own + " ELSE false END") & said).drop("pairs", "words", "grams")
 
 
 def settle(judged: DataFrame) -> DataFrame:
@@ -223,7 +278,7 @@ def settle(judged: DataFrame) -> DataFrame:
     counts where it is best at all its lines; a line alone counts where no such window covers it.
     """
     sure = (F.col("family") != NONE) & F.col("confirmed")
-    judged = judged.withColumns({"at": F.expr(f"paragraph div {WINDOW}"), "more": F.expr(f"paragraph % {WINDOW}")}).where(sure | (F.col("more") == 0))
+    judged = judged.withColumns({"at": F.expr(f"paragraph div {SPAN}"), "more": F.expr(f"paragraph % {SPAN}")}).where(sure | (F.col("more") == 0))
     covered = judged.select("*", F.explode(F.expr("sequence(at, at + more)")).alias("spot"))
     order = F.struct(sure.cast("int"), F.when(sure, F.col("similarity")), -F.col("more"), -F.col("at"))
     covered = covered.withColumn("best", F.row_number().over(Window.partitionBy("_row", "spot").orderBy(order.desc())) == 1)
@@ -237,9 +292,10 @@ def settle(judged: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, stage, text: str = "text", model: dict | None = None) -> DataFrame:
     """Per document: doc_id, families (confirmed, sorted, comma-joined), n_confirmed, n_unconfirmed, n_unknown.
 
-    ``stage(df)`` writes and rereads the candidate paragraphs, which are few; texts are not moved.
+    ``stage(df)`` writes and rereads the row numbers with the texts that hold a stem, and the candidate paragraphs; both are few.
     """
-    found = stage(candidates(docs, text))
+    rows = stage(numbered(docs, text))
+    found = stage(candidates(rows))
     judged = settle(stage(classify(found, model)))
     sure = (F.col("family") != NONE) & F.col("confirmed")
     per = judged.groupBy("_row").agg(
@@ -248,6 +304,5 @@ def scan(docs: DataFrame, stage, text: str = "text", model: dict | None = None)
         F.count_if((F.col("family") != NONE) & ~F.col("confirmed")).alias("n_unconfirmed"),
         F.count_if(F.col("family") == NONE).alias("n_unknown"),
     )
-    rows = stage(docs.select("doc_id", F.monotonically_increasing_id().alias("_row")))
-    out = rows.join(per, "_row", "left")
+    out = rows.select("doc_id", "_row").join(per, "_row", "left")
     return out.select("doc_id", F.coalesce("families", F.lit("")).alias("families"), *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_confirmed", "n_unconfirmed", "n_unknown")))

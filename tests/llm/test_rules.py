@@ -169,12 +169,75 @@ def test_wrapped_and_short_license_notices(spark, stage):
     assert got == want
 
 
+def families(spark, stage, texts_):
+    df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    return [r.families for r in sorted(licenses.scan(df, stage).collect(), key=lambda r: r.doc_id)]
+
+
+def test_licenses_of_a_shuffled_table(spark, stage):
+    """The rows' numbers are drawn once: on a table behind a groupBy every licence lands on its own document."""
+    said = lambda i: "Released under the MIT License." if i % 10 == 0 else f"words {i} of no licence"
+    rows = [(i, f"first line {i}\n{said(i)}\nlast") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7).groupBy("doc_id").agg(F.max("text").alias("text"))
+    found = {r.doc_id for r in licenses.scan(df, stage).collect() if r.families == "mit"}
+    assert found == set(range(0, 3000, 10))
+
+
+def test_further_licences_versions_and_negations(spark, stage):
+    gpl2 = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+    got = families(spark, stage, [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "\n".join(textwrap.wrap(gpl2, 16)),
+        "\n".join(" * " + x for x in textwrap.wrap(bsd, 12)),
+        "This tool is not licensed under the MIT License.",
+        "Licensed under the zlib License.",
+        gpl2[: gpl2.index("either version")],
+        "x\n" * 500 + "Released under\nthe MIT\nLicense.\n" + "y\n" * 500,
+    ])
+    assert got == ["", "gpl-2.0", "bsd", "", "", "", "mit"]
+
+
+def test_held_out_notices_do_not_train():
+    rows = licenses._examples()
+    held = {t for t, _, h in rows if h}
+    assert len(held) >= 50 and not held & {t for t, _, h in rows if not h}
+    mine = licenses.own_pairs()
+    assert "version 2" in mine["gpl-2.0"]["gpl-3.0"] and "gnu general" in mine["gpl-3.0"]["agpl"] and all(p for m in mine.values() for p in m.values())
+
+
+def plain_candidates(text):
+    """(first line, further lines) -> words of the paragraphs of a text, line by line."""
+    lines = text.lower().split("\n")
+    apart = "[^a-z0-9.+-]+"
+    stem = re.compile("|".join(a.replace(" ", apart) for a in (*licenses.STEMS, *licenses.NAMES)))
+    out = {}
+    for at in range(len(lines)):
+        words = []
+        for more, line in enumerate(lines[at:]):
+            if not re.search("[a-z0-9]", line) or len(words) >= licenses.SPAN:
+                break
+            words += licenses.tokens(line)
+            if stem.search(" ".join(lines[at : at + more + 1])):
+                out[at, more] = words[:]
+    return out
+
+
+def test_candidates_equal_plain_ones(spark, stage):
+    rng = random.Random(6)
+    bits = ["general", "public", "license", "cc", "by 4.0", "", " ", "copyright", "a b c d e f g h", "x", "reserved", "--", "the gplv3."] + ["w"] * 12
+    rows = [(i, "\n".join(rng.choice(bits) for _ in range(rng.randrange(1, 260)))) for i in range(25)]
+    found = licenses.candidates(stage(licenses.numbered(spark.createDataFrame(rows, "doc_id long, text string"))))
+    got = {(r.doc_id, r.paragraph // licenses.SPAN, r.paragraph % licenses.SPAN): r.words for r in found.collect()}
+    assert got == {(i, *k): w for i, t in rows for k, w in plain_candidates(t).items()}
+
+
 def test_license_scores_are_the_models(spark, stage):
     """The scoring in SQL equals the model applied by hand."""
     model = licenses.fit()
-    lines = [t for t, _ in licenses._examples()][::7]
+    lines = [t for t, *_ in licenses._examples()][::7]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
-    got = {r.doc_id: (r.family, r.probability) for r in licenses.classify(licenses.candidates(df), model).collect()}
+    got = {r.doc_id: (r.family, r.probability) for r in licenses.classify(licenses.candidates(stage(licenses.numbered(df))), model).collect()}
     for i, line in enumerate(lines):
         known = [model["vocabulary"].index(g) for g in licenses.features(licenses.tokens(line)) if g in set(model["vocabulary"])]
         z = [float(sum(model["weights"][k][c] for k in known)) / max(1, len(known)) ** 0.5 + float(model["bias"][c]) for c in range(len(model["classes"]))]
