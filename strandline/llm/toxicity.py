@@ -82,13 +82,18 @@ def _places(vocabulary: dict[str, int]):
     return run
 
 
-def train_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """text, toxic of at most ``max_rows`` labelled documents outside the held-out quarter."""
+def marks(labels: DataFrame) -> DataFrame:
+    """doc_id, toxic: one row for each labelled document outside the held-out quarter."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
-    marks = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold != 2)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold != 2)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def train_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """text, toxic of at most ``max_rows`` of the documents in :func:`marks`."""
+    known = marks(labels)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     half = max_rows // 2
-    taken = marks.where("toxic = 1").orderBy(*order).limit(half).union(marks.where("toxic != 1").orderBy(*order).limit(max_rows - half))
+    taken = known.where("toxic = 1").orderBy(*order).limit(half).union(known.where("toxic != 1").orderBy(*order).limit(max_rows - half))
     taken = F.broadcast(taken.select("doc_id", F.when(F.col("toxic") == 1, 1).otherwise(0).alias("toxic")))  # max_rows rows at most
     joined = docs.select("doc_id", "text").join(taken, "doc_id")
     # one text for each document: the least hash, so that the choice does not depend on the run
@@ -117,7 +122,7 @@ def _fit(x: np.ndarray, y: np.ndarray, pairs: list[tuple[int, int]], shift: floa
 
 def fit(docs: DataFrame, labels: DataFrame, stage, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES, penalty: float = PENALTY) -> dict:
     """The model: weights by feature and a bias."""
-    shares = {r[0]: r[1] for r in labels.where("toxic IS NOT NULL").groupBy((F.col("toxic") == 1).alias("t")).count().collect()}  # two rows
+    shares = {r[0]: r[1] for r in marks(labels).groupBy((F.col("toxic") == 1).alias("t")).count().collect()}  # two rows
     toxic, clean = shares.get(True, 0), shares.get(False, 0)
     flat = {"weights": {}, "bias": math.log((toxic + 1) / (clean + 1))}
     rows = stage(train_rows(docs, labels, max_rows))
@@ -148,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, stage, max_rows: int = MAX_ROWS, max
     for k, (held, _) in enumerate(every):
         x[k, list(held)] = 1.0
     y = np.array([t for _, t in every], np.float32)
-    # classes were drawn apart; the bias is moved to their shares among all labels
+    # classes were drawn apart; the bias is moved to their shares among the marks
     shift = math.log((toxic + 1) / (clean + 1)) - math.log((nt + 1) / (nc + len(neutral) + 1))
     w, b = _fit(x, y, pairs, shift, penalty)
     return {"weights": {f: float(w[k]) for f, k in vocabulary.items() if w[k]}, "bias": float(b)}

@@ -1,6 +1,7 @@
 """Toxicity, fingerprints, and the pipeline against plain versions and planted cases."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -57,6 +58,18 @@ def test_labels_of_the_held_out_quarter_are_not_used(spark, stage):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     rows = [sorted(tuple(r) for r in toxicity.train_rows(frame, spark.createDataFrame(x, "doc_id long, quality int, toxic int")).collect()) for x in (labels, flipped)]
     assert rows[0] == rows[1]
+    # nor anywhere else in the fit: the whole model stays
+    models = [toxicity.fit(frame, spark.createDataFrame(x, "doc_id long, quality int, toxic int"), stage) for x in (labels, flipped)]
+    assert models[0] == models[1] and models[0]["weights"]
+
+
+def test_scores_equal_a_plain_sum(fitted):
+    docs, _, model = fitted()
+    got = {r.doc_id: (r.score, r.predicted) for r in toxicity.score(docs, model).collect()}
+    for i, text in labelled()[0]:
+        held = sorted(f for f in toxicity.features(toxicity.words(text)) if f in model["weights"])
+        want = 1 / (1 + math.exp(-(model["bias"] + math.fsum(model["weights"][f] for f in held))))
+        assert abs(got[i][0] - want) < 1e-6 and got[i][1] == int(got[i][0] >= 0.3)
 
 
 def test_penalty_spares_neutral_mentions(fitted, spark):
