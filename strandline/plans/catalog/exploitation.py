@@ -375,3 +375,27 @@ def cell_index_recall(spark: SparkSession, sf: str) -> DataFrame:
     recall = similarity.recall_at_k(found, similarity.cosine_topk(vectors, vectors, 10, skip_self=True))
     counted = found.agg(F.countDistinct("query_id").alias("queries"), F.count(F.lit(1)).alias("returned_rows"))
     return counted.crossJoin(F.broadcast(recall.select((F.col("recall") >= 0.9).alias("recall_reached"))))
+
+
+@query("SELECT o_orderkey, o_totalprice, 'o_orderkey,o_totalprice,exploited_at' AS columns, true AS fresh FROM orders")
+def restamped(spark: SparkSession, sf: str) -> DataFrame:
+    """Both old load times go, one new one comes."""
+    old = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_orderdate").alias("trusted_at"), F.col("o_orderdate").alias("exploited_at"))
+    rows = enrich.restamp(old)
+    fresh = F.col("exploited_at") > F.current_timestamp() - F.expr("INTERVAL 1 DAY")
+    return rows.select("o_orderkey", "o_totalprice", F.lit(",".join(rows.columns)).alias("columns"), fresh.alias("fresh"))
+
+
+@query("""
+    SELECT vec_id, vec_id % 5 < 3 AS failed, vec_id % 5 >= 3 AS filled, false AS mixed FROM embeddings
+""")
+def audio_embedding_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Cut, foreign and missing bytes: such rows hold an error and nulls, all others a full result; the job goes on."""
+    raw = F.expr("CASE vec_id % 5 WHEN 0 THEN substring(raw, 1, 20) WHEN 1 THEN cast('no sound at all' AS binary) WHEN 2 THEN NULL ELSE raw END")
+    rows = embed.embed_audio(inputs.wav_table(spark, sf).select("vec_id", raw.alias("raw")))
+    fields = [F.col(c).isNotNull() for c in ("embedding", "duration_s", "sample_rate", "num_channels")]
+    any_, all_ = fields[0], fields[0]
+    for f in fields[1:]:
+        any_, all_ = any_ | f, all_ & f
+    failed = F.col("error").isNotNull()
+    return rows.select("vec_id", failed.alias("failed"), all_.alias("filled"), ((any_ != all_) | (failed == any_)).alias("mixed"))

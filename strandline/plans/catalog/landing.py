@@ -332,3 +332,15 @@ def landed_and_archived(spark: SparkSession, sf: str) -> DataFrame:
         "files_left": readers.list_objects(spark, source),
     }
     return spark.createDataFrame([tuple(df.count() for df in counts.values())], ", ".join(f"{c} bigint" for c in counts))
+
+
+@query("SELECT s_suppkey::VARCHAR AS s_suppkey, s_name, 's' || s_nationkey || '.csv' AS file FROM supplier WHERE s_nationkey % 5 <> 0")
+def empty_csv_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV file per nation; each fifth nation's file has its header alone and adds no row."""
+    path = scratch_path(spark, "empty-csv")
+    line = F.when(F.col("s_nationkey") % 5 != 0, F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name"))
+    lines = table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.array_join(F.collect_list(line), "\n").alias("body"))
+    name = F.concat(F.lit("s"), F.col("s_nationkey").cast("string"), F.lit(".csv"))
+    writers.write_files(lines.select(name.alias("name"), F.concat(F.lit("s_suppkey,s_name\n"), "body").alias("body")), path, "name", "body")
+    rows = readers.read_csv_strings(spark, path)
+    return rows.select("s_suppkey", "s_name", F.element_at(F.split("source_file", "/"), -1).alias("file"))

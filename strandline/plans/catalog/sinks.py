@@ -132,3 +132,18 @@ def truncate_table(spark: SparkSession, sf: str) -> DataFrame:
     table(spark, sf, "supplier").write.parquet(path)
     writers.truncate_table(spark, path)
     return tables.row_count(spark.read.parquet(path))
+
+
+@query("""
+    SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month, CASE WHEN month(o_orderdate) = 3 THEN 2 ELSE 1 END AS run
+    FROM orders WHERE month(o_orderdate) <> 3 OR o_orderkey % 2 = 0
+""")
+def replaced_days(spark: SparkSession, sf: str) -> DataFrame:
+    """All months, then a second run with half of the rows of every March, twice: only these months are replaced."""
+    path = scratch_path(spark, "days")
+    rows = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+    writers.replace_days(rows.withColumn("run", F.lit(1)), path, "month", ["o_orderkey"])
+    march = rows.filter((F.substring("month", 6, 2) == "03") & (F.col("o_orderkey") % 2 == 0)).withColumn("run", F.lit(2))
+    for _ in range(2):
+        writers.replace_days(march, path, "month", ["o_orderkey"])
+    return spark.read.schema("o_orderkey bigint, run int, month string").parquet(path).select("o_orderkey", "month", "run")

@@ -22,8 +22,11 @@ from strandline.functions.text import WHITESPACE, clean_text as cleaned, skip_re
 from strandline.operators import cleaning
 from strandline.operators import documents as docs
 from strandline.operators.embed import clean_audio as clean_wavs
+from strandline.plans import unstructured
 from strandline.plans.catalog import inputs
 from strandline.plans.catalog.inputs import DEDUPED_SQL, FACT_SQL, VALID_DATE_SQL, registry, table, wide
+from strandline.session import scratch_path
+from strandline.sources import readers, writers
 
 QUERIES, query = registry()
 
@@ -59,6 +62,17 @@ def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rejected.select("collision_id", "crash_date", "source_file")
 
 
+@query(f"WITH {DEDUPED_SQL} SELECT nullif(collision_id::VARCHAR, '') AS collision_id, nullif(crash_date, '') AS crash_date, source_file, 0 AS runs_without_rejects FROM kept WHERE NOT ok")
+def rejects_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The rejected rows read back from their CSV, where an empty text and a null are one; a run without rejects writes nothing."""
+    accepted, rejected = cleaning.clean_collisions(inputs.collision_strings(spark, sf), order_by=["source_file"])
+    path = scratch_path(spark, "rejects")
+    folder = writers.write_rejects(rejected.select("collision_id", "crash_date", "source_file"), path)
+    empty = writers.write_rejects(rejected.filter("false").select("collision_id"), path)
+    stored = spark.read.option("header", True).option("escape", '"').csv(folder)
+    return stored.withColumn("runs_without_rejects", F.lit(0 if empty is None else 1))
+
+
 @query(f"""
     WITH {DEDUPED_SQL}
     SELECT strftime(o_orderdate, '%Y-%m-%d') AS crash_date, '' AS crash_time, coalesce(upper(trim(borough)), '') AS borough,
@@ -259,6 +273,24 @@ def text_skip_counts(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.reason_counts(_messy(spark, sf).select(skip_reason("text").alias("skip_reason")), "skip_reason")
 
 
+@query(f"""
+    WITH {_CLEAN_SQL} SELECT doc_id, CASE WHEN blank THEN 'skipped' ELSE 'data' END AS folder, CASE WHEN NOT blank THEN md5(t) END AS content_md5
+    FROM cleaned
+""")
+def curated_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text as a file, cleaned by the flow: accepted ones as cleaned copies, skipped originals apart."""
+    source, out = scratch_path(spark, "texts"), scratch_path(spark, "curated")
+    name = F.concat(F.lit("t"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    writers.write_files(_messy(spark, sf).select(name.alias("name"), "text"), source, "name", "text")
+    unstructured.trust_texts(spark, source, out, files=True)
+    folders = []
+    for folder in ("data", "skipped"):
+        files = readers.read_binary(spark, f"{out}/{folder}")
+        found = F.md5("raw") if folder == "data" else F.lit(None).cast("string")
+        folders.append(files.select(F.regexp_extract("filename", r"^t(-?\d+)\.txt$", 1).cast("bigint").alias("doc_id"), F.lit(folder).alias("folder"), found.alias("content_md5")))
+    return folders[0].union(folders[1])
+
+
 # Even labels keep their 16 kHz samples; odd ones double their rate: sample 2k is
 # x[k] and sample 2k-1 the floored middle of x[k-1] and x[k] (no tail past the last).
 CLEANED_WAV_SQL = f"""

@@ -22,12 +22,23 @@ def write_sorted(df: DataFrame, path: str, keys: Sequence[str], mode: str = "ove
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).parquet(path)
 
 
+def replace_days(df: DataFrame, path: str, day: str, keys: Sequence[str]) -> None:
+    """The rows of each day in ``df`` in place of that day's stored ones; other days stay, so a second run changes nothing.
+
+    Days are the table's partitions, their files sorted by ``keys``. Rebalancing gives a small day one file and cuts a large one.
+    """
+    ordered = df.hint("rebalance", day).sortWithinPartitions(day, *keys)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+
+
 def write_rejects(df: DataFrame, path: str) -> str | None:
     """Rejected rows as CSV in a timestamped folder; nothing is written for no rows."""
     if df.isEmpty():
         return None
     target = f"{path.rstrip('/')}/skipped_{datetime.now(UTC):%Y%m%dT%H%M%SZ}"
-    df.write.option("header", True).option("escape", '"').csv(target)
+    # rejected cells are kept as they came, with the spaces around them
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.option("header", True).option("escape", '"').options(**spaces).csv(target)
     return target
 
 
