@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions.hashing import dense_hash, l2_norm
 from strandline.functions.text import PREVIEW_CHARS, WHITESPACE, truncate_bytes as clip
-from strandline.operators import cellindex, embed, enrich, similarity
+from strandline.operators import cellindex, embed, enrich, pivots, similarity
 from strandline.plans import collisions
 from strandline.plans.catalog import inputs
 from strandline.plans.catalog.inputs import DEDUPED_SQL, registry, table, wide
@@ -399,3 +399,11 @@ def audio_embedding_errors(spark: SparkSession, sf: str) -> DataFrame:
         any_, all_ = any_ | f, all_ & f
     failed = F.col("error").isNotNull()
     return rows.select("vec_id", failed.alias("failed"), all_.alias("filled"), ((any_ != all_) | (failed == any_)).alias("mixed"))
+
+
+@query(_COSINE_SQL)
+def cosine_topk_pivots(spark: SparkSession, sf: str) -> DataFrame:
+    """The same result by rings around pivots; rings that cannot hold a neighbour are left out."""
+    vectors = table(spark, sf, "embeddings")
+    found, _ = pivots.pivot_topk(vectors, vectors, similarity.train_cells(vectors, 16), 10, skip_self=True)
+    return found.withColumn("score", F.round("score", 6))
