@@ -10,12 +10,17 @@ corner of each); this is the tree's descent rule.
    that link share one of them (the rest is too small to hold 0.8 of the larger set), so the
    sets under one shingle form a subtree and nothing outside needs to be met.
 2. A subtree with one point only is dropped; so copies of one set, being one point, cost nothing.
-3. Each subtree's least point is compared with the others of the subtree: bound first, then the
-   sets themselves. Large groups of near copies link up here with one pair per point.
-4. Subtrees that still hold points of different components are split into leaves of a bounded
-   number of points by size class and a hash; leaf rectangles of neighbouring sizes are compared
-   and pairs of leaves that pass meet point by point, points of one component being skipped. Pairs
-   that pass the bound are verified exactly.
+3. Each subtree's hub (the point that shares most with others) is compared with the others of the subtree: bound
+   first, then the sets themselves. Large groups of near copies link up here with one pair per point.
+4. Subtrees that still hold points of different components are dealt into blocks of a bounded number of
+   points by size class and a hash; blocks of neighbouring sizes meet. Inside a task the points of a block are
+   packed by size and by the coordinate that spreads most into leaves, leaves into inner nodes, each with the
+   larger corner of its points; pairs of nodes are descended while the bound allows a link, and
+   points of the leaves reached are compared one by one, those of one component being skipped.
+   a. On the points alone this tells which points have a partner at all; only these go on.
+   b. With their sets at hand the same descent's pairs are verified exactly, the likeliest first. What comes out are
+      links that join components not joined yet, so their number follows the points and not the pairs.
+   A pair meets once: where both points share one of the last ``EARLIER`` subtrees before, it is left to that one.
 5. Components of the links by repeated least-neighbour steps.
 
 No pair of sets that link is lost: a link either joins two points already in one component, or its
@@ -34,17 +39,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import wordhash
 
 GROUPS, PER_GROUP, SIZE = 64, 8, 5
 NUM, DEN = 80, 100
-LEAF = 2048
+LEAF, LEAF_SHINGLES = 2048, 1 << 22
+NODE, FAN = 64, 8
 CLASS = 1.25
+EARLIER = 4
 MAX_BROADCAST = 500_000
-SCHEMA = "doc_id long, n_shingles long, key long, point array<int>, lead array<long>"
+SCHEMA = "doc_id long, n_shingles long, key long, point binary, lead array<long>"
+MEETING = "pair long, side int, key long, n long, label long, earlier array<long>, point binary"
+_BYTE, _SUM = 255, 1000  # coordinates are cut there to fit 8 bits, and sums of folded ones, so that 64 of these fit 16: bounds only get wider
 
 
 def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
@@ -64,23 +73,11 @@ def _set_key(values: np.ndarray) -> int:
     return int(wordhash.mix(total).view(np.int64)[0])
 
 
-def _counts(values: np.ndarray, per_group: int) -> np.ndarray:
-    """Counts in groups whose number is a power of two, ``GROUPS`` at least."""
-    groups = max(GROUPS, 1 << (max(1, -(-len(values) // per_group)) - 1).bit_length())
-    return np.bincount((values & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32)
-
-
-def _bounded(pairs: DataFrame, p: str, q: str, num: int, den: int) -> DataFrame:
-    """Pairs whose points ``p`` and ``q`` allow a link: (num + den) * sum of minima >= num * both sizes.
-
-    Sizes of pairs that can link differ by a quarter at most, so one fold makes their points alike in length.
-    """
-    pairs = pairs.where(F.greatest(F.size(p), F.size(q)) <= 2 * F.least(F.size(p), F.size(q)))
-    fold = "CASE WHEN size({p}) > size({q}) THEN zip_with(slice({p}, 1, size({q})), slice({p}, size({q}) + 1, size({q})), (x, y) -> cast(x AS int) + y) ELSE cast({p} AS array<int>) END"
-    pairs = pairs.withColumns({"_p": F.expr(fold.format(p=p, q=q)), "_q": F.expr(fold.format(p=q, q=p))})
-    least = F.expr("aggregate(zip_with(_p, _q, (x, y) -> least(x, y)), 0L, (t, x) -> t + x)")
-    sizes = F.expr("aggregate(_p, 0L, (t, x) -> t + x) + aggregate(_q, 0L, (t, x) -> t + x)")
-    return pairs.where((num + den) * least >= num * sizes).drop("_p", "_q")
+def _counts(values: np.ndarray) -> bytes:
+    """Counts in groups whose number is a power of two, ``GROUPS`` at least, one byte each."""
+    groups = max(GROUPS, 1 << (max(1, -(-len(values) // PER_GROUP)) - 1).bit_length())
+    counts = np.bincount((values & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return np.minimum(counts, _BYTE).astype(np.uint8).tobytes()
 
 
 def describe(size: int = SIZE, num: int = NUM, den: int = DEN):
@@ -95,10 +92,10 @@ def describe(size: int = SIZE, num: int = NUM, den: int = DEN):
                 ids.append(doc_id)
                 counts.append(n)
                 keys.append(_set_key(values) if n else None)
-                points.append(_counts(values, PER_GROUP))
+                points.append(_counts(values))
                 leads.append(values[: n - -(-num * n // den) + 1 if n else 0].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(keys, pa.int64()), _lists(points, pa.int32()), _lists(leads, pa.int64())],
+                [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(keys, pa.int64()), pa.array(points, pa.binary()), _lists(leads, pa.int64())],
                 ["doc_id", "n_shingles", "key", "point", "lead"],
             )
 
@@ -106,85 +103,194 @@ def describe(size: int = SIZE, num: int = NUM, den: int = DEN):
 
 
 def sets(size: int = SIZE):
-    """A mapInArrow function: doc_id, text -> key, fine (counts in about as many groups as shingles), shingles."""
+    """A mapInArrow function: doc_id, text -> key, shingles (ascending as unsigned numbers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, fine, values = [], [], []
+            keys, values = [], []
             for _, text in _texts(batch):
                 v = wordhash.shingles(wordhash.words(text), size)
                 if len(v):
                     keys.append(_set_key(v))
-                    fine.append(_counts(v, 1).astype(np.int16))
                     values.append(v.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _lists(fine, pa.int16()), _lists(values, pa.int64())], ["key", "fine", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), _lists(values, pa.int64())], ["key", "shingles"])
 
     return run
 
 
-def _folded(lists: pa.ListArray) -> np.ndarray:
+def _folded(raw: list[bytes]) -> np.ndarray:
     """The points as rows of a matrix, longer ones folded to the shortest one's length."""
-    flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-    sizes, starts = np.diff(offsets), offsets[:-1] - offsets[0]
+    sizes = np.array([len(r) for r in raw])
     width = int(sizes.min())
-    out = np.empty((len(lists), width), np.int32)
+    if sizes.max() == width:
+        return np.frombuffer(b"".join(raw), np.uint8).reshape(-1, width).astype(np.uint16)
+    out = np.empty((len(raw), width), np.uint16)
     for size in np.unique(sizes).tolist():
         rows = np.flatnonzero(sizes == size)
-        out[rows] = flat[starts[rows][:, None] + np.arange(size)].reshape(len(rows), size // width, width).sum(axis=1)
+        flat = np.frombuffer(b"".join(raw[r] for r in rows.tolist()), np.uint8)
+        out[rows] = np.minimum(flat.reshape(len(rows), size // width, width).sum(axis=1, dtype=np.int64), _SUM)
     return out
 
 
-_LANE = 16_000  # coordinates are cut there to fit 16 bits, which only makes distances smaller
+def bounded(num: int = NUM, den: int = DEN):
+    """A mapInArrow function over pairs: a, b, n1, n2, p1, p2 -> the pairs (a, b) whose points allow a link."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            total = batch.column("n1").to_numpy() + batch.column("n2").to_numpy()
+            one, two = batch.column("p1").to_pylist(), batch.column("p2").to_pylist()
+            widths = np.array([min(len(x), len(y)) for x, y in zip(one, two)])
+            larger = np.zeros(len(one), np.int64)
+            for width in np.unique(widths).tolist():
+                at = np.flatnonzero(widths == width).tolist()
+                # the short point of a pair sets the width; a row of that width is put before each side to fold to it
+                x = _folded([bytes(width), *(one[i] for i in at)])[1:]
+                y = _folded([bytes(width), *(two[i] for i in at)])[1:]
+                larger[at] = np.maximum(x, y).sum(axis=1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array((num + den) * larger <= den * total))
 
-def _meet(n: np.ndarray, label: np.ndarray, points: np.ndarray, side: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of one leaf pair that pass the bound; side 0 meets side 1, side 2 meets itself."""
-    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    inside = bool((side == 2).any())
-    # rectangles first: no pair can pass when even the larger corners cannot
-    need = num * (n[left].min() + n[right].min())
-    if (num + den) * np.minimum(points[left].max(axis=0), points[right].max(axis=0)).sum() < need:
-        return left[:0], right[:0]
-    left, right = left[np.argsort(n[left], kind="stable")], right[np.argsort(n[right], kind="stable")]
-    lanes = np.ascontiguousarray(np.minimum(points[right], _LANE).astype(np.int16).T)
-    out_l, out_r = [left[:0]], [right[:0]]
-    for at in range(0, len(left), 256):
-        rows = left[at : at + 256]
-        # sizes of sets that link differ by a factor of den / num at most
-        low, high = np.searchsorted(n[right], -(-num * n[rows[0]] // den)), np.searchsorted(n[right], n[rows[-1]] * den // num, "right")
-        if low >= high:
+    return run
+
+
+def _pack(points: np.ndarray, n: np.ndarray, rows: np.ndarray, num: int, den: int) -> list[np.ndarray]:
+    """``rows`` cut into leaves of neighbours: by size while sizes differ too much to link, then by the coordinate that spreads most."""
+    todo, leaves = [rows], []
+    while todo:
+        part = todo.pop()
+        if len(part) <= NODE:
+            leaves.append(part)
             continue
-        near, mine = right[low:high], np.minimum(points[rows], _LANE).astype(np.int16)
-        total = n[rows][:, None] + n[near][None, :]
+        by = n[part]
+        if den * by.min() >= num * by.max():
+            block = points[part]
+            by = block[:, block.var(axis=0).argmax()]
+        order, half = np.argsort(by, kind="stable"), len(part) // 2
+        todo += [part[order[half:]], part[order[:half]]]
+    return leaves
+
+
+class _Nodes:
+    """One level of the tree: the larger corner and the extreme sizes of each node's points."""
+
+    def __init__(self, corner: np.ndarray, least: np.ndarray, most: np.ndarray):
+        self.corner, self.least, self.most = corner, least, most
+
+    @classmethod
+    def of_leaves(cls, leaves: list[np.ndarray], points: np.ndarray, n: np.ndarray) -> _Nodes:
+        return cls(np.stack([points[x].max(axis=0) for x in leaves]), np.array([n[x].min() for x in leaves]), np.array([n[x].max() for x in leaves]))
+
+    def inner(self) -> _Nodes:
+        at = np.arange(0, len(self.least), FAN)
+        return _Nodes(np.maximum.reduceat(self.corner, at), np.minimum.reduceat(self.least, at), np.maximum.reduceat(self.most, at))
+
+    def may_link(self, i: np.ndarray, other: _Nodes, j: np.ndarray, num: int, den: int) -> np.ndarray:
+        """For the node pairs (i, j) whether points below them can link."""
+        overlap = np.minimum(self.corner[i], other.corner[j]).sum(axis=1, dtype=np.int64)
+        alike = (num * self.least[i] <= den * other.most[j]) & (num * other.least[j] <= den * self.most[i])
+        return alike & ((num + den) * overlap >= num * (self.least[i] + other.least[j]))
+
+
+def _reached(one: _Nodes, two: _Nodes, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of leaves that a descent from the inner nodes reaches."""
+    top, low = one.inner(), two.inner()
+    i, j = (x.ravel() for x in np.indices((len(top.least), len(low.least))))
+    ok = top.may_link(i, low, j, num, den)
+    spread_i, spread_j = (x.ravel() for x in np.indices((FAN, FAN)))
+    i, j = (i[ok][:, None] * FAN + spread_i).ravel(), (j[ok][:, None] * FAN + spread_j).ravel()
+    there = (i < len(one.least)) & (j < len(two.least))
+    i, j = i[there], j[there]
+    ok = one.may_link(i, two, j, num, den)
+    return i[ok], j[ok]
+
+
+def _passing(x: np.ndarray, y: np.ndarray, total: np.ndarray, num: int, den: int) -> np.ndarray:
+    """For each point of ``x`` and of ``y`` whether the sum of the larger coordinates allows a link; ``total`` is both sizes' sum."""
+    larger = np.zeros(total.shape, np.int64)
+    ok = np.ones(total.shape, bool)
+    for first in range(0, x.shape[1], GROUPS):
+        mine, theirs = x[:, first : first + GROUPS], y[:, first : first + GROUPS]
+        if total.size <= NODE * NODE:
+            larger += np.maximum(mine[:, None, :], theirs[None, :, :]).sum(axis=2, dtype=np.int64)
+        else:
+            lanes, step, part = np.ascontiguousarray(theirs.T), np.empty(total.shape, np.uint16), np.zeros(total.shape, np.uint16)
+            for lane in range(lanes.shape[0]):
+                np.maximum(mine[:, lane, None], lanes[None, lane], out=step)
+                np.add(part, step, out=part)
+            larger += part
+        # the sum of the larger coordinates only grows
+        ok = (num + den) * larger <= den * total
+        if not ok.any():
+            break
+    return ok
+
+
+def _meet(n: np.ndarray, label: np.ndarray, earlier: np.ndarray, points: np.ndarray, side: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of one meeting of blocks that pass the bound; side 0 meets side 1, side 2 meets itself."""
+    inside = bool((side == 2).any())
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    mine = _pack(points, n, left, num, den)
+    theirs = mine if inside else _pack(points, n, right, num, den)
+    place = np.empty(len(n), np.int64)  # in the order of the leaves
+    place[np.concatenate(mine if inside else mine + theirs)] = np.arange(len(n))
+    if len(mine) == len(theirs) == 1:
+        meets = [(mine[0], theirs[0])]
+    else:
+        one = _Nodes.of_leaves(mine, points, n)
+        i, j = _reached(one, one if inside else _Nodes.of_leaves(theirs, points, n), num, den)
+        if inside:
+            i, j = i[i <= j], j[i <= j]
+        meets = [(mine[k], np.concatenate([theirs[x] for x in j[i == k].tolist()])) for k in np.unique(i).tolist()]
+    out_l, out_r = [left[:0]], [left[:0]]
+    for rows, near in meets:
         ok = label[rows][:, None] != label[near][None, :]
         if inside:
-            ok &= rows[:, None] < near[None, :]
-        gap = np.zeros((len(rows), len(near)), np.int32)
-        for first in range(0, points.shape[1], GROUPS):
-            for lane in range(first, first + GROUPS):
-                step = mine[:, lane, None] - lanes[None, lane, low:high]
-                gap += np.abs(step, out=step)
-            # twice the smaller coordinates' sum is the sum of both sizes less the distance, which only grows
-            ok &= (num + den) * (total - gap) >= 2 * num * total
-            if not ok.any():
-                break
+            ok &= place[rows][:, None] < place[near][None, :]
+        sizes, others = n[rows][:, None], n[near][None, :]
+        ok &= den * np.minimum(sizes, others) >= num * np.maximum(sizes, others)
+        if not ok.any():
+            continue
+        ok &= _passing(points[rows], points[near], sizes + others, num, den)
         i, j = np.nonzero(ok)
-        out_l.append(rows[i])
-        out_r.append(near[j])
+        i, j = rows[i], near[j]
+        one = earlier[i][:, :, None]
+        first = ~((one == earlier[j][:, None, :]) & (one != 0)).any(axis=(1, 2))
+        out_l.append(i[first])
+        out_r.append(j[first])
     return np.concatenate(out_l), np.concatenate(out_r)
 
 
-def _leaf_pairs(num: int, den: int):
-    """A mapInArrow function over rows sorted by leaf pair: pair, side, key, n, label, point -> a, b."""
+def _overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two ascending sets."""
+    x, y = (x, y) if len(x) < len(y) else (y, x)
+    return int((y.take(np.searchsorted(y, x), mode="clip") == x).sum())
+
+
+def _joining(key, n, label, i, j, likeness, flat, offsets, num: int, den: int) -> tuple[list[int], list[int]]:
+    """Of the pairs (i, j) the links that join labels not joined by the links before; likelier pairs are verified first."""
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := top.get(x, x)) != x:
+            top[x] = x = top.get(up, up)
+        return x
+
+    a, b = [], []
+    order = np.argsort(-likeness, kind="stable")
+    for x, y in zip(i[order].tolist(), j[order].tolist()):
+        one, two = find(int(label[x])), find(int(label[y]))
+        if one != two:
+            both = _overlap(flat[offsets[x] : offsets[x + 1]], flat[offsets[y] : offsets[y + 1]])
+            if den * both >= num * (int(n[x]) + int(n[y]) - both):
+                top[one] = two
+                a.append(int(key[x]))
+                b.append(int(key[y]))
+    return a, b
 
-    def flush(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-        table = pa.Table.from_batches(parts).combine_chunks()
-        key, n, label, side = (table.column(c).to_numpy() for c in ("key", "n", "label", "side"))
-        points = _folded(table.column("point").combine_chunks())
-        left, right = _meet(n, label, points, side, num, den)
-        if len(left):
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(key[left], key[right])), pa.array(np.maximum(key[left], key[right]))], ["a", "b"])
-        return None
+
+def _meetings(flush):
+    """A mapInArrow function over rows sorted by ``pair``: ``flush`` on the rows of each pair, which may lie in several batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -196,17 +302,57 @@ def _leaf_pairs(num: int, den: int):
             edges = [0, *(np.flatnonzero(pair[1:] != pair[:-1]) + 1).tolist(), len(pair)]
             for start, end in zip(edges, edges[1:]):
                 if held and pair[start] != last:
-                    if (out := flush(held)) is not None:
-                        yield out
+                    yield from flush(held)
                     held = []
                 last = pair[start]
                 held.append(batch.slice(start, end - start))
-        if held and (out := flush(held)) is not None:
-            yield out
+        if held:
+            yield from flush(held)
 
     return run
 
 
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.concat_batches(parts)
+
+
+def _numbers(rows: pa.RecordBatch):
+    """Sizes, labels, subtrees before (a row each), points and sides of a meeting's rows."""
+    earlier = rows.column("earlier").flatten().to_numpy().reshape(rows.num_rows, EARLIER)
+    n, label, side = (rows.column(c).to_numpy() for c in ("n", "label", "side"))
+    return n, label, earlier, _folded(rows.column("point").to_pylist()), side
+
+
+def with_partners(num: int = NUM, den: int = DEN):
+    """A mapInArrow function over the rows of meetings: those that have a partner."""
+
+    def flush(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _joined(parts)
+        i, j = _meet(*_numbers(rows), num, den)
+        if len(i):
+            yield rows.take(pa.array(np.unique(np.concatenate((i, j)))))
+
+    return _meetings(flush)
+
+
+def verified(num: int = NUM, den: int = DEN):
+    """A mapInArrow function over the rows of meetings and their shingles: links a, b."""
+
+    def flush(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _joined(parts)
+        n, label, earlier, points, side = _numbers(rows)
+        i, j = _meet(n, label, earlier, points, side, num, den)
+        if not len(i):
+            return
+        least = [np.minimum(points[i[at : at + 4096]], points[j[at : at + 4096]]).sum(axis=1, dtype=np.int64) for at in range(0, len(i), 4096)]
+        shingles = rows.column("shingles")
+        flat, offsets = shingles.flatten().to_numpy().view(np.uint64), shingles.offsets.to_numpy() - shingles.offsets[0].as_py()
+        a, b = _joining(rows.column("key").to_numpy(), n, label, i, j, np.concatenate(least) / (n[i] + n[j]), flat, offsets, num, den)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return _meetings(flush)
+
+
 def components(links: DataFrame, stage) -> DataFrame:
     """(node, component) of undirected links (a, b): the least node reachable, by repeated least-neighbour and jump steps."""
     both = stage(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct())
@@ -228,25 +374,24 @@ def _checked(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST else df
 
 
-def _verified(pairs: DataFrame, described: DataFrame, docs: DataFrame, stage, num: int, den: int, size: int) -> DataFrame:
-    """The pairs (a, b) of set keys whose sets link. Only the texts of these sets are read into sets again."""
-    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
-    # one document for each set; equal or null ids only bring further sets along, whose keys match no pair
-    ids = described.select("doc_id", "key").join(_checked(wanted), "key").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("doc_id").alias("named"))
-    ids = stage(ids.groupBy("doc_id").agg(F.count("*").alias("n")))
+def _sets(keys: DataFrame, described: DataFrame, docs: DataFrame, stage, size: int) -> DataFrame:
+    """key, shingles of the staged ``keys``. Only the texts of these sets are read into sets again."""
+    # one document for each set; equal or null ids only bring further sets along, whose keys are not wanted
+    ids = described.select("doc_id", "key").join(_checked(keys), "key").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    ids = stage(ids.select("doc_id").distinct())
     again = docs.select(F.col("doc_id").alias("id"), "text")
     again = again.join(_checked(ids), again["id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    found = stage(again.mapInArrow(sets(size), "key long, fine array<smallint>, shingles array<long>").join(_checked(wanted), "key", "left_semi"))
-    side = lambda column, key, name: found.select(F.col("key").alias(key), F.col(column).alias(name))
-    # the bound once more with many groups: pairs that only just miss are most of what is left, and counts are lighter than sets
-    near = _bounded(pairs.join(side("fine", "a", "x"), "a").join(side("fine", "b", "y"), "b"), "x", "y", num, den)
-    near = stage(near.select("a", "b").distinct())
-    _release(docs)
-    one = side("shingles", "a", "x").join(_checked(near.select("a").distinct()), "a", "left_semi")
-    two = side("shingles", "b", "y").join(_checked(near.select("b").distinct()), "b", "left_semi")
-    met = near.join(one, "a").join(two, "b").withColumn("o", F.size(F.array_intersect("x", "y")))
-    met = met.where(den * F.col("o") >= num * (F.size("x") + F.size("y") - F.col("o")))
-    return met.select("a", "b").distinct()
+    found = again.mapInArrow(sets(size), "key long, shingles array<long>").join(_checked(keys), "key", "left_semi")
+    return stage(found.dropDuplicates(["key"]))
+
+
+def _star_links(star: DataFrame, described: DataFrame, docs: DataFrame, stage, num: int, den: int, size: int) -> DataFrame:
+    """The staged pairs (a, b) of set keys whose sets link."""
+    found = _sets(stage(star.select(F.col("a").alias("key")).union(star.select("b")).distinct()), described, docs, stage, size)
+    one = found.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
+    two = found.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
+    met = star.join(one, "a").join(two, "b").withColumn("o", F.size(F.array_intersect("x", "y")).cast("long"))
+    return met.where(den * F.col("o") >= num * (F.size("x") + F.size("y") - F.col("o"))).select("a", "b")
 
 
 def _release(df: DataFrame) -> None:
@@ -264,34 +409,33 @@ def classes(docs: DataFrame, stage, text: str = "text", size: int = SIZE, num: i
     described = stage(docs.mapInArrow(describe(size, num, den), SCHEMA))
     filled = described.where(F.col("key").isNotNull())
     tokens = filled.select("key", F.explode("lead").alias("token"))
-    roots = tokens.groupBy("token").agg(F.min("key").alias("center"), F.max("key").alias("other")).where("center != other")
-    roots = stage(roots.select("token", "center"))
-    _release(docs)
-    shared = stage(tokens.join(roots, "token").distinct())
-    _release(docs)
-    in_trees = stage(shared.select("key").distinct())
-    points = filled.select("key", F.col("n_shingles").alias("n"), "point").join(in_trees, "key").dropDuplicates(["key"])
-    points = stage(points)
-
-    star = shared.where("key != center").select(F.col("center").alias("a"), F.col("key").alias("b")).distinct()
-    star = star.join(points.select(F.col("key").alias("a"), F.col("n").alias("n1"), F.col("point").alias("p1")), "a")
-    star = star.join(points.select(F.col("key").alias("b"), F.col("n").alias("n2"), F.col("point").alias("p2")), "b")
-    star = star.where(den * F.least("n1", "n2") >= num * F.greatest("n1", "n2"))
-    star = stage(_bounded(star, "p1", "p2", num, den).select("a", "b"))
-    links = stage(_verified(star, described, docs, stage, num, den, size))
-    _release(docs)
+    roots = tokens.groupBy("token").agg(F.min("key").alias("k1"), F.max("key").alias("k2"), F.count("*").alias("c")).where("k1 != k2")
+    shared = stage(tokens.join(roots.select("token", "c"), "token").distinct())
+    score = stage(shared.groupBy("key").agg(F.sum("c").alias("score")))
+    points = filled.select("key", F.col("n_shingles").alias("n"), "point").join(score.select("key"), "key", "left_semi")
+    points = stage(points.dropDuplicates(["key"]))
+
+    scored = shared.join(score, "key").select("token", "key", "score")
+    hubs = scored.groupBy("token").agg(F.max(F.struct("score", "key")).alias("h")).select("token", F.col("h.key").alias("hub"))
+    star = shared.join(hubs, "token").where("key != hub").select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b")).distinct()
+    side = lambda key, n, p: points.select(F.col("key").alias(key), F.col("n").alias(n), F.col("point").alias(p))
+    star = star.join(side("a", "n1", "p1"), "a").join(side("b", "n2", "p2"), "b").where(den * F.least("n1", "n2") >= num * F.greatest("n1", "n2"))
+    star = stage(star.select("a", "b", "n1", "n2", "p1", "p2").mapInArrow(bounded(num, den), "a long, b long"))
+    links = stage(_star_links(star, described, docs, stage, num, den, size))
 
     labels = components(links, stage)
     marked = points.join(labels.select(F.col("node").alias("key"), "component"), "key", "left")
     log_class = F.floor(F.log(F.col("n").cast("double")) / float(np.log(CLASS))).cast("int")
     marked = stage(marked.select("key", "n", F.coalesce("component", "key").alias("label"), log_class.alias("class"), "point"))
-    mixed = shared.select("token", "key").join(marked.select("key", "label", "class"), "key")
-    left_over = mixed.groupBy("token").agg(F.count("*").alias("n"), F.min("label").alias("l1"), F.max("label").alias("l2")).where("n > 2 AND l1 != l2")
-    mixed = stage(mixed.join(left_over.select("token"), "token"))
-    # leaves: a class of one subtree, in as many parts as its size asks for; a leaf pair joins neighbouring classes
-    leaves = mixed.groupBy("token", "class").agg(F.count("*").alias("n"), F.min("label").alias("l1"), F.max("label").alias("l2"))
-    leaves = leaves.withColumn("parts", F.expr(f"(n + {LEAF - 1}) div {LEAF}"))
-    leaves = stage(leaves)
+    mixed = stage(shared.select("token", "key").join(marked.select("key", "n", "label", "class"), "key"))
+    left_over = mixed.groupBy("token").agg(F.count("*").alias("c"), F.min("label").alias("l1"), F.max("label").alias("l2")).where("c > 2 AND l1 != l2")
+    mixed = mixed.join(left_over.select("token"), "token")
+    # the last subtrees before this one that a point is in; each holds three points or more of different labels too
+    before = Window.partitionBy("key").orderBy("token")
+    mixed = stage(mixed.withColumn("earlier", F.array(*(F.coalesce(F.lag("token", i).over(before), F.lit(0).cast("long")) for i in range(1, EARLIER + 1)))))
+    # blocks: a class of one subtree, in as many parts as its points and their shingles ask for; neighbouring classes meet
+    leaves = mixed.groupBy("token", "class").agg(F.count("*").alias("c"), F.sum("n").alias("n"), F.min("label").alias("l1"), F.max("label").alias("l2"))
+    leaves = stage(leaves.withColumn("parts", F.expr(f"greatest((c - 1) div {LEAF}, (n - 1) div {LEAF_SHINGLES}) + 1")))
     above = leaves.select("token", (F.col("class") - 1).alias("class"), F.col("parts").alias("parts_above"), F.col("l1").alias("a1"), F.col("l2").alias("a2"))
     below = leaves.select("token", (F.col("class") + 1).alias("class"), F.col("parts").alias("parts_below"), F.col("l1").alias("b1"), F.col("l2").alias("b2"))
     plan = leaves.join(above, ["token", "class"], "left").join(below, ["token", "class"], "left")
@@ -309,13 +453,13 @@ def classes(docs: DataFrame, stage, text: str = "text", size: int = SIZE, num: i
     under = "transform(sequence(0L, down - 1), k -> " + name.format(c="class - 1", d="class", i="k", j="part", side="1") + ")"
     none = "cast(array() AS array<struct<c:int,d:int,i:bigint,j:bigint,side:int>>)"
     meets = f"concat(CASE WHEN self THEN {same} ELSE {none} END, CASE WHEN up > 0 THEN {over} ELSE {none} END, CASE WHEN down > 0 THEN {under} ELSE {none} END)"
-    rows = rows.select("token", "key", F.explode(F.expr(meets)).alias("m"))
-    rows = rows.select(F.xxhash64("token", "m.c", "m.d", "m.i", "m.j").alias("pair"), "m.side", "key")
-    packed = marked.select("key", "n", "label", "point")
-    rows = rows.join(packed, "key").select("pair", "side", "key", "n", "label", "point").repartition("pair").sortWithinPartitions("pair")
-    met = stage(rows.mapInArrow(_leaf_pairs(num, den), "a long, b long").distinct())
-    _release(docs)
-    links = stage(links.union(_verified(met, described, docs, stage, num, den, size)))
+    rows = rows.select("token", "key", "n", "label", "earlier", F.explode(F.expr(meets)).alias("m"))
+    rows = rows.select(F.xxhash64("token", "m.c", "m.d", "m.i", "m.j").alias("pair"), "m.side", "key", "n", "label", "earlier")
+    rows = rows.join(marked.select("key", "point"), "key").select("pair", "side", "key", "n", "label", "earlier", "point")
+    met = stage(rows.repartition("pair").sortWithinPartitions("pair").mapInArrow(with_partners(num, den), MEETING))
+    found = _sets(stage(met.select("key").distinct()), described, docs, stage, size)
+    rows = met.join(found, "key").repartition("pair").sortWithinPartitions("pair")
+    links = stage(links.union(rows.mapInArrow(verified(num, den), "a long, b long")))
     _release(docs)
 
     labels = components(links, stage)

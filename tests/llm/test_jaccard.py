@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from strandline.llm import jaccard, wordhash
 
 from .conftest import texts
@@ -90,3 +92,40 @@ def test_blocks_do_not_matter(monkeypatch):
     whole = wordhash.words(text).tolist()
     monkeypatch.setattr(wordhash, "BLOCK", 64)
     assert wordhash.words(text).tolist() == whole
+
+
+def test_descent_loses_no_pair():
+    """Every pair that links, of different labels, is reached once by the descent, within a block and between two."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for base in range(40):
+        core = rng.integers(0, 2**63, int(rng.choice((5, 40, 300, 700)))).astype(np.uint64)
+        for _ in range(12):
+            keep = core[rng.random(len(core)) > rng.choice((0.0, 0.05, 0.2))]
+            sets.append(np.unique(np.concatenate((keep, rng.integers(0, 2**63, 2).astype(np.uint64)))))
+    n, label = np.array([len(v) for v in sets]), np.arange(len(sets)) % 97
+    points = jaccard._folded([jaccard._counts(v) for v in sets])
+    earlier = np.zeros((len(sets), jaccard.EARLIER), np.int64)
+
+    def links(i, j):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        return label[i] != label[j] and 100 * both >= 80 * (n[i] + n[j] - both)
+
+    for side in (np.full(len(sets), 2), np.arange(len(sets)) % 2):
+        i, j = jaccard._meet(n, label, earlier, points, side, 80, 100)
+        met = {(min(p), max(p)) for p in zip(i.tolist(), j.tolist())}
+        assert len(met) == len(i)
+        true = {(a, b) for b in range(len(sets)) for a in range(b) if (side[a] == 2 or side[a] != side[b]) and links(a, b)}
+        assert true and true <= met and len(met) < len(sets) * 20
+    # a pair that shares a subtree before is left to that one
+    earlier[:, 0] = 7
+    assert not len(jaccard._meet(n, label, earlier, points, np.full(len(sets), 2), 80, 100)[0])
+
+
+def test_links_of_a_meeting_follow_its_points():
+    sets = [np.arange(i, i + 100, dtype=np.uint64) for i in range(30)]
+    flat, offsets = np.concatenate(sets), np.arange(0, 3001, 100)
+    i, j = np.triu_indices(30, 1)
+    ones = np.full(30, 100)
+    a, b = jaccard._joining(np.arange(30), ones, np.arange(30), i, j, -(j - i).astype(float), flat, offsets, 80, 100)
+    assert len(a) == 29 and {y - x for x, y in zip(a, b)} == {1}
