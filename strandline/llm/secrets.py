@@ -9,12 +9,16 @@ the corpus's own rates. Twice the lesser of both p-values counts; Benjamini-Hoch
 within each stratum of encoding and length, to p-values rounded up to tenths of a decade, which needs only
 counts per stratum and decade. Tokens of digits alone have neither changes nor pairs and are never found.
 
+Work is linear in a text's matches but for sorting: positions and reaches are running totals by blocks, overlaps are found by halving, and a
+redacted text is joined from pieces once.
+
 Null texts count as empty and have no spans. Rows are independent, so repeated rows repeat.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +29,7 @@ ASSIGN = KEYWORDS + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]{12,}"  # the same spans as AKIA[A-Z0-9]+ of 16 characters or more
 HEX = "[0-9a-f]{32,}"
 MIN_TOKEN = 20
-TOKEN = f"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}"
+TOKEN = "[A-Za-z0-9+/_=-]{{{least},}}"
 _AZ, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Inferred encodings, smaller alphabets first: (name, pattern of the whole token, its alphabet in order).
 ENCODINGS = (
@@ -55,29 +59,48 @@ FDR = 0.01
 MIN_RATE = 0.05
 KINDS = ("assign", "access", "hex", "random")
 MAX_DECADES = 400
+BLOCK, PIECE = 256, 4096
+
+
+def _running(count: str, value: str, merge: Callable[[str, str], str]) -> str:
+    """SQL for the totals of ``value`` (of the lambda variable i) before each i below ``count``, which is 1 at least.
+
+    An array that grows by one is copied each time; so it grows to ``BLOCK`` only, and once more over the blocks.
+    """
+    last = f"(least({count}, (b + 1) * {BLOCK}) - 1)"
+    totals = f"transform(sequence(0, ({count} - 1) div {BLOCK}), b -> aggregate(sequence(b * {BLOCK}, {last}), 0, (a, i) -> {merge('a', value)}))"
+    grown = "aggregate({items}, named_struct('at', {start}, 'out', cast(array() AS array<int>)), (a, i) -> named_struct('at', {next}, 'out', array_append(a.out, a.at)), a -> a.out)"
+    blocks = grown.format(items=totals, start="0", next=merge("a.at", "i"))
+    return f"flatten(transform({blocks}, (s, b) -> {grown.format(items=f'sequence(b * {BLOCK}, {last})', start='s', next=merge('a.at', value))}))"
 
 
 def _spans(pattern: str, group: int | None = None, least: int = 0) -> Column:
     """Spans of leftmost non-overlapping matches, from the texts between and in the matches."""
     quoted = "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    value = f"regexp_extract_all(body, {quoted}, {group})" if group is not None else "m"
-    starts = (
-        "aggregate(sequence(0, size(m) - 1), named_struct('at', 0, 'out', cast(array() AS array<int>)),"
-        " (a, i) -> named_struct('at', a.at + length(get(g, i)) + length(get(m, i)),"
-        " 'out', array_append(a.out, a.at + length(get(g, i)))), a -> a.out)"
-    )
-    joined = f"transform({starts}, (s, i) -> named_struct('start', s, 'end', s + length(get(m, i)), 'value', get(m, i), 'ok', length(get({value}, i)) >= {least}))"
-    # one struct with the texts between (g) and of (m) the matches, bound by a one-element array
-    bound = f"array(named_struct('g', split(body, {quoted}, -1), 'm', regexp_extract_all(body, {quoted}, 0)))"
-    body = joined.replace("get(g,", "get(q.g,").replace("get(m,", "get(q.m,").replace("size(m)", "size(q.m)")
-    body = body.replace("length(get(m, i))", "length(get(q.m, i))")
+    # one struct with the texts between (g) and of (m) the matches and of the group (v), bound by a one-element array, so that the text is matched once
+    value = f", 'v', regexp_extract_all(body, {quoted}, {group})" if group is not None else ""
+    bound = f"array(named_struct('g', split(body, {quoted}, -1), 'm', regexp_extract_all(body, {quoted}, 0){value}))"
+    before = _running("size(q.m)", "length(get(q.g, i)) + length(get(q.m, i))", "{} + {}".format)
+    begin, length = "s + length(get(q.g, i))", "length(get(q.m, i))"
+    ok = f"length(get(q.{'v' if group is not None else 'm'}, i)) >= {least}"
+    body = f"transform({before}, (s, i) -> named_struct('start', {begin}, 'end', {begin} + {length}, 'value', get(q.m, i), 'ok', {ok}))"
     return F.expr(f"CASE WHEN body RLIKE {quoted} THEN filter(get(transform({bound}, q -> {body}), 0), x -> x.ok) END")
 
 
-def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def _meets(spans: str) -> str:
+    """SQL whether the span t meets one of ``spans``, which are in order and do not overlap: the last one that begins before t's end tells."""
+    halve = (
+        f"CASE WHEN a.lo >= a.hi THEN a WHEN get({spans}, (a.lo + a.hi) div 2).start < t.end"
+        " THEN named_struct('lo', cast((a.lo + a.hi) div 2 + 1 AS int), 'hi', a.hi) ELSE named_struct('lo', a.lo, 'hi', cast((a.lo + a.hi) div 2 AS int)) END"
+    )
+    begun = f"aggregate(sequence(1, length(bin(size({spans})))), named_struct('lo', 0, 'hi', size({spans})), (a, i) -> {halve}, a -> a.lo)"
+    return f"(size({spans}) > 0 AND coalesce(get({spans}, {begun} - 1).end > t.start, false))"
+
+
+def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), min_token: int = MIN_TOKEN) -> DataFrame:
     """``keep`` columns, the text as ``body``, and arrays of (start, end, value): assign, access, hex, token.
 
-    Positions are code points, ends exclusive. Tokens overlapping a fixed span are left out.
+    Positions are code points, ends exclusive. Tokens have ``min_token`` characters at least; those overlapping a fixed span are left out.
     """
     out = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("body"))
     out = out.select(
@@ -85,12 +108,11 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
         _spans(ASSIGN, 2, 8).alias("assign"),
         _spans(ACCESS).alias("access"),
         _spans(HEX).alias("hex"),
-        _spans(TOKEN).alias("token"),
+        _spans(TOKEN.format(least=min_token)).alias("token"),
     )
     none = "cast(array() AS array<struct<start:int,end:int,value:string,ok:boolean>>)"
     out = out.select(*keep, "body", *(F.expr(f"coalesce({c}, {none})").alias(c) for c in ("assign", "access", "hex", "token")))
-    clear = "filter(token, t -> NOT exists(concat(assign, access, hex), b -> b.start < t.end AND t.start < b.end))"
-    return out.withColumn("token", F.expr(clear))
+    return out.withColumn("token", F.expr(f"filter(token, t -> NOT ({' OR '.join(map(_meets, KINDS[:3]))}))"))
 
 
 def _normal_tail(z: str) -> str:
@@ -171,12 +193,12 @@ def discoveries(tested: DataFrame, fdr: float = FDR, random_p: float = RANDOM_P)
     return out.withColumn("secret", F.coalesce(F.col("level") >= cut, F.lit(False)) & (F.col("p_random") >= random_p))
 
 
-def find(docs: DataFrame, stage, text: str = "text", keep: tuple[str, ...] = ("doc_id",), body: bool = False) -> DataFrame:
+def find(docs: DataFrame, stage, text: str = "text", keep: tuple[str, ...] = ("doc_id",), body: bool = False, min_token: int = MIN_TOKEN) -> DataFrame:
     """``keep`` columns, ``body`` if asked for, and ``spans``: array of (start, kind, end) in order, kind by its place in KINDS.
 
     ``stage(df)`` writes and rereads a table: the scan is used for the corpus counts and for the result.
     """
-    scanned = scan(docs, text, (*keep,)).withColumn("_row", F.monotonically_increasing_id())
+    scanned = scan(docs, text, (*keep,), min_token).withColumn("_row", F.monotonically_increasing_id())
     scanned = stage(scanned if body else scanned.drop("body"))
     tokens = scanned.select("_row", F.explode("token").alias("t")).select("_row", "t.start", "t.end", "t.value")
     found = discoveries(stage(battery(tokens))).where("secret")
@@ -197,8 +219,20 @@ def digest(spans: str) -> Column:
 
 def redacted(mark: str = "[SECRET]") -> Column:
     """``body`` with every span of ``spans`` replaced; overlapping spans become one mark."""
-    step = (
-        "CASE WHEN x.end <= a.at THEN a ELSE named_struct('at', x.end, 'out', concat(a.out,"
-        f" substring(body, a.at + 1, greatest(0, x.start - a.at)), CASE WHEN x.start >= a.at THEN '{mark}' ELSE '' END)) END"
-    )
-    return F.expr(f"aggregate(spans, named_struct('at', 0, 'out', ''), (a, x) -> {step}, a -> concat(a.out, substring(body, a.at + 1, length(body))))")
+    # the body in pieces of known length, since a place far into a text is found by walking there
+    p, q = f"(cast({{at}} AS int) div {PIECE})", f"(cast({{at}} AS int) % {PIECE})"
+    bound = f"array(named_struct('c', regexp_extract_all(body, '(?s).{{1,{PIECE}}}', 0), 'r', {_running('size(spans)', 'get(spans, i).end', 'greatest({}, {})'.format)}))"
+
+    def cut(start: str, end: str) -> str:
+        first, last, skip, stop = p.format(at=start), p.format(at=end), q.format(at=start), q.format(at=end)
+        within = f"substring(get(w.c, {first}), {skip} + 1, {stop} - {skip})"
+        across = (
+            f"concat(substring(get(w.c, {first}), {skip} + 1), array_join(slice(w.c, cast({first} + 2 AS int), cast({last} - {first} - 1 AS int)), ''),"
+            f" coalesce(substring(get(w.c, {last}), 1, {stop}), ''))"
+        )
+        return f"coalesce(CASE WHEN {first} = {last} THEN {within} ELSE {across} END, '')"
+
+    # what earlier spans reach is cut already; a span that begins inside it adds no mark
+    pieces = f"transform(w.r, (r, i) -> CASE WHEN get(spans, i).start >= r THEN concat({cut('r', 'get(spans, i).start')}, '{mark}') ELSE '' END)"
+    rest = cut("array_max(transform(spans, x -> x.end))", "length(body)")
+    return F.expr(f"CASE WHEN size(spans) = 0 THEN body ELSE get(transform({bound}, w -> concat(array_join({pieces}, ''), {rest})), 0) END")
