@@ -14,6 +14,8 @@ from strandline.functions.text import non_empty_lines, split_lines, strip, word_
 from strandline.operators.cleaning import dedupe
 from strandline.operators.embed import wav_header
 from strandline.operators.enrich import fits_broadcast
+from strandline.operators.membership import key_filter, might_hold
+from strandline.operators.widening import common_schema, conform
 
 # The landing layout.
 TEMPORAL_PREFIX = "temporal_landing/"
@@ -81,10 +83,14 @@ def land_new(listing: DataFrame, landed: DataFrame, name: str = "object_name") -
     """Objects whose base name has not landed yet, one per base name (first path wins).
 
     The listing is reduced to one row per name before the anti join, so neither
-    side of it can carry a hot key.
+    side of it can carry a hot key. Of the manifest only names that pass a filter over
+    the listing's names are shuffled: it follows the new files, however many have landed. The
+    listing is read twice.
     """
-    candidates = dedupe(listing.withColumn("__base", base_name(name)), ["__base"], [name])
-    done = landed.select(base_name(name).alias("__base")).distinct()
+    listing = listing.withColumn("__base", base_name(name))
+    candidates = dedupe(listing, ["__base"], [name])
+    done = landed.select(base_name(name).alias("__base"))
+    done = might_hold(done, ["__base"], key_filter(listing, ["__base"])).distinct()
     return candidates.join(done, "__base", "left_anti").drop("__base")
 
 
@@ -277,8 +283,9 @@ def flatten(df: DataFrame, json_arrays: bool = True) -> DataFrame:
 
 
 def evolve_append(*frames: DataFrame) -> DataFrame:
-    """Union by name; a column missing on one side is null there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """Union by name; a column missing on one side is null there, one of unlike types has the widest of them (``widening``)."""
+    schema = common_schema(f.schema for f in frames)
+    return reduce(DataFrame.unionByName, [conform(f, schema) for f in frames])
 
 
 def landing_summary(df: DataFrame, kind: str = "kind", error: str = "error") -> DataFrame:

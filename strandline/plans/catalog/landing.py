@@ -13,7 +13,7 @@ from strandline.plans import landing as flow
 from strandline.plans.catalog import inputs
 from strandline.plans.catalog.inputs import registry, table, wide
 from strandline.session import scratch_path
-from strandline.sources import readers, writers
+from strandline.sources import evolving, readers, writers
 
 QUERIES, query = registry()
 
@@ -313,6 +313,27 @@ def append_evolve(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_table(spark, path).select("event_id", "user_id", "event_type", "value", "props")
 
 
+@query("""
+    SELECT l_orderkey, l_linenumber,
+           CASE l_linenumber % 3 WHEN 0 THEN (l_linenumber * 10)::VARCHAR WHEN 1 THEN l_quantity::VARCHAR ELSE l_returnflag END AS amount,
+           CASE WHEN l_linenumber % 3 = 0 THEN l_shipdate::DATE::TIMESTAMP ELSE l_shipdate END AS shipped,
+           CASE l_linenumber % 3 WHEN 0 THEN (l_suppkey % 7)::DOUBLE WHEN 1 THEN l_tax END AS tax
+    FROM lineitem
+""")
+def evolving_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches in which a column is an int, a double and a string, another a date and a timestamp; one lacks a column."""
+    path = scratch_path(spark, "evolving")
+    rows = table(spark, sf, "lineitem")
+    batches = [
+        [F.col("l_orderkey").cast("int"), "l_linenumber", F.expr("l_linenumber * 10 AS amount"), F.expr("cast(l_shipdate AS date) AS shipped"), F.expr("cast(l_suppkey % 7 AS int) AS tax")],
+        ["l_orderkey", "l_linenumber", F.col("l_quantity").alias("amount"), F.col("l_shipdate").alias("shipped"), F.col("l_tax").alias("tax")],
+        ["l_orderkey", "l_linenumber", F.col("l_returnflag").alias("amount"), F.col("l_shipdate").alias("shipped")],
+    ]
+    for number, columns in enumerate(batches):
+        evolving.append_batch(rows.where(F.col("l_linenumber") % 3 == number).select(*columns), path, number)
+    return evolving.read_evolving(spark, path)
+
+
 @query("""
     SELECT count(*) FILTER (page_id % 10 <> 0) AS landed_rows, count(*) FILTER (page_id % 10 <> 0) AS copies,
            count(*) FILTER (page_id % 10 <> 0) AS archived_files, count(*) FILTER (page_id % 10 = 0) AS files_left
