@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandline.plans.catalog import inputs
 from strandline.plans.catalog.inputs import FRAMES_SQL, registry, table
 from strandline.session import materialize, scratch_path
+from strandline.sources.framelog import log_frames
 from strandline.streaming import anchored, frames, replay
 
 QUERIES, query = registry()
@@ -183,3 +184,23 @@ def camera_progress(spark: SparkSession, sf: str) -> DataFrame:
         now = materialize(now.select("step", "camera_id", "frames", F.date_format("last_seen", "yyyy-MM-dd HH:mm:ss").alias("last_seen")), "progress")
         found = now if found is None else found.union(now)
     return found
+
+
+@query(f"""
+    WITH {FRAMES_SQL}
+    SELECT camera_id, frame_id, label, CASE WHEN label IS NOT NULL THEN n END AS n, count(*) AS times_read FROM frames GROUP BY ALL
+""")
+def frame_log_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Frame messages through a log folder: half of them are read, the log grows, and a restarted query reads the others."""
+    log, out, checkpoint = (scratch_path(spark, n) for n in ("log", "frames", "checkpoint"))
+    sent = inputs.frames(spark, sf).select(
+        (F.col("frame_id").cast("bigint") % 2).alias("half"),
+        F.to_json(F.struct(F.col("camera_id").alias("video_id"), "frame_id", F.unix_seconds(F.col("ts").cast("timestamp")).cast("double").alias("timestamp"), "detections")).alias("value"),
+    )
+    for half in (0, 1):
+        sent.where(F.col("half") == half).select("value").write.mode("append").text(log)
+        parsed = frames.parse_frames(log_frames(spark, log))
+        writer = parsed.select("camera_id", "frame_id", F.explode_outer("detections").alias("label", "n"))
+        writer = writer.writeStream.option("checkpointLocation", checkpoint).format("parquet").trigger(availableNow=True)
+        writer.start(out).awaitTermination()
+    return spark.read.parquet(out).groupBy("camera_id", "frame_id", "label", "n").agg(F.count("*").alias("times_read"))

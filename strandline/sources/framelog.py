@@ -81,7 +81,7 @@ class LogReader(DataSourceStreamReader):
             if info.size > known:
                 with store.open_input_file(info.path) as source:
                     known = _last_break(source, known, info.size)
-            ends[name] = known
+            ends[name] = min(known, info.size)
         self.ends = ends
         return dict(sorted(ends.items()))
 
@@ -104,11 +104,11 @@ class LogReader(DataSourceStreamReader):
 
 
 def _lines(source, piece: Piece) -> Iterator[pa.RecordBatch]:
-    # A line begins in the piece if the break before it does, or stands just before it; the first line of a segment always does.
+    # A line begins behind a break, and the first of a segment at its start: look for a break from just before the piece.
     at = piece.start
     if at:
         source.seek(at - 1)
-        while at < piece.stop and (block := source.read(min(BLOCK, piece.stop - at + 1))):
+        while at < piece.end and (block := source.read(min(BLOCK, piece.end - at))):
             found = block.find(b"\n")
             if found >= 0:
                 at += found
