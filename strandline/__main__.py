@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import argparse
 
-from strandline.plans import collisions, documents, landing, unstructured
+from strandline.plans import collisions, documents, increments, landing, unstructured
 from strandline.session import build_session
 
 STAGES = {
     "land": ("source root checkpoint", lambda s, a: landing.land_available(s, a.source, a.root, a.checkpoint, a.max_files, a.archive)),
     "trust-collisions": ("table out rejects", lambda s, a: collisions.trust_collisions(s, a.table, a.out, a.rejects)),
+    "trust-new": ("table root checkpoint", lambda s, a: increments.trust_available(s, a.table, a.root, a.checkpoint)),
     "trust-weather": ("source out", lambda s, a: documents.trust_weather(s, a.source, a.out)),
     "trust-cameras": ("source out", lambda s, a: documents.trust_cameras(s, a.source, a.out)),
     "trust-texts": ("source out", lambda s, a: unstructured.trust_texts(s, a.source, a.out, a.files)),

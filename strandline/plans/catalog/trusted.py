@@ -22,7 +22,7 @@ from strandline.functions.text import WHITESPACE, clean_text as cleaned, skip_re
 from strandline.operators import cleaning
 from strandline.operators import documents as docs
 from strandline.operators.embed import clean_audio as clean_wavs
-from strandline.plans import unstructured
+from strandline.plans import increments, unstructured
 from strandline.plans.catalog import inputs
 from strandline.plans.catalog.inputs import DEDUPED_SQL, FACT_SQL, VALID_DATE_SQL, registry, table, wide
 from strandline.session import scratch_path
@@ -73,6 +73,23 @@ def rejects_csv(spark: SparkSession, sf: str) -> DataFrame:
     return stored.withColumn("runs_without_rejects", F.lit(0 if empty is None else 1))
 
 
+@query(f"""
+    WITH fact AS ({FACT_SQL}),
+    batched AS (SELECT *, regexp_extract(source_file, '[0-9]+')::BIGINT % 3 AS batch FROM fact)
+    SELECT source_file, batch, {VALID_DATE_SQL} AND number_of_cyclist_injured BETWEEN 0 AND 65535 AS accepted FROM batched
+    QUALIFY row_number() OVER (PARTITION BY collision_id ORDER BY batch, source_file) = 1
+""")
+def trusted_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Records in three batches with duplicates in and among them: each batch meets the keys of those before."""
+    root = scratch_path(spark, "increments")
+    records = inputs.collision_strings(spark, sf)
+    number = F.regexp_extract("source_file", "[0-9]+", 0).cast("bigint") % 3
+    for batch in range(3):
+        increments.trust_batch(records.where(number == batch), batch, root, order_by=["source_file"])
+    rows = lambda name, ok: increments.read_trusted(spark, root, name).select("source_file", F.col("batch_id").cast("bigint").alias("batch"), F.lit(ok).alias("accepted"))
+    return rows("accepted", True).unionAll(rows("rejected", False))
+
+
 @query(f"""
     WITH {DEDUPED_SQL}
     SELECT strftime(o_orderdate, '%Y-%m-%d') AS crash_date, '' AS crash_time, coalesce(upper(trim(borough)), '') AS borough,
