@@ -7,8 +7,9 @@ so planes without content cost a few bytes. The chunk table has a row per plane:
 The document table has, in order, each document's id, whether it is null, and its number of ids.
 
 ``write`` deals documents by range of doc_id (then of a hash of the text and of the input's
-order, so that one frequent id is dealt to many files), sorts each part and writes one file per
-part under a name that no other attempt uses; only files named in the returned manifest count, so
+order, so that one frequent id is dealt to many files), sorts each part and writes it as files of
+about ``file_ids`` ids and at most about ``file_docs`` documents, in order, under names that no other attempt uses. So what a task
+holds of a file (its document and chunk tables, on either side) follows these bounds and not the size of a part. Only files named in the returned manifest count, so
 lost or repeated tasks leave at most unread files. Null texts count as empty: they have the end
 id only. Null doc_ids come first. An empty table gives an empty manifest. Other columns are ignored.
 """
@@ -29,6 +30,7 @@ from strandline.llm import bpe
 
 MAGIC, BLOCK, LEVEL = b"SLPLANE1", 1 << 16, 3
 MAX_WORDS = 1_000_000  # of the tasks' dictionaries
+FILE_IDS, FILE_DOCS = 1 << 26, 1 << 20  # a file is closed behind the group of texts that reaches one of them
 FOOTER = "<QQQQIIQ"  # documents' place, size; chunks' place, size; block size, planes, ids
 
 
@@ -58,10 +60,10 @@ def _open(folder: str):
 
 
 class _Writer:
-    def __init__(self, out, planes: int):
+    def __init__(self, out, planes: int, name: str):
         import zstandard
 
-        self.out, self.planes, self.pack = out, planes, zstandard.ZstdCompressor(level=LEVEL)
+        self.out, self.planes, self.name, self.pack = out, planes, name, zstandard.ZstdCompressor(level=LEVEL)
         self.at = out.write(MAGIC)
         self.held, self.size, self.total = [], 0, 0
         self.chunks, self.docs = [], []
@@ -95,8 +97,12 @@ class _Writer:
         self.out.write(struct.pack(FOOTER, *places, BLOCK, self.planes, self.total) + MAGIC)
 
 
-def write(docs: DataFrame, stage, tokenizer: str, folder: str, end_id: int = 1, text: str = "text", planes: int = 4, parts: int | None = None) -> DataFrame:
-    """Write the files below ``folder`` (shared by all executors); the manifest: part, path, n_docs, n_ids, start."""
+def write(docs: DataFrame, stage, tokenizer: str, folder: str, end_id: int = 1, text: str = "text", planes: int = 4, parts: int | None = None,
+          file_ids: int = FILE_IDS, file_docs: int = FILE_DOCS, group: int = 2 * bpe.GROUP) -> DataFrame:
+    """Write the files below ``folder`` (shared by all executors); the manifest: part, file (its number in the part), path, n_docs, n_ids, start.
+
+    Texts are encoded ``group`` bytes at a time; a file ends with the group that reaches one of its bounds.
+    """
     parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     body = docs.select("doc_id", F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = ["doc_id", "h", "u"]
@@ -106,22 +112,30 @@ def write(docs: DataFrame, stage, tokenizer: str, folder: str, end_id: int = 1,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks, writer, stop = bpe.kept(bpe.Chunks, tokenizer, False, MAX_WORDS), None, np.array([end_id], np.uint32)
         files, path = _open(folder)
-        part = TaskContext.get().partitionId()
-        name = f"{path}/part-{part:06d}-{uuid.uuid4().hex}.planes"
+        part, number = TaskContext.get().partitionId(), 0
+
+        def closed() -> pa.RecordBatch:
+            writer.close()
+            writer.out.close()
+            names = ["part", "file", "path", "n_docs", "n_ids"]
+            return pa.RecordBatch.from_pylist([dict(zip(names, (part, number, f"{folder}/{writer.name}", len(writer.docs), writer.total)))])
+
         for batch in batches:
-            for names, texts in bpe.in_groups(batch):
+            for names, texts in bpe.in_groups(batch, group):
                 if writer is None:
                     files.create_dir(path, recursive=True)
-                    writer = _Writer(files.open_output_stream(name), planes)
+                    name = f"part-{part:06d}-{number:06d}-{uuid.uuid4().hex}.planes"
+                    writer = _Writer(files.open_output_stream(f"{path}/{name}"), planes, name)
                 writer.add(names, [np.append(i, stop) for i in chunks.encode(texts)])
+                if writer.total + writer.size >= file_ids or len(writer.docs) >= file_docs:
+                    yield closed()
+                    writer, number = None, number + 1
         if writer is not None:
-            writer.close()
-            writer.out.close()
-            yield pa.RecordBatch.from_pydict({"part": [part], "path": [f"{folder}/{name.rsplit('/', 1)[1]}"], "n_docs": [len(writer.docs)], "n_ids": [writer.total]})
+            yield closed()
 
-    done = dealt.mapInArrow(run, "part long, path string, n_docs long, n_ids long")
+    done = dealt.mapInArrow(run, "part long, file long, path string, n_docs long, n_ids long")
     # one row per file
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)
     return stage(done).withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
@@ -173,4 +187,4 @@ def read(manifest: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64(), mask=null), pa.array(starts), pa.array(ids, pa.binary())], ["doc_id", "start", "ids"])
 
     files = max(1, manifest.count())  # a fixed number, or adaptive execution would put the few bytes of the manifest into one task
-    return manifest.select("path", "start", "part").repartition(files, "part").mapInArrow(run, "doc_id long, start long, ids binary")
+    return manifest.select("path", "start", "part", "file").repartition(files, "part", "file").mapInArrow(run, "doc_id long, start long, ids binary")

@@ -1,5 +1,6 @@
 """BPE by chunks and token files against the tokenizer itself."""
 
+import hashlib
 import random
 import zlib
 
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from strandline.llm import bpe, token_files
+from strandline.llm import bpe, queries, token_files
 from strandline.llm.queries import tokenizer_path
 
 from .conftest import texts
@@ -74,11 +75,43 @@ def test_files(docs, no_docs, stage, tmp_path, monkeypatch, planes):
         assert start == at and ids in want[doc_id]
         want[doc_id].remove(ids)
         at += len(ids) // 4
-    assert zlib.crc32(got[0][2]) >= 0
     empty = token_files.write(no_docs, stage, WORD, f"file://{tmp_path}/none")
     assert empty.count() == 0 and token_files.read(empty).count() == 0
 
 
+@pytest.mark.parametrize("bound", ["ids", "docs"])
+def test_files_are_rolled(spark, stage, tmp_path, bound):
+    """Files follow the bounds, not the parts, and together still hold all ids in order."""
+    rows = [(i, f"word {i} " * (i % 9)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    manifest = token_files.write(docs, stage, WORD, f"file://{tmp_path}/out", parts=2, group=64, **{f"file_{bound}": 150 if bound == "ids" else 7})
+    files = manifest.orderBy("part", "file").collect()
+    assert len(files) > 8 and sum(f.n_docs for f in files) == 120 and len({f.path for f in files}) == len(files) == len(list((tmp_path / "out").iterdir()))
+    assert [f.start for f in files] == [sum(g.n_ids for g in files[:k]) for k in range(len(files))]
+    whole, at = bpe._load(WORD), 0
+    for row, (i, text) in zip(sorted(token_files.read(manifest).collect(), key=lambda r: r.doc_id), rows):
+        want = np.array([*whole.encode(text, add_special_tokens=False).ids, 1], "<u4").tobytes()
+        assert (row.doc_id, row.start, bytes(row.ids)) == (i, at, want)
+        at += len(want) // 4
+
+
+def test_digests_of_the_queries(spark, tmp_path):
+    """Every column of the registered queries against the tokenizer itself."""
+    rows = [(i, t) for i, (_, t, _) in enumerate(texts())]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    byte, word, at, want5, want6 = Tokenizer.from_file(BYTE), Tokenizer.from_file(WORD), 0, [], []
+    for i, text in rows:
+        ids = byte.encode(text or "", add_special_tokens=False).ids
+        back = byte.decode(ids, skip_special_tokens=False)
+        want5.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
+        ids = [*word.encode(text or "", add_special_tokens=False).ids, 1]
+        want6.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    got5 = queries.op5_bpe_round_trip(spark, str(tmp_path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    got6 = queries.op6_token_files(spark, str(tmp_path)).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got5)) == want5 and sorted(map(tuple, got6)) == want6
+
+
 def test_a_torn_file_is_refused(docs, stage, tmp_path):
     manifest = token_files.write(docs, stage, WORD, f"file://{tmp_path}/out", parts=1)
     path = manifest.first()["path"].removeprefix("file://")
