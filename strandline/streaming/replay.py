@@ -4,8 +4,10 @@ The windows are those of :mod:`strandline.streaming.anchored`, but polls follow
 taken into its window once the watermark has passed it, whatever order frames arrived in, and a window with frames closes
 when the watermark passes its closing tick. So a replay gives the rows of the batch form, over restarts too.
 
-State is kept in three variables, so that a tick or a label is read and written by itself: the open window, the sums of its labels,
-and the ticks still waiting for the watermark. More variables can be added by a subclass without losing a checkpoint.
+Each access to state is a round trip to the JVM, so a camera's arrivals are appended as one list and have one timer, at their earliest tick;
+when it fires all ticks that have passed are taken at once, and the open window and the sums of its labels are read and written once.
+More variables can be added by a subclass without losing a checkpoint; ``waiting`` holds what a checkpoint of the earlier form, a variable entry
+and a timer per tick, had left to do.
 """
 
 from __future__ import annotations
@@ -40,68 +42,96 @@ class AnchoredWindows(StatefulProcessor):
         self.sums = handle.getMapState("sums", "label string", "total bigint")
         # is_label tells a frame count from a label whose name is empty
         self.waiting = handle.getMapState("waiting", "tick bigint, is_label boolean, label string", "n bigint")
+        self.arrived = handle.getListState("arrived", "tick bigint, is_label boolean, label string, n bigint")
 
     def _passed(self, tick: int) -> int:
         """The time at which no more frames of a tick can come."""
         return (tick + 1) * self.tick_ms
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        ticks = set()
+        first = None
         for batch in rows:
-            for tick, label, n in batch[["tick", "label", "n"]].itertuples(index=False):
+            entries = []
+            for tick, label, n in zip(batch["tick"].tolist(), batch["label"].tolist(), batch["n"].tolist()):
                 is_label = isinstance(label, str)
-                at = (int(tick), is_label, label if is_label else "")
-                before = self.waiting.getValue(at)[0] if self.waiting.containsKey(at) else 0
-                self.waiting.updateValue(at, (before + int(n),))
-                ticks.add(int(tick))
-        for tick in ticks:
-            self.handle.registerTimer(self._passed(tick))
+                entries.append((int(tick), is_label, label if is_label else "", int(n)))
+            if entries:
+                self.arrived.appendList(entries)
+                first = min(e[0] for e in entries) if first is None else min(first, min(e[0] for e in entries))
+        if first is not None:
+            self.handle.registerTimer(self._passed(first))
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         done: dict[int, list] = {}
+        later: list[tuple] = []
+        for entry in self.arrived.get():
+            if self._passed(entry[0]) <= now:
+                done.setdefault(entry[0], []).append(entry)
+            else:
+                later.append(tuple(entry))
         for at, value in list(self.waiting.iterator()):
             if self._passed(at[0]) <= now:
-                done.setdefault(at[0], []).append((at, value[0]))
+                done.setdefault(at[0], []).append((*at, value[0]))
+                self.waiting.removeKey(at)
+        self._load()
         out: list[tuple] = []
         for tick in sorted(done):
             self._close(key[0], tick - 1, out)
-            for at, n in done[tick]:
-                self._count(at, n)
-                self.waiting.removeKey(at)
-            start, frames = self.window.get()
+            for _, is_label, label, n in done[tick]:
+                self._count(tick, is_label, label, n)
+            start, frames = self.open
             if tick - start >= self.width:  # the closing tick, or the first one after an idle stretch
                 out += self._emit(key[0], start, tick)
                 self._begin(tick)
         self._close(key[0], now // self.tick_ms - 1, out)
-        window = self.window.get()
-        if window and window[1]:
-            self.handle.registerTimer(self._passed(window[0] + self.width))
+        self._store()
+        if done and later:
+            self.arrived.put(later)
+        elif done:
+            self.arrived.clear()
+        if later:
+            self.handle.registerTimer(self._passed(min(e[0] for e in later)))
+        if self.open and self.open[1]:
+            self.handle.registerTimer(self._passed(self.open[0] + self.width))
         if out:
             yield pd.DataFrame(out, columns=["camera_id", "window_start", "window_end", "label", "total"])
 
-    def _count(self, at: tuple, n: int) -> None:
-        tick, is_label, label = at
-        start, frames = self.window.get() or (tick, 0)
+    def _load(self) -> None:
+        self.open = self.window.get()
+        self.totals = {label[0]: n[0] for label, n in self.sums.iterator()}
+        self.stored = (self.open, dict(self.totals))
+
+    def _store(self) -> None:
+        """Write back what has changed since :meth:`_load`."""
+        before, totals = self.stored
+        if self.open != before:
+            self.window.update(self.open)
+        if totals.keys() - self.totals.keys():
+            self.sums.clear()
+            totals = {}
+        for label, n in self.totals.items():
+            if totals.get(label) != n:
+                self.sums.updateValue((label,), (n,))
+
+    def _count(self, tick: int, is_label: bool, label: str, n: int) -> None:
+        start, frames = self.open or (tick, 0)
         if is_label:
-            self.sums.updateValue((label,), ((self.sums.getValue((label,))[0] if self.sums.containsKey((label,)) else 0) + n,))
-        self.window.update((start, frames + (0 if is_label else n)))
+            self.totals[label] = self.totals.get(label, 0) + n
+        self.open = (start, frames + (0 if is_label else n))
 
     def _close(self, camera: str, upto: int, out: list[tuple]) -> None:
         """Close the open window if it has frames and its closing tick is ``upto`` or before."""
-        window = self.window.get()
-        if window and window[1] and window[0] + self.width <= upto:
-            out += self._emit(camera, window[0], window[0] + self.width)
-            self._begin(window[0] + self.width)
+        if self.open and self.open[1] and self.open[0] + self.width <= upto:
+            out += self._emit(camera, self.open[0], self.open[0] + self.width)
+            self._begin(self.open[0] + self.width)
 
     def _emit(self, camera: str, start: int, end: int) -> list[tuple]:
-        frames = self.window.get()[1]
-        return [(camera, start, end, None, frames), *((camera, start, end, label[0], n[0]) for label, n in self.sums.iterator())]
+        return [(camera, start, end, None, self.open[1]), *((camera, start, end, label, n) for label, n in self.totals.items())]
 
     def _begin(self, tick: int) -> None:
-        self.window.update((tick, 0))
-        self.sums.clear()
+        self.open, self.totals = (tick, 0), {}
 
     def close(self) -> None:
         pass

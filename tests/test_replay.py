@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from strandline.streaming import anchored, frames, replay
@@ -82,3 +83,90 @@ def test_progress_per_camera(spark, tmp_path):
         seen = frames.latest_progress(spark.read.parquet(out))
         assert {r["camera_id"]: r["frames"] for r in seen.collect()} == total
     assert sum(total.values()) == 260
+
+
+class Counted:
+    """State in memory that counts the calls made to it."""
+
+    def __init__(self):
+        self.calls, self.timers, self.names = 0, set(), {}
+
+    def getValueState(self, name, *schemas):
+        return self.names.setdefault(name, Cell(self))
+
+    getMapState = getListState = getValueState
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+
+class Cell:
+    def __init__(self, handle):
+        self.handle, self.value, self.map, self.list = handle, None, {}, []
+
+    def __getattribute__(self, name):
+        if name in ("get", "update", "iterator", "containsKey", "getValue", "updateValue", "removeKey", "clear", "put", "appendList"):
+            self.handle.calls += 1
+        return object.__getattribute__(self, name)
+
+    def get(self):
+        return iter(list(self.list)) if self is self.handle.names.get("arrived") else self.value
+
+    def update(self, value):
+        self.value = value
+
+    def put(self, rows):
+        self.list = list(rows)
+
+    def appendList(self, rows):
+        self.list += rows
+
+    def clear(self):
+        self.map, self.list = {}, []
+
+    def containsKey(self, key):
+        return key in self.map
+
+    def getValue(self, key):
+        return self.map.get(key)
+
+    def updateValue(self, key, value):
+        self.map[key] = value
+
+    def removeKey(self, key):
+        del self.map[key]
+
+    def iterator(self):
+        return iter(list(self.map.items()))
+
+
+class At:
+    def __init__(self, ms):
+        self.getExpiryTimeInMs = self.getCurrentWatermarkInMs = lambda: ms
+
+
+def replayed(ticks, before=()):
+    handle, processor = Counted(), replay.AnchoredWindows(5, 1000)
+    processor.init(handle)
+    for at, n in before:  # as a checkpoint of the earlier form holds them
+        handle.names["waiting"].map[at] = (n,)
+    rows = pd.DataFrame([(t, label, 1) for t in ticks for label in (None, "car")], columns=["tick", "label", "n"])
+    list(processor.handleInputRows(("c",), iter([rows]), At(0)))
+    timers = len(handle.timers)
+    found = [tuple(r) for df in processor.handleExpiredTimer(("c",), At(10**9), At(10**9)) for r in df.itertuples(index=False)]
+    return handle, timers, [(s, e, None if label != label else label, n) for _, s, e, label, n in found]
+
+
+def test_calls_to_state_do_not_grow_with_the_ticks_of_a_batch():
+    few, many = replayed(range(10, 30)), replayed(range(10, 2010))
+    assert few[1] == many[1] == 1
+    assert many[0].calls == few[0].calls < 20
+    assert sum(n for *_, label, n in many[2] if label is None) == 2000
+
+
+def test_ticks_of_an_earlier_checkpoint_are_taken():
+    waiting = [((12, False, ""), 2), ((12, True, "car"), 3)]
+    handle, _, found = replayed([11, 13], waiting)
+    assert found == [(11, 16, None, 4), (11, 16, "car", 5)]
+    assert not handle.names["waiting"].map
