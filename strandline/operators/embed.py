@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import numpy as np
 import pandas as pd
@@ -129,6 +129,15 @@ def window_features(
     return df.withColumn(out, encode(F.col(signal)))
 
 
+def per_file(schema: str) -> Callable:
+    """A function of one file's bytes as a UDF that is handed rows in small lots.
+
+    An Arrow batch counts rows, 10,000 unless set otherwise, whatever they weigh: of WAV files that is hundreds of MB in a worker, several times
+    over while they are converted. There is nothing to vectorize over files either.
+    """
+    return F.udf(returnType=schema, useArrow=False)
+
+
 def embed_audio(df: DataFrame, raw: str = "raw", max_seconds: int | None = None) -> DataFrame:
     """``embedding``, ``duration_s``, ``sample_rate``, ``num_channels`` and ``error`` of a WAV column.
 
@@ -136,16 +145,13 @@ def embed_audio(df: DataFrame, raw: str = "raw", max_seconds: int | None = None)
     """
     schema = "embedding array<float>, duration_s float, sample_rate bigint, num_channels bigint, error string"
 
-    @F.pandas_udf(schema)
-    def encode(contents: pd.Series) -> pd.DataFrame:
-        clips = [wav.try_clip(c) for c in contents]
-        rows = pd.DataFrame(index=contents.index)
-        rows["embedding"] = [None if c.error else unit(wav.window_moments(c.scaled(max_seconds))).astype(np.float32) for c in clips]
-        rows["duration_s"] = [None if c.error else c.seconds for c in clips]
-        for name in ("sample_rate", "num_channels"):
-            rows[name] = pd.array([None if c.error else getattr(c, name) for c in clips], "Int64")
-        rows["error"] = [c.error for c in clips]
-        return rows
+    @per_file(schema)
+    def encode(content: bytes | None) -> tuple:
+        clip = wav.try_clip(content)
+        if clip.error:
+            return None, None, None, None, clip.error
+        vector = unit(wav.window_moments(clip.scaled(max_seconds))).astype(np.float32)
+        return vector.tolist(), clip.seconds, clip.sample_rate, clip.num_channels, None
 
     return df.withColumn("__audio", encode(F.col(raw))).select(*df.columns, "__audio.*")
 
@@ -153,11 +159,7 @@ def embed_audio(df: DataFrame, raw: str = "raw", max_seconds: int | None = None)
 def clean_audio(df: DataFrame, raw: str = "raw", eight_bit_signed: bool = False) -> DataFrame:
     """Add ``cleaned`` (16 kHz mono 16-bit WAV) and ``skip_reason`` to a binary table."""
 
-    @F.pandas_udf("cleaned binary, skip_reason string")
-    def encode(contents: pd.Series) -> pd.DataFrame:
-        rows = [wav.clean_wav(c, eight_bit_signed) for c in contents]
-        return pd.DataFrame(rows, columns=["cleaned", "skip_reason"])
-
+    encode = per_file("cleaned binary, skip_reason string")(lambda content: wav.clean_wav(content, eight_bit_signed))
     return df.withColumn("__audio", encode(F.col(raw))).select(*df.columns, "__audio.*")
 
 
@@ -168,16 +170,14 @@ def wav_header(raw: Column | str) -> Column:
         "frame_count bigint, duration_seconds double, is_valid_wav boolean"
     )
 
-    def header_of(content: bytes) -> dict:
+    names = ("sample_rate_hz", "channels", "sample_width_bytes", "frame_count", "duration_seconds")
+
+    @per_file(schema)
+    def encode(content: bytes | None) -> tuple:
         try:
-            return {**wav.read_header(content), "is_valid_wav": True}
+            header = wav.read_header(content)
         except Exception:
-            return {"is_valid_wav": False}
-
-    @F.pandas_udf(schema)
-    def encode(contents: pd.Series) -> pd.DataFrame:
-        names = ["sample_rate_hz", "channels", "sample_width_bytes", "frame_count", "duration_seconds", "is_valid_wav"]
-        frame = pd.DataFrame([header_of(c) for c in contents], columns=names)
-        return frame.astype({n: "Int64" for n in names[:4]} | {"duration_seconds": "Float64", "is_valid_wav": "bool"})
+            return *[None] * len(names), False
+        return *[header[n] for n in names], True
 
     return encode(as_col(raw))

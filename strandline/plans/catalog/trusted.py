@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +20,7 @@ from strandline.functions.columns import (
 from strandline.functions.text import WHITESPACE, clean_text as cleaned, skip_reason
 from strandline.operators import cleaning
 from strandline.operators import documents as docs
-from strandline.operators.embed import clean_audio as clean_wavs
+from strandline.operators.embed import clean_audio as clean_wavs, per_file
 from strandline.plans import increments, unstructured
 from strandline.plans.catalog import inputs
 from strandline.plans.catalog.inputs import DEDUPED_SQL, FACT_SQL, VALID_DATE_SQL, registry, table, wide
@@ -329,12 +328,9 @@ CLEANED_WAV_SQL = f"""
 def clean_audio(spark: SparkSession, sf: str) -> DataFrame:
     clean = clean_wavs(inputs.wav_table(spark, sf))
 
-    @F.pandas_udf("sample_count bigint, sample_sum bigint, weighted_sum bigint")
-    def digest(contents: pd.Series) -> pd.DataFrame:
-        rows = []
-        for content in contents:
-            x = np.frombuffer(wav.read_frames(content)[1], "<i2").astype(np.int64)
-            rows.append((len(x), x.sum(), (x * (np.arange(len(x)) % 1000)).sum()))
-        return pd.DataFrame(rows, columns=["sample_count", "sample_sum", "weighted_sum"])
+    @per_file("sample_count bigint, sample_sum bigint, weighted_sum bigint")
+    def digest(content: bytes) -> tuple:
+        x = np.frombuffer(wav.read_frames(content)[1], "<i2").astype(np.int64)
+        return len(x), int(x.sum()), int((x * (np.arange(len(x)) % 1000)).sum())
 
     return clean.filter("skip_reason is null").withColumn("d", digest("cleaned")).select("vec_id", "d.*")

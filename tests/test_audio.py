@@ -96,3 +96,11 @@ def test_window_features_run_once_per_row(spark, table):
 
     plan = exploitation.window_features(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_files_reach_workers_in_small_lots(spark):
+    # an Arrow batch is 10,000 files, however heavy
+    files = spark.createDataFrame([("a.wav", b"x")], "object_name string, raw binary")
+    for rows in (embed.embed_audio(files), embed.clean_audio(files), files.select(embed.wav_header("raw"))):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
