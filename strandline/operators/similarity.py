@@ -15,15 +15,30 @@ from strandline.session import materialize
 BROADCAST_VALUES = 16_000_000
 # Rows of one block of the grid or of one salted cell.
 BLOCK_ROWS = 50_000
+# Values of one side of a grid cell: blocks smaller than this travel together, so that rows are not copied once for each of them.
+CELL_VALUES = 64 * BLOCK_ROWS
+# Queries whose best rows are merged at once; the others' stay as they are meanwhile.
+SLAB = 8_192
 
 
 def unit_rows(vectors) -> np.ndarray:
     """Vectors as the rows of a matrix, scaled to length 1; zero vectors stay."""
-    matrix = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
+    vectors = list(vectors)
+    if not vectors:
+        return np.empty((0, 0))
+    matrix = np.empty((len(vectors), np.size(vectors[0])))
+    for row, vector in zip(matrix, vectors, strict=True):
+        if np.shape(vector) != row.shape:
+            raise ValueError(f"a vector of shape {np.shape(vector)} among those of length {len(row)}")
+        row[:] = vector
     if matrix.size == 0:
         return matrix.reshape(0, 0)
-    norms = np.sqrt((matrix**2).sum(axis=1, keepdims=True))
-    return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
+    # in pieces, so that no square or quotient of the whole matrix is held beside it
+    for piece in (matrix[i : i + 4096] for i in range(0, len(matrix), 4096)):
+        norms = np.sqrt((piece**2).sum(axis=1, keepdims=True))
+        np.divide(piece, norms, out=piece, where=norms > 0)
+        piece[~(norms[:, 0] > 0)] = 0.0
+    return matrix
 
 
 def _best_pairs(query_ids, queries: np.ndarray, ids, vectors: np.ndarray, k: int, skip_self: bool) -> pd.DataFrame:
@@ -93,21 +108,22 @@ def cosine_topk(
     dim = max(1, first["n"] if first else 1)
     bound = max(1, max_values // dim)
     if queries.limit(bound + 1).count() > bound:
-        return _rank(_grid_topk(queries, table, k, skip_self, block_rows), k)
+        return _rank(_grid_topk(queries, table, k, skip_self, block_rows, dim), k)
     local = queries.toPandas()
     shared = table.sparkSession.sparkContext.broadcast((local["query_id"].to_numpy(), unit_rows(local["__q"])))
 
     def score(batches):
         query_ids, matrix = shared.value
-        if not len(query_ids):
-            return
-        best = None
+        starts = range(0, len(query_ids), SLAB)
+        best: dict[int, pd.DataFrame] = {}
         for batch in batches:
-            if len(batch):
-                found = _best_pairs(query_ids, matrix, batch["vec_id"], unit_rows(batch["__v"]), k, skip_self)
-                best = _merge(best, found, k)
-        if best is not None:
-            yield best
+            if len(batch) and len(query_ids):
+                ids, vectors = batch["vec_id"].to_numpy(), unit_rows(batch["__v"])
+                for at in starts:
+                    found = _best_pairs(query_ids[at : at + SLAB], matrix[at : at + SLAB], ids, vectors, k, skip_self)
+                    best[at] = _merge(best.get(at), found, k)
+        for at in list(best):
+            yield best.pop(at)
 
     return _rank(table.mapInPandas(score, _pair_schema(queries, table)), k)
 
@@ -119,10 +135,19 @@ def _pair_schema(queries: DataFrame, table: DataFrame) -> str:
     )
 
 
-def _grid_topk(queries: DataFrame, table: DataFrame, k: int, skip_self: bool, block_rows: int) -> DataFrame:
-    """Both sides in hashed blocks; each grid cell is one bounded matrix product."""
-    rows = max(1, math.ceil(queries.count() / block_rows))
-    columns = max(1, math.ceil(table.count() / block_rows))
+def _grid_topk(queries: DataFrame, table: DataFrame, k: int, skip_self: bool, block_rows: int, dim: int) -> DataFrame:
+    """Both sides in hashed blocks; each grid cell is one bounded matrix product.
+
+    Every row is copied to as many cells as the other side has blocks. So blocks of ``block_rows`` are joined as far as a side of a cell holds
+    ``CELL_VALUES`` and the cells are enough for the cores; inside a cell the product is made a bounded number of scores at a time.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+
+    def cuts(n: int) -> int:
+        bounded = math.ceil(n / max(block_rows, CELL_VALUES // dim))
+        return max(1, bounded, min(math.ceil(n / block_rows), math.ceil(math.sqrt(3 * cores))))
+
+    rows, columns = cuts(queries.count()), cuts(table.count())
     left = queries.withColumn("__r", F.pmod(F.xxhash64("query_id"), F.lit(rows))).withColumn(
         "__c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(columns - 1).cast("bigint")))
     )

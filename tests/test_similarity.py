@@ -1,3 +1,7 @@
+import math
+import re
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +75,33 @@ def test_fewer_rows_than_k_and_empty_inputs(spark):
     assert [(r["vec_id"], r["rank"]) for r in sim.cosine_topk(one, one, 5).collect()] == [(1, 1)]
     assert sim.cosine_topk(one, one, 5, skip_self=True).count() == 0
     assert sim.cosine_topk(one.limit(0), one, 5).count() == 0
+
+
+def test_small_blocks_share_the_copies_of_rows(spark):
+    rows = spark.range(3_000).select(F.col("id").alias("vec_id"), F.array(F.cos("id"), F.sin("id")).alias("embedding"))
+    found = sim.cosine_topk(rows, rows, 3, skip_self=True, max_values=2, block_rows=10)
+    cuts = [int(n) + 1 for n in re.findall(r"sequence\(cast\(0 as bigint\), cast\((\d+) as bigint\)", found._jdf.queryExecution().analyzed().toString())]
+    assert len(cuts) == 2 and max(cuts) <= math.ceil(math.sqrt(3 * spark.sparkContext.defaultParallelism))
+    assert found.count() == 9_000
+
+
+def test_unit_rows_hold_little_beside_the_matrix():
+    vectors = [np.ones(64, np.float32) for _ in range(40_000)]
+    tracemalloc.start()
+    matrix = sim.unit_rows(vectors)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * matrix.nbytes
+
+
+def test_queries_in_several_slabs_give_all_best_rows(spark):
+    at = np.arange(sim.SLAB + 500) * 0.001
+    queries = spark.createDataFrame([(i, [math.cos(a), math.sin(a)]) for i, a in enumerate(at.tolist())], "vec_id bigint, embedding array<double>")
+    found = sim.cosine_topk(queries, queries.filter("vec_id % 300 = 0").repartition(3), 2)
+    best = {r["query_id"]: r["vec_id"] for r in found.filter("rank = 1").collect()}
+    assert len(best) == len(at) and all(best[i] == i for i in range(0, len(at), 300))
+
+
+def test_vectors_of_other_lengths_fail():
+    with pytest.raises(ValueError):
+        sim.unit_rows([[1.0, 2.0], [1.0]])
