@@ -134,3 +134,16 @@ def test_move_of_a_missing_file(spark, tmp_path):
     batches.move_files(df, "name", *folders)
     batches.move_files(df, "name", *folders)
     assert names(tmp_path / "x") == [] and (tmp_path / "y" / "b [1]" / "{c}*.txt").read_text() == "1"
+
+
+def test_tasks_share_the_listing_of_a_batch(spark, tmp_path, monkeypatch):
+    from strandline.plans import landing as flow
+
+    source, seen = tmp_path / "temporal_landing", []
+    source.mkdir()
+    (source / "a.txt").write_text("x")
+    land = flow.land_batch
+    monkeypatch.setattr(flow, "land_batch", lambda batch, *rest: (seen.append(int(batch.sparkSession.conf.get(flow.LISTING))), land(batch, *rest))[1])
+    before = spark.conf.get(flow.LISTING)
+    flow.land_available(spark, str(source), str(tmp_path / "lake"), str(tmp_path / "check"))
+    assert seen == [4 * spark.sparkContext.defaultParallelism] and spark.conf.get(flow.LISTING) == before
