@@ -27,6 +27,28 @@ def test_any_text(path, repair):
     assert not repair or chunks.repaired
 
 
+def test_new_chunks_go_to_the_tokenizer_together():
+    chunks, whole, given = bpe.Chunks(WORD, False), bpe._load(WORD), []
+
+    class Counted:
+        def encode_batch(self, texts_, **kw):
+            given.extend(texts_)
+            return whole.encode_batch(texts_, **kw)
+
+        def encode_batch_fast(self, texts_, **kw):
+            given.extend(texts_)
+            return whole.encode_batch_fast(texts_, **kw)
+
+    chunks.tokenizer = Counted()
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefgh\u0301\u00e9'", k=6)) for _ in range(3000)]
+    # the last text holds the separator itself
+    texts_ = [" ".join(words[:1500]), " ".join(words[1500:]), "a \x1f b\x1f c"]
+    assert [i.tolist() for i in chunks.encode([t.encode() for t in texts_[:2]])] == [whole.encode(t, add_special_tokens=False).ids for t in texts_[:2]]
+    assert len(given) <= -(-3000 // bpe.TOGETHER) + 1
+    assert chunks.encode([texts_[2].encode()])[0].tolist() == whole.encode(texts_[2], add_special_tokens=False).ids
+
+
 def test_decoding_is_the_tokenizers():
     pieces, whole, rng = bpe.Pieces(BYTE), Tokenizer.from_file(BYTE), random.Random(6)
     for _ in range(300):
