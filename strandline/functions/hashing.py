@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,7 +15,8 @@ from strandline.functions.columns import as_col
 
 TOKEN = "[a-z0-9]+"
 BIGRAM_WEIGHT = 0.5
-_CACHE_LIMIT = 500_000
+# Words whose digests a task keeps, about 200 bytes each.
+_CACHE_LIMIT = 100_000
 
 
 def word_tokens(text: Column | str) -> Column:
@@ -59,17 +60,21 @@ def digest_sign(digest: Column | str) -> Column:
     return F.when(F.substring(as_col(digest), 8, 1).isin(*"13579bdf"), F.lit(1.0)).otherwise(F.lit(-1.0))
 
 
-def hashed_vectors(texts: pd.Series, dim: int) -> list[np.ndarray]:
+def hashed_vectors(texts: Iterable[str | None], dim: int) -> list[np.ndarray]:
     """Unnormalised signed bucket sums of each text; nulls give a zero vector."""
+    return list(each_vector(texts, dim))
+
+
+def each_vector(texts: Iterable[str | None], dim: int) -> Iterator[np.ndarray]:
+    """:func:`hashed_vectors`, one at a time."""
     # Word characters are ASCII, so tokens can be cut from the encoded bytes.
     find = re.compile(TOKEN.encode()).findall
     md5 = hashlib.md5
     known: dict[bytes, bytes] = {}
-    out = []
     for text in texts:
         words = find(text.lower().encode()) if text else []
         if not words:
-            out.append(np.zeros(dim))
+            yield np.zeros(dim)
             continue
         if len(known) > _CACHE_LIMIT:
             known.clear()
@@ -81,8 +86,7 @@ def hashed_vectors(texts: pd.Series, dim: int) -> list[np.ndarray]:
         weights = ((numbers >> np.uint64(32)) & np.uint64(1)).astype(np.float64) * 2.0 - 1.0
         weights[len(words) :] *= BIGRAM_WEIGHT
         slots = (numbers % np.uint64(dim)).astype(np.int64)
-        out.append(np.bincount(slots, weights=weights, minlength=dim))
-    return out
+        yield np.bincount(slots, weights=weights, minlength=dim)
 
 
 def unit(vector: np.ndarray) -> np.ndarray:
@@ -92,17 +96,15 @@ def unit(vector: np.ndarray) -> np.ndarray:
 
 def dense_hash(dim: int, normalize: bool = True) -> Callable[[Column | str], Column]:
     """Arrow UDF: text to its hashed vector, L2-normalised unless asked otherwise."""
-    if normalize:
-
-        @F.pandas_udf("array<float>")
-        def encode(texts: pd.Series) -> pd.Series:
-            return pd.Series([unit(v).astype(np.float32) for v in hashed_vectors(texts, dim)])
-
-    else:
-
-        @F.pandas_udf("array<double>")
-        def encode(texts: pd.Series) -> pd.Series:
-            return pd.Series(hashed_vectors(texts, dim))
+    kind = np.float32 if normalize else np.float64
+
+    # Arrow in and out, so that a batch is held as its buffers and one matrix, not as an object for each text and vector.
+    @F.arrow_udf("array<float>" if normalize else "array<double>")
+    def encode(texts: pa.Array) -> pa.Array:
+        matrix = np.empty((len(texts), dim), kind)
+        for row, vector in zip(matrix, each_vector((t.as_py() for t in texts), dim)):
+            row[:] = unit(vector) if normalize else vector
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, matrix.size + 1, dim, dtype=np.int32)), pa.array(matrix.ravel()))
 
     return lambda c: encode(as_col(c))
 

@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 from datetime import date
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strandline.functions import columns as c
 from strandline.functions import text as x
-from strandline.functions.hashing import hashed_vectors, l2_norm, l2_normalize
+from strandline.functions.hashing import dense_hash, each_vector, hashed_vectors, l2_norm, l2_normalize, unit
 from strandline.operators.embed import sparse_hash_embedding
 
 
@@ -126,3 +127,22 @@ def test_l2(spark):
     got = df.select(l2_normalize("v").alias("u"), l2_norm("v").alias("n")).collect()
     assert [r["n"] for r in got] == [5.0, 0.0]
     assert np.allclose(got[0]["u"], [0.6, 0.8]) and got[1]["u"] == [0.0, 0.0]
+
+
+def test_each_vector_keeps_few_digests():
+    texts = (" ".join(f"w{i}x{j}" for j in range(100)) for i in range(3000))  # 300,000 words, each once
+    tracemalloc.start()
+    count = sum(1 for _ in each_vector(texts, 128))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == 3000 and peak < 30e6
+
+
+def test_dense_hash_of_nulls_and_empty_texts(spark):
+    rows = spark.createDataFrame([(1, "one two one"), (2, ""), (3, None)], "i int, t string").coalesce(1)
+    for normalize in (True, False):
+        got = {r["i"]: r["v"] for r in rows.select("i", dense_hash(8, normalize)("t").alias("v")).collect()}
+        (want,) = hashed_vectors(["one two one"], 8)
+        want = (unit(want).astype(np.float32) if normalize else want).tolist()
+        assert got == {1: want, 2: [0.0] * 8, 3: [0.0] * 8}
+    assert rows.where("i > 5").select(dense_hash(8)("t")).collect() == []
