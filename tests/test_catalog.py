@@ -51,3 +51,8 @@ def test_scans_read_only_needed_columns(spark):
     plan = entry.queries()["avg_by_group"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     read = plan[plan.index("ReadSchema") :]
     assert "l_returnflag" in read and "l_orderkey" not in read and "l_shipdate" not in read
+
+
+def test_texts_are_hashed_once_for_their_norm(spark):
+    rows = entry.queries()["hash_embedding_norm"](spark, SF)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
