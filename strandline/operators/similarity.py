@@ -17,6 +17,8 @@ BROADCAST_VALUES = 16_000_000
 BLOCK_ROWS = 50_000
 # Values of one side of a grid cell: blocks smaller than this travel together, so that rows are not copied once for each of them.
 CELL_VALUES = 64 * BLOCK_ROWS
+# Scores of a block that are held at once (8 MB, and twice as much for ranking them).
+SCORES = 1_000_000
 # Queries whose best rows are merged at once; the others' stay as they are meanwhile.
 SLAB = 8_192
 
@@ -48,11 +50,12 @@ def _best_pairs(query_ids, queries: np.ndarray, ids, vectors: np.ndarray, k: int
     order the products were summed in.
     """
     ids, query_ids = np.asarray(ids), np.asarray(query_ids)
-    parts = []
-    step = max(1, 4_000_000 // max(1, len(ids)))
+    parts = [(query_ids[:0], ids[:0], np.empty(0))]
+    step = max(1, SCORES // max(1, len(ids)))
     for start in range(0, len(query_ids), step):
         mine = query_ids[start : start + step]
-        scores = np.round(queries[start : start + step] @ vectors.T, 12)
+        scores = queries[start : start + step] @ vectors.T
+        np.round(scores, 12, out=scores)
         if skip_self:
             scores[mine[:, None] == ids[None, :]] = -np.inf
         cut = min(k, len(ids))
@@ -60,8 +63,8 @@ def _best_pairs(query_ids, queries: np.ndarray, ids, vectors: np.ndarray, k: int
         q, v = np.nonzero((scores >= floor[:, None]) & np.isfinite(scores))
         keep = _first_k(q, ids[v], scores[q, v], k)
         q, v = q[keep], v[keep]
-        parts.append(pd.DataFrame({"query_id": mine[q], "vec_id": ids[v], "score": scores[q, v]}))
-    return pd.concat(parts, ignore_index=True)
+        parts.append((mine[q], ids[v], scores[q, v]))
+    return pd.DataFrame({c: np.concatenate(p) for c, p in zip(("query_id", "vec_id", "score"), zip(*parts))})
 
 
 def _first_k(groups: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:

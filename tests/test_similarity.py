@@ -105,3 +105,17 @@ def test_queries_in_several_slabs_give_all_best_rows(spark):
 def test_vectors_of_other_lengths_fail():
     with pytest.raises(ValueError):
         sim.unit_rows([[1.0, 2.0], [1.0]])
+
+
+def test_scores_of_a_block_are_held_in_pieces():
+    rng = np.random.default_rng(3)
+    q, v = (sim.unit_rows(rng.normal(size=(n, 8))) for n in (2500, 2000))
+    tracemalloc.start()
+    found = sim._best_pairs(np.arange(2500), q, np.arange(2000), v, 3, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32e6  # 40 MB are all scores
+    scores = np.round(q @ v.T, 12)
+    scores[np.arange(2000), np.arange(2000)] = -np.inf
+    want = {(i, j) for i in range(2500) for j in np.lexsort((np.arange(2000), -scores[i]))[:3].tolist()}
+    assert set(zip(found["query_id"].tolist(), found["vec_id"].tolist())) == want
