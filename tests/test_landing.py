@@ -225,3 +225,12 @@ def test_landing_flow(spark, tmp_path):
     (source / "t2.txt").write_text("again")
     assert [tuple(r) for r in land_available(*args).collect()] == [("text", 1, 1, 0)]
     assert readers.read_table(spark, str(zone / "unstructured" / "text" / "delta")).count() == 2
+
+
+def test_many_small_files_share_tasks(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    for i in range(200 * cores):
+        (tmp_path / f"{i}.txt").write_bytes(str(i).encode())
+    rows = readers.read_binary(spark, str(tmp_path), "*.txt")
+    assert rows.rdd.getNumPartitions() <= 4 * cores
+    assert sorted(int(bytes(r["raw"])) for r in rows.collect()) == list(range(200 * cores))
