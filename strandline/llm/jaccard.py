@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm import wordhash
+from strandline.session import in_small_batches
 
 GROUPS, PER_GROUP, SIZE = 64, 8, 5
 NUM, DEN = 80, 100
@@ -405,6 +406,7 @@ def classes(docs: DataFrame, stage, text: str = "text", size: int = SIZE, num: i
 
     ``stage(df)`` writes a table to the shared folder and rereads it.
     """
+    stage = in_small_batches(stage)
     docs = docs.select("doc_id", F.col(text).alias("text"))
     described = stage(docs.mapInArrow(describe(size, num, den), SCHEMA))
     filled = described.where(F.col("key").isNotNull())

@@ -129,3 +129,16 @@ def test_links_of_a_meeting_follow_its_points():
     ones = np.full(30, 100)
     a, b = jaccard._joining(np.arange(30), ones, np.arange(30), i, j, -(j - i).astype(float), flat, offsets, 80, 100)
     assert len(a) == 29 and {y - x for x, y in zip(a, b)} == {1}
+
+
+def test_tasks_are_handed_few_rows_at_a_time(docs, stage):
+    conf, seen = docs.sparkSession.conf, []
+    before = conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def watched(df):
+        seen.append(int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        return stage(df)
+
+    jaccard.classes(docs, watched).count()
+    assert seen and set(seen) == {1_000}
+    assert conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
