@@ -49,3 +49,45 @@ def test_few_rows_and_empty_inputs(spark):
     assert rows(found) == rows(sim.cosine_topk(table, table, 5))
     assert {r["skipped"] for r in visits.collect()} == {0}
     assert pv.pivot_topk(table.limit(0), table, centers, 5)[0].count() == 0 and pv.pivot_topk(table, table.limit(0), centers, 5)[0].count() == 0
+
+
+def test_without_clusters_queries_do_not_travel_once_a_ring(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows_in = [(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(3000, 24)))]
+    table = materialize(spark.createDataFrame(rows_in, "vec_id bigint, embedding array<double>").repartition(4), "vectors")
+    sent, search = [], pv.cell_search
+    monkeypatch.setattr(pv, "cell_search", lambda probes, *rest: sent.append(probes.count()) or search(probes, *rest))
+    found, visits = pv.pivot_topk(table, table, sim.train_cells(table, 8), 5, skip_self=True, block_rows=700)
+    assert rows(found) == rows(sim.cosine_topk(table, table, 5, skip_self=True))
+    visited = visits.agg(F.sum("visited")).first()[0]
+    assert visited > 20 * 3000 and sum(sent) < visited / 5
+
+
+@pytest.mark.parametrize("skip_self", [True, False])
+def test_best_of_a_block_among_allowed_rings(skip_self):
+    rng = np.random.default_rng(5)
+    unit = sim.unit_rows(list(rng.normal(size=(2600, 12))))
+    unit[::3] = unit[0]  # copies: ties by id
+    unit[7] = 0
+    ids, ring = rng.permutation(2600), rng.integers(0, 9, 2600)
+    asked = np.r_[0:1100:2, 7]
+    floors = np.where(rng.random(len(asked)) < 0.3, -np.inf, rng.uniform(0.1, 0.9, len(asked)))
+    allowed = rng.random((len(asked), 9)) < 0.7
+    allowed[3] = False
+    found = pv._best_above(ids[asked], unit[asked], floors, ids, unit, ring, allowed, 6, skip_self)
+    got = {q: list(zip(g["vec_id"], g["score"])) for q, g in found.sort_values(["score", "vec_id"], ascending=[False, True]).groupby("query_id")}
+    scores = np.round(unit[asked] @ unit.T, 12)
+    for place, row in enumerate(asked):
+        fits = allowed[place, ring] & (scores[place] >= floors[place])
+        if skip_self:
+            fits[row] = False
+        want = sorted(zip(-scores[place, fits], ids[fits]))[:6]
+        have = got.get(ids[row], [])
+        assert [v for _, v in want] == [v for v, _ in have] and np.allclose([-s for s, _ in want], [s for _, s in have])
+
+
+def test_rings_are_dealt_to_blocks_of_bounded_size():
+    import pandas as pd
+
+    dealt = pv._deal(pd.DataFrame({"cell": [2, 3, 5, 6, 9], "n": [4, 5, 25, 3, 7]}), 10)
+    assert dealt.values.tolist() == [[2, 0, 1], [3, 0, 1], [5, 1, 3], [6, 4, 1], [9, 4, 1]]
