@@ -27,6 +27,52 @@ def test_any_text(path, repair):
     assert not repair or chunks.repaired
 
 
+def prose(seed, n=600):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) + rng.choice(["", "", "", ",", ".", "'s"]) for _ in range(n))
+
+
+def test_joins_inside_words_are_encoded_anew():
+    chunks, whole, texts_ = bpe.Chunks(BYTE), bpe._load(BYTE), [prose(i) for i in range(30)]
+    got = chunks.encode([t.encode() for t in texts_])
+    assert [g.tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts_]
+    assert chunks.repaired
+    # passages are of many words, and equal ones are met again behind other beginnings
+    assert len(chunks.passages.known) * 50 < sum(len(t.split()) for t in texts_)
+    met = set(chunks.passages.known)
+    chunks.encode([("other " + t).encode() for t in texts_])
+    assert len(set(chunks.passages.known) - met) <= len(texts_)
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_short_passages(monkeypatch, bits):
+    monkeypatch.setattr(bpe, "JOIN_BITS", bits)
+    rng, chunks, whole = random.Random(7), bpe.Chunks(BYTE, True, 300), bpe._load(BYTE)
+    for _ in range(150):
+        texts_ = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 40))) for _ in range(8)]
+        assert [g.tolist() for g in chunks.encode([t.encode() for t in texts_])] == [whole.encode(t, add_special_tokens=False).ids for t in texts_]
+
+
+@pytest.mark.parametrize("part", [slice(-40, None), slice(0, -40), slice(0, None)])
+def test_a_window_is_widened_until_its_ids_agree(part):
+    """Ids that spell the right bytes but are not the tokenizer's, in a part of a passage beside a join."""
+    chunks, whole, text = bpe.Chunks(BYTE), bpe._load(BYTE), prose(3, 900)
+    encode = lambda t: whole.encode(t, add_special_tokens=False).ids
+    want = encode(text)
+    assert chunks.encode([text.encode()])[0].tolist() == want
+    raw, store = np.frombuffer(text.encode(), np.uint8), chunks.passages
+    starts = chunks._borders(raw, np.array([0]))
+    assert len(starts) > 3
+    hashes, lengths = chunks._hashes(raw, starts)
+    passage = text[starts[1] : starts[1] + lengths[1]]
+    a, b, _ = part.indices(len(passage))
+    ids = [*encode(passage[:a]), *(encode(c)[0] for c in passage[a:b]), *encode(passage[b:])]
+    code = store.known[hashes[1]]
+    store.flat = np.concatenate((store.flat[: store.used], np.array(ids, np.uint32)))
+    store.starts[code], store.lengths[code], store.used = store.used, len(ids), store.used + len(ids)
+    assert chunks.encode([text.encode()])[0].tolist() == want
+
+
 def test_new_chunks_go_to_the_tokenizer_together():
     chunks, whole, given = bpe.Chunks(WORD, False), bpe._load(WORD), []
 
