@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import os
+import re
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +15,8 @@ from strandline.functions.columns import normalize_columns
 from strandline.functions.text import strip
 from strandline.operators.documents import REPORT_SCHEMA, WEATHER_SCHEMA, parse_documents
 from strandline.operators.landing import base_name, evolve_append, number_lines
+from strandline.session import materialize
+from strandline.sources.commits import filesystem
 
 # Cell texts that a CSV scan reads as missing.
 CSV_MISSING = (
@@ -77,21 +82,153 @@ def read_split(spark: SparkSession, path: str, name: str = "accepted") -> tuple[
 
 #: Scan partitions of small files that one task reads at most, one after the other; each holds 32 files by Spark's usual cost of opening one.
 TOGETHER = 64
+#: Spark's usual size of a scan partition and cost of opening a file, in bytes.
+PARTITION, OPENING = 128 << 20, 4 << 20
+#: Files and bytes that a task hands on at a time.
+LOT, LOT_BYTES = 100, 8 << 20
+LISTED = "path string, length bigint"
 
 
-def in_fewer_tasks(scan: DataFrame) -> DataFrame:
-    """A scan of many small files in tasks of up to ``TOGETHER`` of its partitions, but a few for each core; nothing is shuffled.
+def _local(path: str) -> str | None:
+    """The name of a local file in its own file system; None for other stores."""
+    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else None
 
-    A table written from it has as few files. Only for plain scans: asking a plan with shuffles for its partitions would run it.
+
+def _store(path: str, known: dict):
+    """Arrow's file system of a path of another store, and the path's name in it."""
+    from pyarrow import fs
+
+    from strandline.sources.writers import arrow_uri
+
+    scheme, rest = path.split("://", 1)
+    authority, _, name = rest.partition("/")
+    place = f"{scheme}://{authority}/"
+    if place not in known:
+        known[place] = fs.FileSystem.from_uri(arrow_uri(place))
+    store, base = known[place]
+    return store, f"{base.rstrip('/')}/{name}"
+
+
+def _entries(folder: str, known: dict) -> Iterator[tuple[str, str, bool, int]]:
+    """``(path, name, is_folder, length)`` of what lies in a folder; local folders are never held as a whole."""
+    if (local := _local(folder)) is not None:
+        with os.scandir(local) as entries:
+            for e in entries:
+                try:
+                    is_folder, size = e.is_dir(), e.stat().st_size
+                except FileNotFoundError:  # gone meanwhile, or a link to nothing
+                    continue
+                yield f"{folder}/{e.name}", e.name, is_folder, 0 if is_folder else size
+        return
+    from pyarrow import fs
+
+    store, base = _store(folder, known)
+    for e in store.get_file_info(fs.FileSelector(base)):
+        is_folder = e.type == fs.FileType.Directory
+        yield f"{folder}/{e.base_name}", e.base_name, is_folder, 0 if is_folder else e.size
+
+
+def _below(root: str, length: int | None, accepted: re.Pattern) -> Iterator[tuple[str, int]]:
+    """Files below a folder, or the file ``root`` if it has a length, by the rules of Spark's file scans: hidden and empty ones are left out."""
+    known: dict = {}
+    folders, first = [root], [] if length is None else [(root, root.rsplit("/", 1)[-1], False, length)]
+    while folders:
+        folder = folders.pop()
+        for path, name, is_folder, size in first or _entries(folder, known):
+            hidden = name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+            if is_folder:
+                if not hidden or name.startswith(("_metadata", "_common_metadata")):
+                    folders.append(path)
+            elif not hidden and size and accepted.fullmatch(name):
+                yield path, size
+
+
+def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """``(path, length)`` of every file below ``path``, as a stored table; a task lists them, so the driver holds none."""
+    fs, target = filesystem(spark, path)
+    found = fs.globStatus(target)
+    if not found:
+        spark.read.format("binaryFile").load(path)  # raises Spark's error
+    roots = [(s.getPath().toString(), None if s.isDirectory() else s.getLen()) for s in found]
+    accepted = re.compile(spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern(), re.DOTALL)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        paths, lengths = [], []
+        for root in roots:
+            for name, size in _below(*root, accepted):
+                paths.append(name)
+                lengths.append(size)
+                if len(paths) == 10_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(lengths, pa.int64())], ["path", "length"])
+                    paths, lengths = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(lengths, pa.int64())], ["path", "length"])
+
+    return materialize(spark.range(0, 1, 1, 1).mapInArrow(run, LISTED), "listed")
+
+
+def with_contents(files: DataFrame, skip_corrupt: bool = False) -> DataFrame:
+    """``(path, content)`` of the files in ``path``, read by the tasks in lots of bounded bytes."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        def lot(paths, bodies):
+            return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(bodies, pa.binary())], ["path", "content"])
+
+        known: dict = {}
+        for batch in batches:
+            paths, bodies, size = [], [], 0
+            for path in batch.column(0).to_pylist():
+                try:
+                    if (local := _local(path)) is not None:
+                        with open(local, "rb") as source:
+                            body = source.read()
+                    else:
+                        store, name = _store(path, known)
+                        with store.open_input_stream(name) as source:
+                            body = source.read()
+                    if len(body) > 0x7FFFFFFF:
+                        raise OSError(f"{path} is longer than a row may be: {len(body)} bytes")
+                except (FileNotFoundError, PermissionError):
+                    raise
+                except OSError:
+                    if not skip_corrupt:
+                        raise
+                    continue
+                if paths and size + len(body) > LOT_BYTES:
+                    yield lot(paths, bodies)
+                    paths, bodies, size = [], [], 0
+                paths.append(path)
+                bodies.append(body)
+                size += len(body)
+                if len(paths) == LOT:
+                    yield lot(paths, bodies)
+                    paths, bodies, size = [], [], 0
+            if paths:
+                yield lot(paths, bodies)
+
+    return files.select("path").mapInArrow(run, "path string, content binary")
+
+
+def in_fewer_tasks(listed: DataFrame) -> DataFrame:
+    """The names of many small files in as many tasks as a scan has, but at most a few for each core or, if that is more, one for ``TOGETHER`` partitions of a scan.
+
+    A table written from them has as few files. Only the names are moved.
     """
-    found = scan.rdd.getNumPartitions()
-    return scan.coalesce(max(4 * scan.sparkSession.sparkContext.defaultParallelism, -(-found // TOGETHER)))
+    cores = listed.sparkSession.sparkContext.defaultParallelism
+    number, size = listed.agg(F.count("path"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    cost = size + number * OPENING
+    found = math.ceil(cost / min(PARTITION, max(OPENING, cost // cores)))
+    return listed.repartition(max(1, min(found, max(4 * cores, -(-found // TOGETHER)))))
 
 
 def list_objects(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """``(object_name, length)`` of every file below ``path``; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    return files.select(F.col("path").alias("object_name"), "length")
+    return list_files(spark, path, glob).select(F.col("path").alias("object_name"), "length")
 
 
 def read_binary(spark: SparkSession, path: str, glob: str = "*", skip_corrupt: bool = False) -> DataFrame:
@@ -99,14 +236,7 @@ def read_binary(spark: SparkSession, path: str, glob: str = "*", skip_corrupt: b
 
     An unreadable file fails the read; ``skip_corrupt=True`` leaves such files out.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .option("ignoreCorruptFiles", skip_corrupt)
-        .load(path)
-    )
-    files = in_fewer_tasks(files)
+    files = with_contents(in_fewer_tasks(list_files(spark, path, glob)), skip_corrupt)
     base = path.rstrip("/").split("://")[-1].split(":", 1)[-1].rstrip("/") + "/"
     return files.select(
         F.col("path").alias("key"),

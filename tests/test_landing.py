@@ -234,3 +234,42 @@ def test_many_small_files_share_tasks(spark, tmp_path):
     rows = readers.read_binary(spark, str(tmp_path), "*.txt")
     assert rows.rdd.getNumPartitions() <= 4 * cores
     assert sorted(int(bytes(r["raw"])) for r in rows.collect()) == list(range(200 * cores))
+
+
+def test_the_driver_holds_no_list_of_files(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"{i}.txt").write_bytes(str(i).encode())
+    rows, listed = readers.read_binary(spark, str(tmp_path), "*.txt"), readers.list_objects(spark, str(tmp_path))
+    # the plans read a stored listing, not the files
+    assert len(rows.inputFiles()) < 10 and len(listed.inputFiles()) < 10
+    assert rows.count() == listed.count() == 300
+
+
+@pytest.mark.parametrize(("below", "glob"), [("", "*"), ("", "[!a]*.{txt,TXT}"), ("/sub", "?.*"), ("/a.txt", "*"), ("/*", "*.txt"), ("/.hid", "*"), ("/empty", "*")])
+def test_files_are_those_of_sparks_scans(spark, tmp_path, below, glob):
+    names = ["a.txt", "b c.txt", "t [1]{a}*.txt", "_x.txt", "_k=1.txt", ".h.txt", "e.txt", "u%20.txt", "é日.txt", "_metadata", "c._COPYING_", "#q?.txt", "sub/a.txt",
+             "sub/_d/y.txt", "_metadata_dir/z.txt", "p=1/q.txt", ".hid/y.txt", "sub/deep/r.TXT", "n\nl.txt", "back\\s.txt"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if name == "e.txt" else name.encode())
+    (tmp_path / "link.txt").symlink_to(tmp_path / "a.txt")
+    (tmp_path / "empty").mkdir()
+    path = f"{tmp_path}{below}"
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    want = sorted((r.path, r.length, bytes(r.content)) for r in scan.collect())
+    assert sorted((r.object_name, r.length) for r in readers.list_objects(spark, path, glob).collect()) == [w[:2] for w in want]
+    assert sorted((r.key, bytes(r.raw)) for r in readers.read_binary(spark, path, glob).collect()) == [(w[0], w[2]) for w in want]
+
+
+def test_contents_are_read_in_bounded_lots(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "LOT_BYTES", 1000)
+    for i in range(40):
+        (tmp_path / f"{i}.bin").write_bytes(bytes([i]) * (i * 20 + 1))
+    (tmp_path / "link.bin").symlink_to(tmp_path / "gone.bin")
+    rows = readers.read_binary(spark, str(tmp_path), "[0-9]*.bin")
+    assert sorted((len(r["raw"]), bytes(r["raw"])[0]) for r in rows.collect()) == [(i * 20 + 1, i) for i in range(40)]
+    (tmp_path / "7.bin").unlink()
+    with pytest.raises(Exception, match="7.bin"):
+        rows.collect()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        readers.read_binary(spark, str(tmp_path / "none"))
