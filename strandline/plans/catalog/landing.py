@@ -344,7 +344,7 @@ def landed_and_archived(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "archive")
     source, root, archive = (f"{base}/{x}" for x in ("temporal", "lake", "old"))
     name = F.concat(F.lit("p"), F.col("page_id").cast("string"), F.when(F.col("page_id") % 10 == 0, ".bin").otherwise(".txt"))
-    writers.write_files(table(spark, sf, "pages").select(name.alias("name"), "html"), source, "name", "html")
+    writers.write_files(wide(spark, sf, "pages").select(name.alias("name"), "html"), source, "name", "html")
     flow.land_available(spark, source, root, f"{base}/checkpoint", archive=archive)
     counts = {
         "landed_rows": flow.read_landed(spark, root, "text"),

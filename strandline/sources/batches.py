@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandline.session import at_once
 from strandline.sources.commits import create_once, filesystem
 from strandline.sources.writers import arrow_uri
 
@@ -28,13 +29,17 @@ def move_files(rows: DataFrame, name: str, source: str, target: str) -> None:
 
         from_store, old_base = fs.FileSystem.from_uri(arrow_uri(source))
         to_store, new_base = fs.FileSystem.from_uri(arrow_uri(target))
+        made = set()
         for (relative,) in part:
             old, new = f"{old_base}/{relative}", f"{new_base}/{relative}"
             if from_store.get_file_info(old).type == fs.FileType.NotFound:
                 if to_store.get_file_info(new).type == fs.FileType.NotFound:
                     raise FileNotFoundError(f"{relative} is neither in {source} nor in {target}")
                 continue
-            to_store.create_dir(new.rsplit("/", 1)[0], recursive=True)
+            folder = new.rsplit("/", 1)[0]
+            if folder not in made:
+                to_store.create_dir(folder, recursive=True)
+                made.add(folder)
             if from_store == to_store:
                 from_store.move(old, new)
             else:
@@ -96,15 +101,19 @@ class BatchLog:
         """Move staged files to their names and landed sources to ``archive``; may be repeated."""
         if self._exists(f"{self.folder(batch_id)}/finished"):
             return
+        moves = []
         if self._exists(self.staged(batch_id)):
             staged = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(self.staged(batch_id)).select("path")
             name = F.substring_index("path", f"/_landing/batch={batch_id}/staged/", -1)
-            move_files(staged.select(name.alias("name")), "name", self.staged(batch_id), self.root)
+            # a task for each core, not for each 32 files
+            copies = staged.select(name.alias("name")).coalesce(self.spark.sparkContext.defaultParallelism)
+            moves.append(lambda: move_files(copies, "name", self.staged(batch_id), self.root))
         if archive:
-            files = self.spark.read.parquet(f"{self.folder(batch_id)}/files").filter("error is null")
+            files = self.spark.read.schema("path string, error string").parquet(f"{self.folder(batch_id)}/files").filter("error is null")
             base = source.rstrip("/").split("://")[-1].split(":", 1)[-1].rstrip("/") + "/"
-            name = F.substring_index("path", base, -1)
-            move_files(files.select(name.alias("name")), "name", source.rstrip("/"), f"{archive.rstrip('/')}/batch_id={batch_id}")
+            sources = files.select(F.substring_index("path", base, -1).alias("name")).repartition(self.spark.sparkContext.defaultParallelism)
+            moves.append(lambda: move_files(sources, "name", source.rstrip("/"), f"{archive.rstrip('/')}/batch_id={batch_id}"))
+        at_once(self.spark, *moves)
         create_once(self.spark, f"{self.folder(batch_id)}/finished")
 
     def recover(self, source: str, archive: str | None) -> dict[str, list[int]]:

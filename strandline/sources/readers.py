@@ -171,18 +171,21 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def with_contents(files: DataFrame, skip_corrupt: bool = False) -> DataFrame:
-    """``(path, content)`` of the files in ``path``, read by the tasks in lots of bounded bytes."""
+    """``files`` and the ``content`` of the file in ``path``, read by the tasks in lots of bounded bytes."""
+    at = files.columns.index("path")
 
     def run(batches):
         import pyarrow as pa
 
-        def lot(paths, bodies):
-            return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(bodies, pa.binary())], ["path", "content"])
-
         known: dict = {}
         for batch in batches:
-            paths, bodies, size = [], [], 0
-            for path in batch.column(0).to_pylist():
+            rows, bodies, size = [], [], 0
+
+            def lot():
+                taken = batch.take(pa.array(rows, pa.int64()))
+                return pa.RecordBatch.from_arrays([*taken.columns, pa.array(bodies, pa.binary())], [*batch.schema.names, "content"])
+
+            for row, path in enumerate(batch.column(at).to_pylist()):
                 try:
                     if (local := _local(path)) is not None:
                         with open(local, "rb") as source:
@@ -199,19 +202,19 @@ def with_contents(files: DataFrame, skip_corrupt: bool = False) -> DataFrame:
                     if not skip_corrupt:
                         raise
                     continue
-                if paths and size + len(body) > LOT_BYTES:
-                    yield lot(paths, bodies)
-                    paths, bodies, size = [], [], 0
-                paths.append(path)
+                if rows and size + len(body) > LOT_BYTES:
+                    yield lot()
+                    rows, bodies, size = [], [], 0
+                rows.append(row)
                 bodies.append(body)
                 size += len(body)
-                if len(paths) == LOT:
-                    yield lot(paths, bodies)
-                    paths, bodies, size = [], [], 0
-            if paths:
-                yield lot(paths, bodies)
+                if len(rows) == LOT:
+                    yield lot()
+                    rows, bodies, size = [], [], 0
+            if rows:
+                yield lot()
 
-    return files.select("path").mapInArrow(run, "path string, content binary")
+    return files.mapInArrow(run, T.StructType([*files.schema.fields, T.StructField("content", T.BinaryType())]))
 
 
 def in_fewer_tasks(listed: DataFrame) -> DataFrame:
@@ -236,7 +239,7 @@ def read_binary(spark: SparkSession, path: str, glob: str = "*", skip_corrupt: b
 
     An unreadable file fails the read; ``skip_corrupt=True`` leaves such files out.
     """
-    files = with_contents(in_fewer_tasks(list_files(spark, path, glob)), skip_corrupt)
+    files = with_contents(in_fewer_tasks(list_files(spark, path, glob)).select("path"), skip_corrupt)
     base = path.rstrip("/").split("://")[-1].split(":", 1)[-1].rstrip("/") + "/"
     return files.select(
         F.col("path").alias("key"),

@@ -1,6 +1,7 @@
 """Landing batches that are lost half-way: nothing partial is read, nothing is lost, nothing lands twice."""
 
 import json
+import threading
 
 import pytest
 
@@ -147,3 +148,49 @@ def test_tasks_share_the_listing_of_a_batch(spark, tmp_path, monkeypatch):
     before = spark.conf.get(flow.LISTING)
     flow.land_available(spark, str(source), str(tmp_path / "lake"), str(tmp_path / "check"))
     assert seen == [4 * spark.sparkContext.defaultParallelism] and spark.conf.get(flow.LISTING) == before
+
+
+def test_a_batch_takes_few_jobs(spark, zone):
+    for i in range(60):
+        (zone / "in" / f"n{i}.txt").write_text(f"h{i}\nc\n")
+    for name in ("a.csv", "s.wav", "bad.json", "meta_unstructured_report_Nd_O_153000.json"):
+        (zone / "in" / name).unlink()
+    count = spark._jsc.sc().dagScheduler().numTotalJobs
+    before = count()
+    land(spark, zone, max_files=20)
+    # 4 batches; each takes 17 jobs where every step lists and scans its files anew
+    assert count() - before <= 4 * 13
+    assert landed(spark, zone) == {"text": 61} and len(names(zone / "old")) == 61 and names(zone / "in") == ["d.mp3"]
+    for i in range(60):
+        path = zone / "lake" / "persistent_landing" / "unstructured" / "text"
+        assert (path / "data" / f"n{i}.txt").read_text() == f"h{i}\nc\n" and (path / "metadata" / f"metadata_n{i}.json").exists()
+
+
+def test_files_move_beside_the_next_batch(spark, zone, monkeypatch):
+    begun, plain_land, plain_finish = [threading.Event(), threading.Event()], landing._land_files, batches.BatchLog.finish
+
+    def land_files(batch, batch_id, *rest):
+        if batch_id < 2:
+            begun[batch_id].set()
+        return plain_land(batch, batch_id, *rest)
+
+    def finish(self, batch_id, *rest):
+        if batch_id == 0 and not begun[1].wait(60):
+            raise TimeoutError("the next batch waits for the moves")
+        plain_finish(self, batch_id, *rest)
+
+    monkeypatch.setattr(landing, "_land_files", land_files)
+    monkeypatch.setattr(batches.BatchLog, "finish", finish)
+    land(spark, zone, max_files=3)
+    check_done(spark, zone)
+
+
+@pytest.mark.parametrize("lost", [0, 1])
+def test_lost_moves_beside_the_next_batch_end_the_run(spark, zone, monkeypatch, lost):
+    plain = batches.BatchLog.finish
+    with monkeypatch.context() as broken:
+        broken.setattr(batches.BatchLog, "finish", lambda self, n, *rest: fails() if n == lost else plain(self, n, *rest))
+        with pytest.raises(Exception, match="lost here"):
+            land(spark, zone, max_files=3)
+    land(spark, zone, max_files=3)
+    check_done(spark, zone)
