@@ -158,7 +158,7 @@ def test_a_batch_takes_few_jobs(spark, zone):
     count = spark._jsc.sc().dagScheduler().numTotalJobs
     before = count()
     land(spark, zone, max_files=20)
-    # 4 batches; each takes 17 jobs where every step lists and scans its files anew
+    # 4 batches; each took 15 jobs where every step scanned its files anew
     assert count() - before <= 4 * 13
     assert landed(spark, zone) == {"text": 61} and len(names(zone / "old")) == 61 and names(zone / "in") == ["d.mp3"]
     for i in range(60):
